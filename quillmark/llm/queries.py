@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import bpe_round_trip
 from .exact_dedup import exact_dedup
-from .shared import documents
+from .shared import documents, shared_dir
+from .token_files import read_token_files, write_token_files
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,3 +27,16 @@ FROM t WINDOW w AS (PARTITION BY norm)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op10_exact_dedup": op10_exact_dedup}
 ORACLES: dict[str, str] = {"op10_exact_dedup": OP10_SQL}
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/token-files-{uuid.uuid4().hex}"
+    write_token_files(documents(spark, sf_dir), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return read_token_files(spark, path)
+
+
+QUERIES |= {"op5_byte_bpe": op5_byte_bpe, "op7_token_files": op7_token_files}
