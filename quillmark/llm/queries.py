@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import bpe_round_trip
 from .exact_dedup import exact_dedup
+from .language_id import identify, train
+from .long_repeats import remove_repeats
+from .near_dedup import near_dedup
 from .shared import documents, shared_dir
 from .token_files import read_token_files, write_token_files
 
@@ -40,3 +43,22 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"op5_byte_bpe": op5_byte_bpe, "op7_token_files": op7_token_files}
+
+
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(documents(spark, sf_dir))
+
+
+QUERIES |= {"op9_minhash_near_dedup": op9_minhash_near_dedup}
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return identify(docs, train(docs))
+
+
+def op4_long_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir))
+
+
+QUERIES |= {"op1_language_id": op1_language_id, "op4_long_repeats": op4_long_repeats}
