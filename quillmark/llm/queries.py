@@ -13,6 +13,8 @@ from .exact_dedup import exact_dedup
 from .language_id import identify, train
 from .long_repeats import remove_repeats
 from .near_dedup import near_dedup
+from .personal_data import find
+from .quality_rules import quality
 from .shared import documents, shared_dir
 from .token_files import read_token_files, write_token_files
 
@@ -62,3 +64,14 @@ def op4_long_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"op1_language_id": op1_language_id, "op4_long_repeats": op4_long_repeats}
+
+
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find(documents(spark, sf_dir))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+QUERIES |= {"op3_personal_data": op3_personal_data, "op6_quality_rules": op6_quality_rules}
