@@ -1,8 +1,70 @@
-"""Corpus preparation as five stages, each one operator's decisions taking effect."""
+"""Corpus preparation as five stages; each applies one operator and its decisions take effect.
 
-STAGES = []
+Every stage takes ``(spark, docs, sf_dir)`` and returns rows that are written as
+Parquet and read again as the next stage's ``docs``. All but the last return the
+columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillmark.llm.bpe import bpe_round_trip
+from quillmark.llm.exact_dedup import exact_dedup
+from quillmark.llm.language_id import identify, train
+from quillmark.llm.mixing import mix
+from quillmark.llm.near_dedup import near_dedup
+from quillmark.llm.queries import MIX_KEEP, MIX_WEIGHTS, domain_labels
+from quillmark.llm.shared import documents, shared_dir
+
+#: Below this score an ambiguous text counts as of no language.
+LEAST_SCORE = 0.4
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops texts without a language: no letters, or ambiguous with a low score."""
+    found = identify(docs, train(docs), carry=docs.columns)
+    keep = (F.col("lang_pred") != "und") & ~(F.col("ambiguous") & (F.col("score") < LEAST_SCORE))
+    return found.filter(keep).select(*docs.columns)
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the row with the smallest id stays."""
+    return exact_dedup(docs).filter("kept").select(*docs.columns)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of near-duplicates the document with the smallest id stays."""
+    gone = near_dedup(docs).filter(~F.col("kept")).select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its fitted rate says; one of a rate of 0 goes."""
+    rates = mix(docs, domain_labels(spark, sf_dir), MIX_WEIGHTS, MIX_KEEP).groupBy("doc_id").agg(F.max("copies").alias("_copies"))
+    rows = docs.join(rates, "doc_id").filter("_copies > 0")
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of each kept document, as count and digests."""
+    return bpe_round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+STAGES = [("language ID", language), ("exact dedup", exact), ("MinHash near-dedup", near), ("mixing to target weights", mixed), ("byte-level BPE", encoded)]
+
+#: The classifier and the rates have no SQL form.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    base = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    for k, (_, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{base}/{k}")
+        docs = spark.read.parquet(f"{base}/{k}")
+    return docs

@@ -7,11 +7,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .bpe import bpe_round_trip
 from .exact_dedup import exact_dedup
 from .language_id import identify, train
+from .license_scan import scan
 from .long_repeats import remove_repeats
+from .mixing import mix
 from .near_dedup import near_dedup
 from .personal_data import find
 from .quality_rules import quality
@@ -75,3 +78,24 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"op3_personal_data": op3_personal_data, "op6_quality_rules": op6_quality_rules}
+
+
+#: Target share of tokens by domain, and the domain that must not shrink.
+MIX_WEIGHTS, MIX_KEEP = {"clean": 0.90, "low": 0.07, "toxic": 0.03}, ("clean",)
+
+
+def domain_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, domain`` from the labels table."""
+    name = F.when(F.col("quality") == 0, "low").when(F.col("toxic") == 1, "toxic").when(F.col("quality").isNotNull(), "clean")
+    return spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", name.alias("domain"))
+
+
+def op2_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(documents(spark, sf_dir), domain_labels(spark, sf_dir), MIX_WEIGHTS, MIX_KEEP)
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(documents(spark, sf_dir))
+
+
+QUERIES |= {"op2_soft_mixing": op2_soft_mixing, "op8_license_scan": op8_license_scan}
