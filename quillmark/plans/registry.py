@@ -1,8 +1,14 @@
-"""Registered queries and their SQL counterparts."""
+"""All registered queries and the flagship."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
 
-def flagship(spark, sf_dir):
-    raise NotImplementedError
+from . import aggregate_queries, extraction_queries, incremental_queries, resolution_queries, retrieval_queries, text_queries, workflow_queries  # noqa: F401
+from .catalog import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "flagship"]
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return QUERIES["hybrid_search"](spark, sf_dir)
