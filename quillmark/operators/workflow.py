@@ -60,7 +60,7 @@ def answer(questions: DataFrame, claims: DataFrame, preset: Corpus, k: int = 3,
     refusal = F.try_element_at(F.create_map(*[F.lit(x) for kv in REFUSALS.items() for x in kv]), F.col("boundary"))
     text = F.when(F.col("status") == "refused", refusal).when(F.col("status") == "fallback", FALLBACK).when(F.col("attempts") == 1, F.col("first")).otherwise(F.col("second"))
     trace = F.array_compact(F.array(F.lit("gate"), F.when(F.col("status") != "refused", "retrieve"), F.when(F.col("attempts") > 0, "compose"), F.when(F.col("attempts") > 1, "retry"), F.col("status")))
-    n = F.when(F.col("status") == "answered", F.size("verified")).otherwise(0)
+    n = F.when(F.col("status") == "answered", F.size("verified")).otherwise(0).cast("long")
     return rows.withColumn("answer", text).withColumn("n_citations", n).withColumn("trace", F.array_join(trace, ">"))
 
 
