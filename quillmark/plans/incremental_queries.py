@@ -9,12 +9,16 @@ from ..operators import incremental as I
 from ..streaming import windows as W
 from .catalog import query, table
 
-DAY = F.to_date("ts")
+
+def day():
+    return F.to_date("ts")
+
+
 TODAY, FLOOR = "2024-02-05", "2024-01-10"
 
 
 def _last(spark, d):
-    last = table(spark, d, "events").filter("value > 50").groupBy(F.col("event_type").alias("provider")).agg(F.max(DAY).alias("last_day"))
+    last = table(spark, d, "events").filter("value > 50").groupBy(F.col("event_type").alias("provider")).agg(F.max(day()).alias("last_day"))
     return last.select("provider", F.when(F.col("provider") == "error", F.lit(None).cast("date")).otherwise(F.date_sub("last_day", F.when(F.col("provider") == "click", 12).otherwise(0))).alias("last_day"), F.when(F.col("provider") == "view", 7).otherwise(1).alias("overlap"))
 
 
@@ -32,7 +36,7 @@ DAYS = "d AS (SELECT event_type AS provider, ts::DATE AS day, count(*) AS n FROM
 
 
 def _days(spark, d):
-    return table(spark, d, "events").groupBy(F.col("event_type").alias("provider"), DAY.alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    return table(spark, d, "events").groupBy(F.col("event_type").alias("provider"), day().alias("day")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("covered_through", f"WITH {DAYS}, c AS (SELECT provider, min(day) FILTER (n >= 90) AS cut FROM d GROUP BY provider) SELECT provider, max(day) FILTER (cut IS NULL OR day < cut) AS covered, max(cut IS NOT NULL) AS truncated FROM d JOIN c USING (provider) GROUP BY provider")
@@ -49,20 +53,20 @@ def cutoff_advance(spark, d):
 
 @query("canary_check", "WITH c AS (SELECT event_type AS provider, count(*) FILTER (ts::DATE = DATE '2024-01-20') AS narrow, count(*) FILTER (ts::DATE >= DATE '2024-01-01') AS wide FROM events GROUP BY 1) SELECT *, CASE WHEN wide = 0 THEN 'invalid' WHEN wide < narrow THEN 'filter ignored' ELSE 'healthy' END AS status FROM c")
 def canary_check(spark, d):
-    return I.canary(table(spark, d, "events"), "event_type", DAY == F.lit("2024-01-20").cast("date"), DAY >= F.lit("2024-01-01").cast("date"))
+    return I.canary(table(spark, d, "events"), "event_type", day() == F.lit("2024-01-20").cast("date"), day() >= F.lit("2024-01-01").cast("date"))
 
 
-CALENDAR = "c AS (SELECT user_id, ts::DATE AS day, count(*) AS n FROM events GROUP BY ALL), s AS (SELECT min(day) AS a, max(day) AS b FROM c), k AS (SELECT user_id, unnest(generate_series(a::TIMESTAMP, b::TIMESTAMP, INTERVAL 1 DAY))::DATE AS day FROM (SELECT DISTINCT user_id FROM c), s), z AS (SELECT user_id, day, coalesce(n, 0) AS n FROM k LEFT JOIN c USING (user_id, day))"
+CALENDAR = "c AS (SELECT user_id, ts::DATE AS day, count(*) AS n FROM events GROUP BY ALL), s AS (SELECT min(day) AS a, max(day) AS b FROM c), k AS (SELECT user_id, unnest(generate_series(a::TIMESTAMP, b::TIMESTAMP, INTERVAL 1 day()))::DATE AS day FROM (SELECT DISTINCT user_id FROM c), s), z AS (SELECT user_id, day, coalesce(n, 0) AS n FROM k LEFT JOIN c USING (user_id, day))"
 
 
 @query("zero_streaks", f"WITH {CALENDAR}, i AS (SELECT *, sum((n > 0)::INT) OVER (PARTITION BY user_id ORDER BY day) AS g FROM z), r AS (SELECT user_id, day, row_number() OVER (PARTITION BY user_id, g ORDER BY day)::INT AS streak FROM i WHERE n = 0) SELECT *, CASE WHEN streak >= 3 THEN 'error' WHEN streak = 2 THEN 'warn' ELSE 'info' END AS level FROM r")
 def zero_streaks(spark, d):
-    return I.zero_streaks(I.calendar(table(spark, d, "events"), "user_id", DAY), "user_id")
+    return I.zero_streaks(I.calendar(table(spark, d, "events"), "user_id", day()), "user_id")
 
 
 @query("missed_days", f"WITH {CALENDAR} SELECT user_id, day FROM z WHERE n = 0")
 def missed_days(spark, d):
-    return I.calendar(table(spark, d, "events"), "user_id", DAY).filter("n = 0").select("user_id", "day")
+    return I.calendar(table(spark, d, "events"), "user_id", day()).filter("n = 0").select("user_id", "day")
 
 
 @query("rate_limit_decisions")
@@ -98,7 +102,7 @@ def listing_changes(spark, d):
     return I.listing_changes(pages, pages.filter("page_id % 3 = 0"), "url").select("page_id", "url")
 
 
-@query("stream_tumbling", "WITH w AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL) SELECT start::TIMESTAMPTZ AS start, event_type, n FROM w WHERE start + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)")
+@query("stream_tumbling", "WITH w AS (SELECT time_bucket(INTERVAL 1 day(), ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL) SELECT start::TIMESTAMPTZ AS start, event_type, n FROM w WHERE start + INTERVAL 1 day() <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)")
 def stream_tumbling(spark, d):
     return W.run_once(W.tumbling(W.event_stream(spark, d), "1 day", "1 hour"), "tumbling")
 

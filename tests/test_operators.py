@@ -139,7 +139,7 @@ def test_listing_sitemap_and_articles(spark):
     card = web.listing_cards(spark.createDataFrame([(1, html)], "page_id long, html string")).first()
     assert (card["name"], card["link"], card["day"]) == ("A & B", "/x", dt.date(2023, 11, 14))
     assert one(spark, "<url><loc> u </loc><lastmod>d</lastmod></url>", web.sitemap)[0]["loc"] == "u"
-    assert one(spark, "https://a.org/ibd-care_plan.html", lambda c: web.slug_title(c, ("ibd",))) == "IBD Care Plan"
+    assert one(spark, "https://a.org/usa-care_plan.html", lambda c: web.slug_title(c, ("usa",))) == "USA Care Plan"
     xml = (
         "<PubmedArticleSet><PubmedArticle><MedlineCitation><PMID>1</PMID><Article><Journal><Title>J</Title><JournalIssue><PubDate><MedlineDate>2020 Jan</MedlineDate></PubDate></JournalIssue></Journal>"
         "<ArticleTitle>A <i>b</i> c</ArticleTitle><Abstract><AbstractText>x</AbstractText><AbstractText>y</AbstractText></Abstract></Article></MedlineCitation>"
