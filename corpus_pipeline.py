@@ -46,7 +46,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its fitted rate says; one of a rate of 0 goes."""
     rates = mix(docs, domain_labels(spark, sf_dir), MIX_WEIGHTS, MIX_KEEP).groupBy("doc_id").agg(F.max("copies").alias("_copies"))
-    rows = docs.join(rates, "doc_id").filter("_copies > 0")
+    rows = docs.join(rates, "doc_id", "left").withColumn("_copies", F.coalesce("_copies", F.lit(1))).filter("_copies > 0")
     return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
 
 

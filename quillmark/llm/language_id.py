@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from .textblocks import blocks, mix, utf8
 
 SAMPLE = 3000
+#: Languages that one model tells apart, the most frequent first (codewords grow with their logarithm).
+LANGUAGES = 200
 FEATURES = 1 << 12
 ORDERS = (1, 2, 3, 4)
 #: A lead in weighted loss below this marks a text as ambiguous.
@@ -119,7 +121,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Codes | None:
     """Learn from text and lang of rows outside fold 0; None without a language."""
     known = docs.filter(F.col("lang").isNotNull() & (fold("doc_id") != 0) & F.col("text").rlike(r"\p{L}"))
     # a document-level count for each language: one row a language
-    counts = {r["lang"]: r["count"] for r in docs.filter(F.col("lang").isNotNull() & (fold("doc_id") != 0)).groupBy("lang").count().orderBy(F.desc("count")).limit(200).collect()}
+    counts = {r["lang"]: r["count"] for r in docs.filter(F.col("lang").isNotNull() & (fold("doc_id") != 0)).groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
     if not counts:
         return None
     each = sample / len(counts)
