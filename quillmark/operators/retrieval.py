@@ -9,6 +9,8 @@ from pyspark.sql.window import Window
 #: Constants of the Okapi form: saturation, length weight, share of the mean idf that replaces negative ones.
 K1, B, EPSILON = 1.5, 0.75, 0.25
 RRF = 60
+#: Probe vectors up to which they are broadcast.
+PROBE_BLOCK = 4096
 
 
 def tokens(text: Column) -> Column:
@@ -27,12 +29,12 @@ def bm25(docs: DataFrame, queries: DataFrame, k: int, by: str | None = None) ->
     body = docs.select(*g, "doc_id", tokens(F.col("text")).alias("w"))
     total = body.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("w")).alias("avgdl"))
     df = body.select(*g, F.explode(F.array_distinct("w")).alias("term")).groupBy(*g, "term").agg(F.count(F.lit(1)).alias("df"))
-    joined = df.join(F.broadcast(total), g) if g else df.crossJoin(F.broadcast(total))  # one row a group
+    joined = df.join(total, g) if g else df.crossJoin(F.broadcast(total))  # one row a group
     raw = joined.withColumn("idf", F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)))
     mean = raw.groupBy(*g).agg(F.avg("idf").alias("mean_idf"))
     wanted = queries.select(*g, "query", F.explode("terms").alias("term"))
     stats = raw.join(F.broadcast(wanted.select(*g, "term").distinct()), [*g, "term"])
-    stats = stats.join(F.broadcast(mean), g) if g else stats.crossJoin(F.broadcast(mean))
+    stats = stats.join(mean, g) if g else stats.crossJoin(F.broadcast(mean))
     stats = stats.select(*g, "term", "avgdl", F.when(F.col("idf") < 0, EPSILON * F.col("mean_idf")).otherwise(F.col("idf")).alias("idf"))
     words = queries.agg(F.array_distinct(F.flatten(F.collect_list("terms"))).alias("words"))  # the query words, as one row
     hits = body.crossJoin(F.broadcast(words)).select(*g, "doc_id", F.size("w").alias("dl"), F.filter("w", lambda t: F.array_contains("words", t)).alias("w")).filter(F.size("w") > 0)
@@ -56,8 +58,15 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def vector_top(vectors: DataFrame, probes: DataFrame, k: int) -> DataFrame:
-    """``probe, rank, vec_id, cos``: a stated set of probes against all vectors, by full comparison."""
-    rows = vectors.crossJoin(F.broadcast(probes.select(F.col("vec_id").alias("probe"), F.col("embedding").alias("_q"))))
+    """``probe, rank, vec_id, cos``: a stated set of probes against all vectors, by full comparison.
+
+    Probes are counted first. One block of them is broadcast; more are dealt into
+    blocks by hash, each vector meets every block, and the rows meet by block number.
+    """
+    n = -(-probes.count() // PROBE_BLOCK)
+    few = probes.select(F.col("vec_id").alias("probe"), F.col("embedding").alias("_q"), F.pmod(F.xxhash64("vec_id"), F.lit(max(1, n))).cast("int").alias("_b"))
+    many = vectors.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(max(1, n) - 1))))
+    rows = many.join(F.broadcast(few) if n <= 1 else few, "_b")
     scored = rows.select("probe", "vec_id", F.round(cosine(F.col("embedding"), F.col("_q")), 6).alias("cos"))
     return top(scored, ["probe"], [F.desc("cos"), F.col("vec_id")], k).select("probe", "rank", "vec_id", "cos")
 
