@@ -174,3 +174,17 @@ def test_streams_equal_batch(spark, tmp_path):
     table = str(tmp_path / "daily")
     windows.daily_run(spark, stream.select("user_id", "ts"), table, "user_id")
     assert spark.read.parquet(f"{table}/batch=*").count() == spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("user_id").distinct().count()
+
+
+def test_landing_source_and_cache_key(spark, tmp_path):
+    import json
+
+    from quillmark.sources import landing
+
+    for i in range(3):
+        (tmp_path / f"p{i}.json").write_text(json.dumps({"provider": "x", "page": i, "hits": 3, "records": [{"id": i}]}))
+    landing.register(spark)
+    rows = spark.read.format("landing").option("pagesPerTask", "2").load(str(tmp_path)).collect()
+    assert sorted((r["page"], r["record"]) for r in rows) == [(i, json.dumps({"id": i})) for i in range(3)]
+    keys = spark.sql("SELECT 'u' AS u, map('b', '2', 'a', '1') AS m UNION ALL SELECT 'u', map('a', '1', 'b', '2')").select(landing.cache_key(F.col("u"), F.col("m")).alias("k"))
+    assert keys.distinct().count() == 1
