@@ -12,8 +12,11 @@
    unless both are connected already. This joins large groups of copies with one
    row a class and round instead of all pairs.
 4. What star rounds leave is covered in full: members of a posting list outside
-   its largest component meet all members of other components, in a skew-splitting
-   join whose condition holds the length bound and the collision count.
+   its largest component meet all members of other components. Lists of up to
+   ``SMALL`` members do so in a skew-splitting join whose condition holds the
+   length bound and the collision count. Longer lists are cut into blocks of about
+   ``BLOCK`` members; a task takes two blocks, confirms on the texts at once, skips
+   pairs that its own links connect already, and returns those links only.
 5. Links are confirmed on the full shingle sets and components follow by
    alternating large-star and small-star steps on the links.
 
@@ -46,6 +49,8 @@ PREFIX = COORDINATES - MATCHES + 1
 #: Links have 100 * intersection >= 75 * union.
 THRESHOLD = 75
 STAR_ROUNDS = 3
+#: Members of a posting list up to which its pairs meet in a join; members of a block of longer lists.
+SMALL, BLOCK = 48, 256
 OUT = ("n_shingles", "component_id", "kept")
 
 _rng = np.random.default_rng(20_240_611)
@@ -164,6 +169,86 @@ def _labelled(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
     return postings.join(labels.withColumnRenamed("component", "_c"), "id", "left").withColumn("comp", F.coalesce("_c", "id")).drop("_c")
 
 
+def blocked_links(member: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links ``a, b`` between components within long posting lists, a spanning set for each pair of blocks."""
+    wide = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    rows = member.join(texts, "id").select("key", "id", "comp", "main", "n", "sig", "text", F.transform("keys", lambda k: F.shiftright(k, 32).cast("int")).alias("pos"), wide("minor").alias("na"), wide("total").alias("nb"))
+    block = lambda seed, n: F.pmod(F.xxhash64("id", F.lit(seed)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    kept = ["key", "id", "comp", "main", "n", "sig", "text", "pos"]
+    a = rows.filter("comp <> main").select(*kept, F.lit(0).alias("side"), block(1, "na").alias("i"), every("nb").alias("j"))
+    b = rows.select(*kept, F.lit(1).alias("side"), every("na").alias("i"), block(2, "nb").alias("j"))
+    deal = ["key", "i", "j"]
+    return a.unionByName(b).repartition(*deal).sortWithinPartitions(*deal, "side", "id").mapInArrow(_blocks, "a long, b long")
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list[dict] = []
+    now = None
+    for batch in batches:
+        found: list[tuple[int, int]] = []
+        for row in batch.to_pylist():
+            at = (row["key"], row["i"], row["j"])
+            if at != now:
+                found += _block_links(held)
+                now, held = at, []
+            held.append(row)
+        if found:
+            yield _pairs(found)
+    if found := _block_links(held):
+        yield _pairs(found)
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
+
+
+def _block_links(rows: list[dict]) -> list[tuple[int, int]]:
+    a, b = [r for r in rows if r["side"] == 0], [r for r in rows if r["side"] == 1]
+    if not a or not b:
+        return []
+    here = rows[0]["key"] >> 32
+    column = lambda side, c: np.array([r[c] for r in side], np.int64)
+    sig = [np.array([r["sig"] for r in side], np.int32) for side in (a, b)]
+    posted = [np.zeros((len(side), COORDINATES), bool) for side in (a, b)]
+    for side, mask in zip((a, b), posted, strict=True):
+        for i, r in enumerate(side):
+            mask[i, r["pos"]] = True
+    comp, size, ids = ([column(side, c) for side in (a, b)] for c in ("comp", "n", "id"))
+    tried: list[tuple[int, int, int]] = []
+    for i in range(len(a)):
+        fits = (comp[1] != comp[0][i]) & ((comp[1] == a[i]["main"]) | (ids[1] > ids[0][i])) & (100 * np.minimum(size[1], size[0][i]) >= THRESHOLD * np.maximum(size[1], size[0][i]))
+        js = np.flatnonzero(fits)
+        same = sig[1][js] == sig[0][i]
+        hits = same.sum(1)
+        # each pair belongs to the first key that both have posted
+        once = (same & posted[1][js] & posted[0][i]).argmax(1) == here
+        good = once & (hits >= MATCHES)
+        tried += [(-int(h), i, int(j)) for h, j in zip(hits[good], js[good], strict=True)]
+    if not tried:
+        return []
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    texts = {r["id"]: r["text"] for r in rows}
+    used = sorted({ids[0][i] for _, i, _ in tried} | {ids[1][j] for _, _, j in tried})
+    sets = dict(zip(used, shingle_sets(pa.array([texts[x] for x in used], pa.string())), strict=True))
+    out = []
+    for _, i, j in sorted(tried):
+        ra, rb = find(int(comp[0][i])), find(int(comp[1][j]))
+        if ra != rb:
+            x, y = sets[ids[0][i]], sets[ids[1][j]]
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            if both and 100 * both >= THRESHOLD * (len(x) + len(y) - both):
+                root[max(ra, rb)] = min(ra, rb)
+                out.append((int(ids[0][i]), int(ids[1][j])))
+    return out
+
+
 def near_dedup(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of each row of ``docs``."""
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
@@ -198,17 +283,19 @@ def near_dedup(docs: DataFrame) -> DataFrame:
 
     now = _labelled(postings, labels)
     size = now.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
-    main = size.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("s"), F.count(F.lit(1)).alias("k")).filter("k > 1").select("key", F.col("s.comp").alias("main"))
+    main = size.groupBy("key").agg(F.max(F.struct("c", "comp")).alias("s"), F.count(F.lit(1)).alias("k"), F.sum("c").alias("total")).filter("k > 1").select("key", F.col("s.comp").alias("main"), "total", (F.col("total") - F.col("s.c")).alias("minor"))
     own = now.groupBy("id").agg(F.collect_list("key").alias("keys"))  # at most PREFIX keys each
-    member = now.join(main, "key").join(own, "id").join(reps.select("id", "sig"), "id")
-    a = member.filter("comp <> main").select(F.col("key").alias("key_a"), *[F.col(c).alias(f"{c}_a") for c in ("id", "comp", "n", "keys", "sig")])
-    b = member.select("key", "main", *[F.col(c).alias(f"{c}_b") for c in ("id", "comp", "n", "keys", "sig")])
+    member = materialise(now.join(main, "key").join(own, "id").join(reps.select("id", "sig"), "id"), "members")
+    small = member.filter(F.col("total") <= SMALL)
+    a = small.filter("comp <> main").select(F.col("key").alias("key_a"), *[F.col(c).alias(f"{c}_a") for c in ("id", "comp", "n", "keys", "sig")])
+    b = small.select("key", "main", *[F.col(c).alias(f"{c}_b") for c in ("id", "comp", "n", "keys", "sig")])
     hits = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, v: s + v)
     once = F.array_min(F.array_intersect("keys_a", "keys_b")) == F.col("key")
     # of two members outside the largest component each pair is met from one side only
     on = (F.col("key_a") == F.col("key")) & (F.col("comp_a") != F.col("comp_b")) & ((F.col("comp_b") == F.col("main")) | (F.col("id_a") < F.col("id_b")))
     on = on & (100 * F.least("n_a", "n_b") >= THRESHOLD * F.greatest("n_a", "n_b")) & (hits >= MATCHES) & once
     rest = a.join(b, on).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    links.append(materialise(blocked_links(member.filter(F.col("total") > SMALL), texts), "blocks"))
     links.append(materialise(confirm_links(rest, texts), "rest"))
     labels = _labels(links)
 
