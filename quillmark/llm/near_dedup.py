@@ -254,6 +254,7 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     profile = materialise(rows.mapInArrow(_profile, "doc_id long, n_shingles long, hi long, lo long, sig array<int>"), "profiles")
     klass = profile.filter("n_shingles > 0").groupBy("hi", "lo").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
+    klass = materialise(klass, "classes")  # written, so that the join back to all rows has a shuffle of its own that can be split where a class is large
     reps = klass.filter("id is not null").select("id", "n", "sig")
 
     key = F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(F.col("col").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
