@@ -247,7 +247,8 @@ def keyed(docs: DataFrame) -> DataFrame:
 def repeated_spans(rows: DataFrame, length: int = LENGTH, keep: str = "none", gram: int = GRAM, group: int = GROUP) -> DataFrame:
     """Spans ``key, a, b`` (bytes, end exclusive; they may overlap) to remove from ``key, doc_id, text``."""
     found = rows.filter(F.octet_length("text") >= length).select("key", "text").mapInArrow(_anchor_rows(length, gram), "h long, around long, key long, at long")
-    twice = found.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h")
+    # written, so that the join below has a shuffle of its own that can be split where a k-gram is very common
+    twice = materialise(found.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h"), "grams")
     shared = materialise(found.join(twice, "h", "left_semi"), "anchors")
     kinds = materialise(shared.groupBy("around").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "at")).alias("first"), F.first("h").alias("h")), "surroundings")
     copies = shared.join(kinds.filter("n > 1").select("around", F.col("first").alias("one")), "around")
