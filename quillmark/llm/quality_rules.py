@@ -157,8 +157,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[tupl
     # a hash-threshold sample of ids: `sample` rows of 12 bytes expected, so small enough to broadcast
     some = labels.filter(F.col("quality").isNotNull() & (F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000)) < int(share * 1_000_000))).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
     stats = statistics(docs.join(F.broadcast(some.select("doc_id")), "doc_id", "left_semi"))
-    rows = stats.filter(~base_failed()).join(F.broadcast(some), "doc_id").select("doc_id", (F.col("quality") == 0).alias("low"), *[c.alias(k) for k, c in features().items()]).collect()
-    return cover([r.asDict() for r in sorted(rows, key=lambda r: tuple(r))][: 2 * sample])
+    # a filter on the base rule would be pushed below the semi join and compute the statistics of all texts
+    rows = stats.join(F.broadcast(some), "doc_id").select("doc_id", (F.col("quality") == 0).alias("low"), *[c.alias(k) for k, c in features().items()], base_failed().alias("failed")).collect()
+    return cover([r.asDict() for r in sorted(rows, key=lambda r: tuple(r)) if not r["failed"]][: 2 * sample])
 
 
 def verdict(rules: list[tuple[Condition, ...]]) -> Column:
