@@ -188,3 +188,17 @@ def test_landing_source_and_cache_key(spark, tmp_path):
     assert sorted((r["page"], r["record"]) for r in rows) == [(i, json.dumps({"id": i})) for i in range(3)]
     keys = spark.sql("SELECT 'u' AS u, map('b', '2', 'a', '1') AS m UNION ALL SELECT 'u', map('a', '1', 'b', '2')").select(landing.cache_key(F.col("u"), F.col("m")).alias("k"))
     assert keys.distinct().count() == 1
+
+
+def near_texts(spark, tmp_path, texts):
+    from quillmark.plans.registry import QUERIES
+
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    return QUERIES["near_duplicates_exact"](spark, str(tmp_path))
+
+
+def test_near_duplicates_read_whole_texts(spark, tmp_path):
+    body = lambda c: " ".join(f"{c}{i}" for i in range(60))
+    texts = [(1, "one first line\n" + body("x")), (2, "quite another title\n" + body("x")), (3, "one first line\n" + body("y")), (4, "One  first line\n" + body("z"))]
+    got = {(r["a"], r["b"]) for r in near_texts(spark, tmp_path, texts).collect()}
+    assert got == {(1, 2)}  # near bodies under different lines meet, different bodies under one line do not
