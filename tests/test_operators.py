@@ -202,3 +202,22 @@ def test_near_duplicates_read_whole_texts(spark, tmp_path):
     texts = [(1, "one first line\n" + body("x")), (2, "quite another title\n" + body("x")), (3, "one first line\n" + body("y")), (4, "One  first line\n" + body("z"))]
     got = {(r["a"], r["b"]) for r in near_texts(spark, tmp_path, texts).collect()}
     assert got == {(1, 2)}  # near bodies under different lines meet, different bodies under one line do not
+
+
+def test_near_duplicates_equal_brute_force(spark, tmp_path):
+    import random
+    from difflib import SequenceMatcher
+
+    rng = random.Random(5)
+    texts = []
+    for base in range(12):
+        n = rng.choice([1, 3, 8, 20, 60])
+        words = [f"w{rng.randrange(25)}" for _ in range(n)]
+        for k in range(6):  # changed words are spread evenly, so that runs of five words seldom survive
+            texts.append((base * 6 + k, " ".join(w if rng.random() > 0.04 * k else f"w{rng.randrange(25)}" for w in words)))
+    first = {}
+    for i, t in texts:
+        first.setdefault(t, i)
+    want = {(i, j) for a, i in first.items() for b, j in first.items() if i < j and SequenceMatcher(None, a.split(), b.split(), autojunk=False).ratio() >= 0.82}
+    got = {(r["a"], r["b"]) for r in near_texts(spark, tmp_path, texts).filter("ratio < 1").collect()}
+    assert got == want and len(want) > 20
