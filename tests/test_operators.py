@@ -221,3 +221,9 @@ def test_near_duplicates_equal_brute_force(spark, tmp_path):
     want = {(i, j) for a, i in first.items() for b, j in first.items() if i < j and SequenceMatcher(None, a.split(), b.split(), autojunk=False).ratio() >= 0.82}
     got = {(r["a"], r["b"]) for r in near_texts(spark, tmp_path, texts).filter("ratio < 1").collect()}
     assert got == want and len(want) > 20
+
+
+def test_near_duplicates_return_every_copy(spark, tmp_path):
+    body = " ".join(f"x{i}" for i in range(40))
+    got = near_texts(spark, tmp_path, [(1, body), (2, body.upper()), (3, body + "  "), (4, body + " y"), (5, body + " y"), (6, "z")])
+    assert {(r["kind"], r["a"], r["b"]) for r in got.collect()} == {("near", 1, 4), ("copy", 1, 2), ("copy", 1, 3), ("copy", 4, 5)}
