@@ -81,6 +81,38 @@ def fuse_candidates_edge(spark, d):
     return lenient.unionByName(strict).select("mode", "kind", "id", "rrf", "pos")
 
 
+PROBES_SQL = """v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings), p AS (SELECT vec_id AS probe, label, e FROM v WHERE vec_id % 20 = 0),
+o AS (SELECT probe, min(vec_id) AS other FROM p JOIN v ON v.label = p.label AND vec_id <> probe GROUP BY probe), q AS (SELECT probe, 'vector' AS list, e AS q FROM p UNION ALL SELECT probe, 'topic', e FROM o JOIN v ON vec_id = other),
+x AS (SELECT probe, list, vec_id AS id, round(list_cosine_similarity(e, q), 6) AS cos FROM v, q), r AS (SELECT probe, list, id, row_number() OVER (PARTITION BY probe, list ORDER BY cos DESC, id) AS rank FROM x QUALIFY rank <= 30)"""
+
+
+def _ranked_probes(spark, d):
+    """``probe, list, id, rank``: every 20th vector ranks by itself and by the first other vector of its topic."""
+    vectors = table(spark, d, "embeddings")
+    probes = vectors.filter("vec_id % 20 = 0")
+    first = R.top(vectors.select("label", "vec_id"), ["label"], [F.col("vec_id")], 2).select("label", F.col("vec_id").alias("other"))
+    topic = probes.select("label", F.col("vec_id").alias("for")).join(first, "label").filter("other <> for").groupBy("for").agg(F.min("other").alias("probe"))
+    others = vectors.join(topic.select(F.col("probe").alias("vec_id")).distinct(), "vec_id", "left_semi")
+    own = R.vector_top(vectors, probes, 30).select("probe", F.lit("vector").alias("list"), F.col("vec_id").alias("id"), "rank")
+    second = R.vector_top(vectors, others, 30).join(topic, "probe").select(F.col("for").alias("probe"), F.lit("topic").alias("list"), F.col("vec_id").alias("id"), "rank")
+    return own.unionByName(second)
+
+
+@query("rrf_fusion_probes", f"WITH {PROBES_SQL}, f AS (SELECT probe, id, round(sum(1.0::DOUBLE / (60 + rank)), 9) AS rrf, min({{'l': list, 'r': rank}}) AS seen FROM r GROUP BY ALL) SELECT probe, id, rrf, row_number() OVER (PARTITION BY probe ORDER BY rrf DESC, seen) AS pos FROM f")
+def rrf_fusion_probes(spark, d):
+    return R.fuse(_ranked_probes(spark, d), ["probe"])
+
+
+@query("fuse_candidates_probes", f"""WITH {PROBES_SQL}, c AS (SELECT 'both' AS kind, * FROM r UNION ALL SELECT list || ' only', * FROM r),
+f AS (SELECT probe, kind, id, round(sum(1.0::DOUBLE / (60 + rank)), 9) AS rrf, min({{'l': list, 'r': rank}}) AS seen FROM c GROUP BY ALL), s AS (SELECT probe, kind FROM c GROUP BY ALL HAVING min(list) = 'vector'),
+g AS (SELECT 'lenient' AS mode, * FROM f UNION ALL SELECT 'strict', * FROM f ANTI JOIN s USING (probe, kind))
+SELECT mode, probe, kind, id, rrf, row_number() OVER (PARTITION BY mode, probe, kind ORDER BY rrf DESC, seen) AS pos FROM g""")
+def fuse_candidates_probes(spark, d):
+    cases = _ranked_probes(spark, d).withColumn("kind", F.explode(F.array(F.lit("both"), F.concat("list", F.lit(" only")))))
+    lenient, strict = (R.fuse_candidates(cases, ["probe", "kind"], s).withColumn("mode", F.lit(m)) for m, s in (("lenient", False), ("strict", True)))
+    return lenient.unionByName(strict).select("mode", "probe", "kind", "id", "rrf", "pos")
+
+
 SEGMENTS = r"list_filter(list_transform(string_split_regex({0}, '(?i)\band\b|\bor\b|[,;]|\?'), lambda s: regexp_replace(s, '^\s+|\s+$', '', 'g')), lambda s: s <> '')"
 
 

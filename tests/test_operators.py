@@ -227,3 +227,13 @@ def test_near_duplicates_return_every_copy(spark, tmp_path):
     body = " ".join(f"x{i}" for i in range(40))
     got = near_texts(spark, tmp_path, [(1, body), (2, body.upper()), (3, body + "  "), (4, body + " y"), (5, body + " y"), (6, "z")])
     assert {(r["kind"], r["a"], r["b"]) for r in got.collect()} == {("near", 1, 4), ("copy", 1, 2), ("copy", 1, 3), ("copy", 4, 5)}
+
+
+def test_fusion_covers_every_probe(spark, tmp_path):
+    from quillmark.plans.registry import QUERIES
+
+    rows = [(i, [float(i % 7 + 1), float(i % 5)], i % 3) for i in range(30, 121)] + [(140, [1.0, 1.0], 9)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {r["probe"]: r["count"] for r in QUERIES["rrf_fusion_probes"](spark, str(tmp_path)).groupBy("probe").count().collect()}
+    assert set(got) == {40, 60, 80, 100, 120, 140}  # neither vector 0 nor 20 is needed
+    assert got[140] == 30 and got[40] > 30  # the one vector of its topic has a single list
