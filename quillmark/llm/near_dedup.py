@@ -42,7 +42,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .shared import materialise
-from .textblocks import BASE, blocks, lower_ascii, mix, prefix_hash, span_hash, utf8, words
+from .textblocks import CHAIN, blocks, lower_ascii, mix, prefix_hash, span_hash, utf8, words
 
 SHINGLE, COORDINATES, MATCHES = 5, 48, 22
 PREFIX = COORDINATES - MATCHES + 1
@@ -70,7 +70,7 @@ def shingle_sets(column: pa.Array, shingle: int = SHINGLE) -> Iterator[np.ndarra
         n = max(0, len(word) - shingle + 1)
         rolled = np.zeros(n, np.uint64)
         for k in range(shingle):
-            rolled = mix(rolled * np.uint64(BASE) + word[k : k + n])
+            rolled = mix(rolled * np.uint64(CHAIN) + word[k : k + n])
         for i in range(last - first):
             a, b = int(top[i]), int(top[i + 1])
             if b - a >= shingle:
@@ -78,7 +78,7 @@ def shingle_sets(column: pa.Array, shingle: int = SHINGLE) -> Iterator[np.ndarra
             elif b > a:
                 whole = np.zeros(1, np.uint64)
                 for k in range(a, b):
-                    whole = mix(whole * np.uint64(BASE) + word[k])
+                    whole = mix(whole * np.uint64(CHAIN) + word[k])
                 yield mix(whole + np.uint64(b - a))
             else:
                 yield np.zeros(0, np.uint64)

@@ -13,22 +13,28 @@ import numpy as np
 import pyarrow as pa
 import regex
 
-#: Odd base of the polynomial hashes modulo 2**64, and its inverse.
-BASE = 0x9E3779B97F4A7C15
-INVERSE = pow(BASE, -1, 1 << 64)
-BLOCK = 1 << 20
+#: Polynomial hashes modulo a prime, by two bases at once (powers of two as moduli collide on Thue-Morse words).
+PRIME, BASES = (1 << 31) - 1, (0x3C6EF372, 0x5BD1E995)
+#: Odd multiplier that chains hashes of neighbours, each step mixed.
+CHAIN = 0x9E3779B97F4A7C15
+BLOCK = 1 << 18
 
 
 @lru_cache(maxsize=1)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = np.full(size, BASE, np.uint64), np.full(size, INVERSE, np.uint64)
-    up[0] = down[0] = 1
-    return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+def _powers(size: int) -> np.ndarray:
+    """For each base, its powers and those of its inverse."""
+    out = np.ones((len(BASES), 2, size), np.uint32)
+    for rows, base in zip(out, BASES, strict=True):
+        for row, x in zip(rows, (base, pow(base, -1, PRIME)), strict=True):
+            n = 1
+            while n < size:
+                row[n : 2 * n] = row[: min(n, size - n)].astype(np.uint64) * np.uint64(pow(x, n, PRIME)) % np.uint64(PRIME)
+                n *= 2
+    return out
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, at least ``n`` of each."""
-    return _powers(1 << max(21, int(n).bit_length()))
+def powers(n: int) -> np.ndarray:
+    return _powers(1 << max(19, int(n).bit_length()))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -40,16 +46,22 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def prefix_hash(values: np.ndarray) -> np.ndarray:
-    """``p[i]``: the sum of ``values[j] * BASE**j`` for j < i."""
+    """For each base, ``p[i]``: the sum of ``(values[j] + 1) * base**j`` for j < i, each term below 2**32."""
     n = len(values)
-    out = np.zeros(n + 1, np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * powers(n)[0][:n], out=out[1:], dtype=np.uint64)
+    out = np.zeros((len(BASES), n + 1), np.uint64)
+    plus = values.astype(np.uint64) + np.uint64(1)
+    for row, (up, _) in zip(out, powers(n), strict=True):
+        x = plus * up[:n]
+        np.cumsum((x & np.uint64(PRIME)) + (x >> np.uint64(31)), out=row[1:])
     return out
 
 
 def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of ``values[start:end]``, the same wherever these values lie."""
-    return mix((prefix[end] - prefix[start]) * powers(len(prefix))[1][start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    """64-bit hash of ``values[start:end]``, the same wherever these values lie."""
+    out = (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    for row, (_, down) in zip(prefix, powers(prefix.shape[1]), strict=True):
+        out = mix(out ^ ((row[end] - row[start]) % np.uint64(PRIME) * down[start] % np.uint64(PRIME)))
+    return out
 
 
 def expand(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -120,17 +132,22 @@ def _classes() -> np.ndarray:
     return table
 
 
-def pretokens(text: str, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def pretokens(text: str, offsets: np.ndarray, special: tuple[str, ...] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Code points of ``text``, starts of its pre-tokens (with the end), each document's first one.
 
     ``offsets``: where the joined documents begin, in code points. The pattern:
     contractions, then letters, numbers or other signs with at most one space
     before them, then white space, whose last character stays for what follows.
+    Strings in ``special`` within a document end what is before them and are one
+    pre-token each.
     """
     points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
     n = len(points)
     if not n:
         return points, np.zeros(1, np.int64), np.zeros(len(offsets), np.int64)
+    documents, whole = offsets, _places(text, offsets, special)
+    if len(whole):
+        offsets = np.union1d(offsets, whole)
     kind = _classes()[points]
     begin = np.empty(n + 1, bool)
     begin[0] = begin[n] = True
@@ -153,5 +170,16 @@ def pretokens(text: str, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     two = two[np.isin(pair, [ord(x[0]) << 32 | ord(x[1]) for x in ("re", "ve", "ll")])]
     begin[two + 1] = False
     begin[two + 3] = True
+    if len(whole):
+        begin[expand(whole[:, 0] + 1, whole[:, 1] - whole[:, 0] - 1)] = False
     starts = np.flatnonzero(begin)
-    return points, starts, np.searchsorted(starts, offsets)
+    return points, starts, np.searchsorted(starts, documents)
+
+
+def _places(text: str, offsets: np.ndarray, strings: tuple[str, ...]) -> np.ndarray:
+    """Start and end of each occurrence within a document, leftmost first and the longest of several that start together."""
+    if not any(s in text for s in strings):
+        return np.zeros((0, 2), np.int64)
+    pattern = regex.compile("|".join(regex.escape(s) for s in sorted(strings, key=len, reverse=True)))
+    found = [m.span() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True) for m in pattern.finditer(text, a, b)]
+    return np.array(found, np.int64).reshape(-1, 2)

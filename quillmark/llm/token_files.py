@@ -12,14 +12,18 @@ Ids are little-endian, two bytes each where the vocabulary allows it, else four.
 
 Defined results: a null text counts as empty (the end id alone); a null
 ``doc_id`` sorts first; rows with the same ``doc_id`` follow each other in the
-order of their texts; an empty table gives an empty file.
+order of their texts; an empty table gives an empty file; extra columns are
+ignored, whatever their names; a text of any length is one frame.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -32,30 +36,66 @@ from pyspark.sql import functions as F
 from .bpe import _MEMO, encode_batch, tokenizer_file
 from .shared import shuffle_partitions
 
-#: At most this many documents (expected), and this many ids of each, train the dictionary.
-SAMPLE_DOCS, SAMPLE_IDS, DICT_BYTES = 1000, 4096, 64 << 10
+#: About so many slices (expected) of so many ids, drawn from all of the texts, train the dictionary.
+SLICES, SLICE_IDS, DICT_BYTES = 1000, 4096, 64 << 10
 SHARD_DOCS, SHARD_BYTES, LEVEL = 512, 4 << 20, 3
 _SHARD = "part int, shard int, base long, n_ids long, dict_sha256 string, width int, doc_ids array<long>, frame_offsets array<long>, frames binary"
 
 
+@dataclass(frozen=True)
+class Encoder:
+    """Encodes pre-tokens, or whole texts where only that gives what the library gives."""
+
+    size: int
+    special: tuple[str, ...]
+    words: Callable[[list[str]], list[bytes]] | None
+    texts: Callable[[list[str]], list[bytes]]
+
+
+def _byte_signs() -> dict[int, str]:
+    """Latin-1 characters to the signs of the byte-level alphabet: printable bytes stand for themselves, others follow from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + i) for i, b in enumerate(rest)}
+
+
 @lru_cache(maxsize=2)
-def _encoder(path: str):
+def encoder(path: str) -> Encoder:
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(tokenizer_file(path))
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return lambda words: [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)], tokenizer.get_vocab_size()
+    file = tokenizer_file(path)
+    tokenizer = Tokenizer.from_file(file)
+    with open(file, encoding="utf-8") as f:
+        said = json.load(f)
+    plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+    by_word = said["normalizer"] is None and {k: v for k, v in said["pre_tokenizer"].items() if k in plain} == plain and said["model"]["type"] == "BPE" and not said["model"]["dropout"]
+    by_word = by_word and not any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in said["added_tokens"])
+    special = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in said["added_tokens"]}
+    signs, tokenize = _byte_signs(), tokenizer.model.tokenize
+
+    def words(pieces: list[str]) -> list[bytes]:
+        return [special.get(w) or array("I", [t.id for t in tokenize(w.encode().decode("latin-1").translate(signs))]).tobytes() for w in pieces]
+
+    def texts(whole: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(whole, add_special_tokens=False)]
+
+    return Encoder(tokenizer.get_vocab_size(), tuple(special), words if by_word else None, texts)
 
 
 def _ids(column: pa.Array, path: str) -> Iterator[np.ndarray]:
-    encode, _ = _encoder(path)
-    for first, last, ids, tops in encode_batch(column, encode, _MEMO.setdefault(path, {})):
+    """Ids of each text. The library's model sees each distinct pre-token once; added tokens count as in the library's own call."""
+    e = encoder(path)
+    if e.words is None:
+        for text in column.to_pylist():
+            yield np.frombuffer(e.texts([text or ""])[0], "<u4")
+        return
+    for first, last, ids, tops in encode_batch(column, e.words, _MEMO.setdefault(path, {}), e.special):
         for i in range(last - first):
             yield ids[tops[i] : tops[i + 1]]
 
 
 def _width(path: str, end_id: int) -> int:
-    return 2 if max(_encoder(path)[1], end_id + 1) <= 1 << 16 else 4
+    return 2 if max(encoder(path).size, end_id + 1) <= 1 << 16 else 4
 
 
 def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
@@ -64,16 +104,22 @@ def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
 
 def train_dictionary(docs: DataFrame, tokenizer_path: str, end_id: int) -> bytes:
     """Dictionary bytes; empty where the sample is too small to train one."""
-    share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
-    some = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1_000_000)) < int(share * 1_000_000)).select(F.coalesce("text", F.lit("")).alias("text"))
+    text = F.coalesce("text", F.lit(""))
+    slices = F.floor(F.octet_length(text) / (4 * SLICE_IDS)) + 1
+    every = docs.agg(F.sum(slices)).first()[0] or 1
+    # a longer text is drawn more often in its proportion, and gives one slice at a random place
+    some = docs.filter(F.rand(29) < slices * (SLICES / every)).select(text.alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kind = f"<u{_width(tokenizer_path, end_id)}"
-            found = [np.append(x[: SAMPLE_IDS - 1], end_id).astype(kind).tobytes() for x in _ids(batch.column("text"), tokenizer_path)]
+            kind, found = f"<u{_width(tokenizer_path, end_id)}", []
+            for ids in _ids(batch.column("text"), tokenizer_path):
+                ids = np.append(ids, end_id).astype(kind)
+                at = zlib.crc32(ids) % -(-len(ids) // SLICE_IDS) * SLICE_IDS
+                found.append(ids[at : at + SLICE_IDS].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["ids"])
 
-    samples = [bytes(r["ids"]) for r in some.mapInArrow(run, "ids binary").collect()[: 2 * SAMPLE_DOCS]]
+    samples = [bytes(r["ids"]) for r in some.mapInArrow(run, "ids binary").collect()]
     try:
         return zstandard.train_dictionary(DICT_BYTES, sorted(samples)).as_bytes()
     except (zstandard.ZstdError, ValueError):

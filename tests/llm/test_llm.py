@@ -47,9 +47,31 @@ def empty(spark):
     return frame(spark, [])
 
 
+def thue_morse(n, letters):
+    return "".join(letters[i.bit_count() & 1] for i in range(n))
+
+
+#: Different words of one length whose polynomial hashes modulo a power of two agree.
+THUE_MORSE = [thue_morse(n, x) for n in (1024, 2048, 4096) for x in ("ab", "ba")]
+
 # ---- shared text helpers ----
 
 
+def test_hashes_tell_thue_morse_words_apart():
+    for a, b in zip(THUE_MORSE[::2], THUE_MORSE[1::2], strict=True):
+        points = np.frombuffer((a + b).encode(), np.uint8)
+        prefix = textblocks.prefix_hash(points)
+        x, y = textblocks.span_hash(prefix, np.array([0, len(a)]), np.array([len(a), len(a + b)]))
+        assert x != y
+
+
+def test_special_strings_are_pretokens():
+    text = "a <|e|> b<|e|><|e|><|" + "e|>"
+    at = np.array([0, len(text) - 3, len(text)])
+    _, starts, tops = textblocks.pretokens(text, at, ("<|e|>",))
+    assert [text[a:b] for a, b in zip(starts[:-1], starts[1:], strict=True)] == ["a", " ", "<|e|>", " b", "<|e|>", "<|e|>", "<|", "e", "|>"] and tops.tolist() == [0, 7, 9]
+
+
 def test_pretokens_equal_the_pattern():
     import regex
 
@@ -223,7 +245,7 @@ def test_bpe_equals_the_library(texts):
     vocab = bpe.Vocabulary(RANKS)
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=vocab.ids, special_tokens={})
     random.seed(6)
-    rows = [t for t in list(texts.values())[:60]] + ["".join(random.choices("abcdefgh ABC'sé中😀\n\t  123!?..", k=random.randrange(60))) for _ in range(1500)] + ["a" * 3000, "ab" * 1500, "", None, "<|endoftext|>"]
+    rows = [t for t in list(texts.values())[:60]] + ["".join(random.choices("abcdefgh ABC'sé中😀\n\t  123!?..", k=random.randrange(60))) for _ in range(1500)] + ["a" * 3000, "ab" * 1500, "", None, "<|endoftext|>", *THUE_MORSE]
     for first, last, ids, tops in bpe.encode_batch(pa.array(rows), vocab.encode_words, {}):
         for i in range(last - first):
             own = ids[tops[i] : tops[i + 1]]
@@ -274,8 +296,9 @@ def test_token_files_round_trip(spark, docs, texts, tmp_path):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
     path = str(tmp_path / "ids")
+    texts = texts | {900_000 + i: t for i, t in enumerate(["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>", " <|endoftext|", *THUE_MORSE])}
+    docs = frame(spark, list(texts.items()))
     token_files.write_token_files(docs, path, JSON, 2)
     start = 0
     for r in token_files.read_token_files(spark, path).orderBy("doc_id").collect():
