@@ -1,33 +1,42 @@
-"""Removal of long repeats with suffix order and longest-previous-factor arrays.
+"""Removal of long repeats by longest-previous-factor arrays.
 
 Bytes covered by a string of ``length`` bytes that also starts elsewhere are
 removed: all copies (``keep="none"``) or all but the first (``keep="first"``).
 
-Suffixes cannot be sorted in one place, so windows of ``length`` bytes are dealt
-out by content first. Each window belongs to its minimiser, the k-gram of the
-least hash inside it; equal windows have equal minimisers at equal offsets. So:
-
-1. One pass finds the minimisers ("anchors") of all whole texts, each with the
-   run of windows that it owns, and drops anchors whose k-gram occurs once.
-2. Anchors whose whole surroundings (all their windows) occur twice or more are
-   settled by counting: inside long copies that is nearly all of them.
-3. One of each remaining kind of surroundings is sorted with its group: windows
-   in suffix order (compared in full, to ``length`` bytes), ties in text order.
-   A suffix has an earlier match of ``length`` bytes if and only if its previous
-   smaller position in that order lies in the same run of equal windows, and any
-   match if the run has two. Groups above ``GROUP`` members are counted by window
-   hash instead, row by row, so that no group gathers in one task.
+Suffixes of a whole corpus cannot be sorted in one place, so windows of
+``length`` bytes are dealt out by content. Each window belongs to its minimiser,
+the k-gram of the least hash inside it; equal windows have equal minimisers at
+equal offsets, so they meet in one group.
+
+1. One pass finds the minimisers ("anchors") of all whole texts, each with the run
+   of windows that it owns; k-grams that occur once are dropped.
+2. The bytes around the remaining anchors are grouped by k-gram. Of each group a
+   task builds the suffix order, the common prefixes of neighbours, and from the
+   previous and next smaller positions in that order each suffix's longest previous
+   factor (``previous_factors``). A window whose factor has ``length`` bytes is a
+   later copy. With larger positions in place of smaller ones the same gives longest
+   next factors, so that first copies are found as well. Members that are equal byte
+   for byte stand for each other and enter the arrays once.
+3. A group of more than ``GROUP`` members is not sent to one task: Spark counts its
+   equal members first (grouped by their bytes, partly before the shuffle). One of
+   each kind goes on; if still too many, each is cut in two by where its windows lie,
+   with a longer gram (the k-gram and what is next to it) as the new group. A gram
+   reaches ``length`` after eight cuts at most, and then the group is one kind.
 
 Defined results: a null text is empty; matches never cross rows; texts shorter
-than ``length`` bytes keep all; repeated rows (same id and text) are copies of
-each other like any others; where ids repeat or are null, rows are told apart by
-a hash of id and text, and ``keep="first"`` keeps the copy of the smallest hash.
+than ``length`` bytes keep all; repeated rows are copies of each other like any
+others; where ids repeat or are null, rows are told apart by their place in a
+written copy of the table, and ``keep="first"`` keeps the copy that comes first
+there (else that of the smallest ``doc_id``); extra columns are ignored, whatever
+their names; an empty table gives an empty result. Long texts are read in pieces
+that overlap by ``length`` bytes.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +44,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import materialise
-from .textblocks import blocks, expand, mix, prefix_hash, span_hash, utf8
+from .textblocks import BLOCK, CHAIN, blocks, expand, mix, utf8
 
 LENGTH, GRAM = 200, 32
-#: Kinds of surroundings that one anchor may have to be sorted in one task, and windows sorted at once.
-GROUP, WINDOWS = 4096, 200_000
+#: Members of a group that one task sorts; bytes of groups held at once; members that are cut out of texts at once.
+GROUP, HELD, MEMBERS = 1024, 1 << 20, 1 << 13
 OUT = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
+_ITEM = "g long, key long, lo int, off int, gram int, bytes binary"
+_SPANS = "key long, a int, b int"
+
+
+# ---- anchors ----
 
 
 def _slide(a: np.ndarray, width: int, f) -> np.ndarray:
@@ -53,16 +67,19 @@ def _slide(a: np.ndarray, width: int, f) -> np.ndarray:
     return f(a[: len(a) - (width - n)], a[width - n :]) if n < width else a
 
 
+def _gram_codes(data: np.ndarray, gram: int) -> np.ndarray:
+    """A code of each k-gram; it only deals windows out, so that codes need not be unique."""
+    return mix(_slide((data.astype(np.uint64) + np.uint64(1)) * np.uint64(CHAIN), gram, lambda x, y: x * np.uint64(0xD6E8FEB86659FD93) + (y ^ (y >> np.uint64(29)))))
+
+
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Of a block of texts: text number, hash, k-gram position, first and last owned window, hash of all owned."""
+    """Of a block of texts: text number, k-gram code and position, first and last owned window."""
     n, width = len(data), length - gram + 1
     none = np.zeros(0, np.int64)
     if n < length:
-        return none, none.astype(np.uint64), none, none, none, none.astype(np.uint64)
-    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    prefix = prefix_hash(data)
-    at = np.arange(n - gram + 1)
-    g = span_hash(prefix, at, at + gram)
+        return none, none.astype(np.uint64), none, none, none
+    doc = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
+    g = _gram_codes(data, gram)
     g[g == _TOP] = 1
     g[doc[: n - gram + 1] != doc[gram - 1 :]] = _TOP
     m = _slide(g, width, np.minimum)
@@ -87,9 +104,19 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tu
         hi[left[taken]] = np.minimum(hi[left[taken]], p[left[taken] + step] - width)
         left, step = left[~taken], step + 1
     ok = hi >= lo
-    p, lo, hi, h = p[ok], lo[ok], hi[ok], h[ok]
-    around = mix(span_hash(prefix, lo, hi + length) + (p - lo).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + h)
-    return doc[p], h, p - begin[ok], lo - begin[ok], hi - begin[ok], around
+    p, lo, hi, h, begin = p[ok], lo[ok], hi[ok], h[ok], begin[ok]
+    return doc[p].astype(np.int64), h, p - begin, lo - begin, hi - begin
+
+
+def _pieces(offsets: np.ndarray, length: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """First text, place of its part within it, and bounds in the data; long texts in parts of whole windows."""
+    for first, last in blocks(offsets, BLOCK):
+        a, b = int(offsets[first]), int(offsets[last])
+        if last - first > 1 or b - a <= 2 * BLOCK:
+            yield first, 0, offsets[first : last + 1]
+        else:
+            for s in range(a, b - length + 1, BLOCK):
+                yield first, s - a, np.array([s, min(s + BLOCK + length - 1, b)])
 
 
 def _anchor_rows(length: int, gram: int):
@@ -97,48 +124,107 @@ def _anchor_rows(length: int, gram: int):
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
             keys = np.asarray(batch.column("key").to_numpy(zero_copy_only=False), np.int64)
-            for first, last in blocks(offsets):
-                doc, h, p, lo, hi, around = anchors(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], length, gram)
-                at = lo << 32 | (p - lo) << 16 | (hi - lo)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(around.view(np.int64)), pa.array(keys[first + doc]), pa.array(at)], ["h", "around", "key", "at"])
+            for first, place, at in _pieces(offsets, length):
+                doc, h, p, lo, hi = anchors(data[at[0] : at[-1]], at - at[0], length, gram)
+                at = lo + place << 32 | (p - lo) << 16 | (hi - lo)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(keys[first + doc]), pa.array(at)], ["h", "key", "at"])
 
     return run
 
 
-def _span(at, length: int) -> tuple:
-    lo = F.shiftright(at, 32)
-    return lo.cast("int").alias("a"), (lo + at.bitwiseAND(F.lit(0xFFFF)) + length).cast("int").alias("b")
+def _binary(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    at = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(data))])
 
 
-def _surroundings(length: int):
+def _members(length: int, gram: int):
     """Of each text, the bytes around its open anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
-            keys = batch.column("key").to_pylist()
-            for i, open_ in enumerate(batch.column("open").to_pylist()):
-                text = data[offsets[i] : offsets[i + 1]]
-                rows = [(x["h"], keys[i], x["at"] >> 32, text[x["at"] >> 32 : (x["at"] >> 32) + (x["at"] & 0xFFFF) + length].tobytes()) for x in open_]
-                yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.binary()))], ["h", "key", "lo", "bytes"])
+            keys = np.asarray(batch.column("key").to_numpy(zero_copy_only=False), np.int64)
+            lists = batch.column("open")
+            flat = lists.flatten()
+            h, at = (flat.field(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+            owner = np.repeat(np.arange(batch.num_rows), np.asarray(lists.value_lengths()))
+            for k in range(0, len(h), MEMBERS):
+                own, x = owner[k : k + MEMBERS], at[k : k + MEMBERS]
+                lo, size = x >> 32, (x & 0xFFFF) + length
+                bytes_ = _binary(data[expand(offsets[own] + lo, size)], size)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h[k : k + MEMBERS]), pa.array(keys[own]), pa.array(lo.astype(np.int32)), pa.array((x >> 16 & 0xFFFF).astype(np.int32)), pa.array(np.full(len(x), gram, np.int32)), bytes_],
+                    ["g", "key", "lo", "off", "gram", "bytes"],
+                )
 
     return run
 
 
-def previous_factors(windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For fixed-length suffixes given in text order: has an earlier equal one, has any equal one.
+# ---- factor arrays ----
+
+
+def _suffix_levels(data: np.ndarray, length: int) -> list[tuple[int, np.ndarray]]:
+    """Ranks of all substrings of 8, 16, 32 ... bytes, up to ``length``, by doubling."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data),), ">u8", padded, strides=(1,)).astype(np.uint64)
+    levels = [(8, np.unique(eight, return_inverse=True)[1])]
+    while levels[-1][0] * 2 <= length and len(levels[-1][1]) > levels[-1][0]:
+        w, r = levels[-1]
+        levels.append((2 * w, np.unique(r[:-w] * (len(data) + 1) + r[w:], return_inverse=True)[1]))
+    return levels
 
-    They are put in suffix order with ties in text order; the previous smaller
-    position of a suffix within its run of equal ones is then its left neighbour.
+
+def _common(data: np.ndarray, levels: list[tuple[int, np.ndarray]], a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
+    """Length of the common prefix of the suffixes at ``a`` and ``b``, to ``length`` bytes."""
+    out = np.zeros(len(a), np.int64)
+    for w, r in reversed(levels):
+        live = np.flatnonzero(out + w <= length)
+        live = live[r[a[live] + out[live]] == r[b[live] + out[live]]]
+        out[live] += w
+    live = np.flatnonzero(out < length)
+    while len(live):
+        live = live[data[a[live] + out[live]] == data[b[live] + out[live]]]
+        out[live] += 1
+        live = live[out[live] < length]
+    return out
+
+
+def _towards_smaller(position: np.ndarray, common: np.ndarray, least: int) -> np.ndarray:
+    """Of each suffix, in suffix order, the prefix it shares with the nearest one before it that has a smaller position.
+
+    ``common[i]``: prefix shared with the one before. Candidates are skipped by
+    jumping along their own candidates; a shared prefix below ``least`` ends the
+    search and counts as 0.
     """
-    order = np.argsort(windows, kind="stable")
-    ranked = windows[order]
-    same = ranked[1:] == ranked[:-1]
-    earlier, any_ = np.zeros(len(windows), bool), np.zeros(len(windows), bool)
-    earlier[order[1:][same]] = True
-    any_[order[1:][same]] = True
-    any_[order[:-1][same]] = True
-    return earlier, any_
+    at, shared = np.arange(len(position)) - 1, common.copy()
+    shared[:1] = 0
+    live = np.flatnonzero((at >= 0) & (shared >= least))
+    while len(live):
+        live = live[position[at[live]] > position[live]]
+        over = at[live]
+        shared[live], at[live] = np.minimum(shared[live], shared[over]), at[over]
+        live = live[(at[live] >= 0) & (shared[live] >= least)]
+    return np.where(shared >= least, shared, 0)
+
+
+def previous_factors(data: np.ndarray, starts: np.ndarray, position: np.ndarray, length: int, least: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Longest previous and longest next factors of the suffixes at ``starts``, to ``length`` bytes.
+
+    ``position``: their distinct places in the text. Each suffix has ``length``
+    bytes of its own text. Factors shorter than ``least`` count as 0.
+    """
+    levels = _suffix_levels(data, length)
+    w, r = levels[-1]
+    order = np.lexsort((position, r[starts + length - w], r[starts]))
+    placed = position[order]
+    common = np.concatenate([[0], _common(data, levels, starts[order[:-1]], starts[order[1:]], length)])
+    back = np.concatenate([common[1:], [0]])[::-1]  # the same order read from its end
+    out = []
+    for sign in (1, -1):
+        factor = np.empty(len(starts), np.int64)
+        factor[order] = np.maximum(_towards_smaller(sign * placed, common, least), _towards_smaller(sign * placed[::-1], back, least)[::-1])
+        out.append(factor)
+    return out[0], out[1]
 
 
 def _runs(flags: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -149,131 +235,163 @@ def _runs(flags: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.flatnonzero(after & (~before | edge)), np.flatnonzero(before & (~after | edge)) - 1
 
 
-def _sorted_groups(length: int, keep: str):
-    def settle(keys: np.ndarray, lo: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
-        counts = np.diff(offsets) - length + 1
-        index = expand(offsets[:-1], counts)
-        windows = np.lib.stride_tricks.sliding_window_view(data, length)[index].view(f"S{length}").ravel()
-        earlier, any_ = previous_factors(windows)
-        ends = np.concatenate([[0], np.cumsum(counts)])
-        first, last = _runs(earlier if keep == "first" else any_, ends)
-        owner = np.searchsorted(ends, first, "right") - 1
-        base = lo[owner] - ends[owner]
-        return pa.RecordBatch.from_arrays([pa.array(keys[owner]), pa.array((base + first).astype(np.int32)), pa.array((base + last + length).astype(np.int32))], ["key", "a", "b"])
+def _factors_of_groups(length: int, keep: str):
+    """Spans to remove from items sorted by group and position."""
+
+    def settle(rows: pa.Table) -> pa.RecordBatch:
+        g, key, lo = (rows.column(c).to_numpy().astype(np.int64) for c in ("g", "key", "lo"))
+        kinds: dict[tuple[int, bytes], int] = {}
+        kind = np.array([kinds.setdefault(x, len(kinds)) for x in zip(g.tolist(), rows.column("bytes").to_pylist(), strict=True)])
+        one = np.unique(kind, return_index=True)[1]  # rows come in the order of positions, so the first is the earliest
+        data, offsets = utf8(rows.column("bytes"))
+        copy = np.ones(len(kind), bool)
+        if keep == "first":
+            copy[one] = False
+        else:
+            copy = (np.bincount(kind) > 1)[kind]
+        spans = [(key[copy], lo[copy], lo[copy] + np.diff(offsets)[copy])]
+        _, at, mates = np.unique(g[one], return_inverse=True, return_counts=True)
+        several = one[mates[at] > 1]
+        if len(several):
+            sizes = (offsets[several + 1] - offsets[several]).astype(np.int64)
+            own = data[expand(offsets[several], sizes)]
+            ends = np.cumsum(sizes)
+            counts = sizes - length + 1
+            starts = expand(ends - sizes, counts)
+            owner = np.repeat(np.arange(len(several)), counts)
+            base = lo[several] - (ends - sizes)
+            place = np.empty(len(starts), np.int64)
+            place[np.lexsort((starts + base[owner], key[several][owner]))] = np.arange(len(starts))
+            before, after = previous_factors(own, starts, place, length, length)
+            windows = np.concatenate([[0], np.cumsum(counts)])
+            first, last = _runs((before if keep == "first" else np.maximum(before, after)) >= length, windows)
+            who = owner[first]
+            spans.append((key[several][who], starts[first] + base[who], starts[last] + base[who] + length))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(t)) for x, t in zip(zip(*spans, strict=True), (np.int64, np.int32, np.int32), strict=True)], ["key", "a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[pa.RecordBatch] = []
         held = 0
-
-        def take(rows: pa.Table) -> pa.RecordBatch:
-            rows = rows.combine_chunks()
-            data, offsets = utf8(rows.column("bytes"))
-            return settle(rows.column("key").to_numpy(), rows.column("lo").to_numpy().astype(np.int64), data, offsets)
-
         for batch in batches:
-            # groups are whole: they come sorted, and the last one of what is held stays until the next begins
-            rest.append(batch)
-            held += batch.column("bytes").nbytes
-            if held >= WINDOWS * 3:
-                rows = pa.Table.from_batches(rest)
-                h = rows.column("h").to_numpy()
-                cut = int(np.searchsorted(h, h[-1], "left"))
-                for a, b in _whole(h[:cut], rows.column("bytes")):
-                    yield take(rows.slice(a, b - a))
-                rest = rows.slice(cut).to_batches()
-                held = sum(x.column("bytes").nbytes for x in rest)
+            for k in range(0, batch.num_rows, MEMBERS):
+                rest.append(batch.slice(k, MEMBERS))
+                held += MEMBERS * length
+                if held >= HELD:
+                    # groups are whole: the last one of what is held stays until the next begins
+                    rows = pa.Table.from_batches(rest)
+                    g = rows.column("g").to_numpy()
+                    cut = int(np.flatnonzero(g == g[-1])[0])
+                    yield from map(settle, _portions(rows.slice(0, cut), g[:cut]))
+                    rest = rows.slice(cut).to_batches()
+                    held = (rows.num_rows - cut) * length
         if rest:
             rows = pa.Table.from_batches(rest)
-            for a, b in _whole(rows.column("h").to_numpy(), rows.column("bytes")):
-                yield take(rows.slice(a, b - a))
+            yield from map(settle, _portions(rows, rows.column("g").to_numpy()))
 
     return run
 
 
-def _whole(h: np.ndarray, column) -> Iterator[tuple[int, int]]:
-    """Ranges of whole groups with about ``WINDOWS`` windows."""
-    if not len(h):
-        return
-    starts = np.concatenate([[0], np.flatnonzero(h[1:] != h[:-1]) + 1, [len(h)]])
-    per = 100  # windows of a member, about
-    for i, j in blocks(starts * per, WINDOWS):
-        yield int(starts[i]), int(starts[j])
+def _portions(rows: pa.Table, g: np.ndarray) -> Iterator[pa.Table]:
+    """Whole groups of about ``GROUP`` members in all."""
+    if len(g):
+        starts = np.concatenate([[0], np.flatnonzero(g[1:] != g[:-1]) + 1, [len(g)]])
+        for i, j in blocks(starts, GROUP):
+            yield rows.slice(int(starts[i]), int(starts[j] - starts[i])).combine_chunks()
 
 
-def _window_rows(length: int):
-    """Hashes of all windows of members of large groups."""
+# ---- plan ----
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = utf8(batch.column("bytes"))
-            if not len(data):
-                continue
-            counts = np.diff(offsets) - length + 1
-            index = expand(offsets[:-1], counts)
-            owner = np.repeat(np.arange(len(counts)), counts)
-            h, key, lo = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("h", "key", "lo"))
-            w = mix(span_hash(prefix_hash(data), index, index + length) + h[owner].view(np.uint64)).view(np.int64)
-            at = (lo[owner] + index - offsets[owner]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(key[owner]), pa.array(at)], ["w", "key", "a"])
 
-    return run
+def _halves(items: DataFrame, length: int) -> DataFrame:
+    """Each item as two, by whether its windows reach far enough right of the gram; grams grow to that side."""
+    need = F.ceil((length - F.col("gram")) / 2).cast("int")
+    far = F.col("off") + F.col("gram") + need - length  # the first window with ``need`` bytes right of the gram
+    last = F.octet_length("bytes") - length
+    skip = F.greatest(far, F.lit(0))
+    more = length - F.col("gram") - need + 1
+    right = F.struct((F.col("lo") + skip).alias("lo"), (F.col("off") - skip).alias("off"), (F.col("gram") + need).alias("gram"), F.substring("bytes", skip + 1, F.octet_length("bytes")).alias("bytes"), F.lit(1).alias("side"))
+    left = F.struct(F.col("lo"), (F.col("off") - more).alias("off"), (F.col("gram") + more).alias("gram"), F.substring("bytes", F.lit(1), F.least(far - 1, last) + length).alias("bytes"), F.lit(0).alias("side"))
+    halves = F.array_compact(F.array(F.when(last >= far, right), F.when(far > 0, left)))
+    x = items.select("g", "key", F.explode(halves).alias("x"))
+    group = F.xxhash64("g", "x.side", F.substring(F.col("x.bytes"), F.col("x.off") + 1, F.col("x.gram")))
+    return x.select(group.alias("g"), "key", "x.lo", "x.off", "x.gram", "x.bytes")
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        data, offsets = utf8(batch.column("text"))
-        n, removed, runs, sha = [], [], [], []
-        for i, spans in enumerate(batch.column("spans").to_pylist()):
-            text = data[offsets[i] : offsets[i + 1]]
-            step = np.zeros(len(text) + 1, np.int32)
-            for s in spans or ():
-                step[s["a"]] += 1
-                step[s["b"]] -= 1
-            gone = np.cumsum(step)[:-1] > 0
-            n.append(len(text))
-            removed.append(int(gone.sum()))
-            runs.append(int(np.count_nonzero(gone & ~np.concatenate([[False], gone[:-1]]))) if len(gone) else 0)
-            sha.append(hashlib.sha256(text[~gone].tobytes()).hexdigest())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(sha, pa.string())], ["doc_id", *OUT])
+def _sorted_spans(items: DataFrame, length: int, keep: str) -> DataFrame:
+    return items.select("g", "key", "lo", "bytes").repartition("g").sortWithinPartitions("g", "key", "lo").mapInArrow(_factors_of_groups(length, keep), _SPANS)
+
+
+def _large_spans(items: DataFrame, length: int, keep: str, group: int) -> list[DataFrame]:
+    """Spans from the members of large groups."""
+    out = []
+    while True:
+        items = materialise(items, "members")
+        same = ["g", "off", "gram", "bytes"]
+        kinds = materialise(items.groupBy(*same).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "lo")).alias("one")), "kinds")
+        copies = items.join(kinds.filter("n > 1"), same)
+        if keep == "first":
+            copies = copies.filter((F.col("key") != F.col("one.key")) | (F.col("lo") != F.col("one.lo")))
+        out.append(materialise(copies.select("key", F.col("lo").alias("a"), (F.col("lo") + F.octet_length("bytes")).alias("b")), "copies"))
+        many = materialise(kinds.groupBy("g").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"), "many")
+        left = kinds.join(many, "g").select("g", F.col("one.key").alias("key"), F.col("one.lo").alias("lo"), "off", "gram", "bytes", "m")
+        out.append(_sorted_spans(left.filter(F.col("m") <= group), length, keep))
+        if many.filter(F.col("m") > group).isEmpty():
+            return out
+        items = _halves(left.filter(F.col("m") > group), length)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     """``key, doc_id, text``; the key is ``doc_id`` where that tells all rows apart."""
+    doc_id, text = F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
     rows, ids = docs.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
-    text, doc_id = F.coalesce("text", F.lit("")), F.col("doc_id").cast("long")
-    return docs.select((doc_id if rows == ids else F.xxhash64("doc_id", text)).alias("key"), doc_id.alias("doc_id"), text.alias("text"))
+    if rows == ids:
+        return docs.select(doc_id.alias("key"), doc_id, text)
+    return materialise(docs.select(F.monotonically_increasing_id().alias("key"), doc_id, text), "rows")
 
 
 def repeated_spans(rows: DataFrame, length: int = LENGTH, keep: str = "none", gram: int = GRAM, group: int = GROUP) -> DataFrame:
     """Spans ``key, a, b`` (bytes, end exclusive; they may overlap) to remove from ``key, doc_id, text``."""
-    found = rows.filter(F.octet_length("text") >= length).select("key", "text").mapInArrow(_anchor_rows(length, gram), "h long, around long, key long, at long")
-    # written, so that the join below has a shuffle of its own that can be split where a k-gram is very common
-    twice = materialise(found.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h"), "grams")
-    shared = materialise(found.join(twice, "h", "left_semi"), "anchors")
-    kinds = materialise(shared.groupBy("around").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "at")).alias("first"), F.first("h").alias("h")), "surroundings")
-    copies = shared.join(kinds.filter("n > 1").select("around", F.col("first").alias("one")), "around")
-    if keep == "first":
-        copies = copies.filter((F.col("key") != F.col("one.key")) | (F.col("at") != F.col("one.at")))
-    settled = copies.select("key", *_span(F.col("at"), length))
-    many = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    open_ = kinds.join(many, "h").select(F.col("first.key").alias("key"), "h", F.col("first.at").alias("at"), (F.col("c") > group).alias("big"))
-    open_ = open_.groupBy("key").agg(F.collect_list(F.struct("h", "at", "big")).alias("open"))  # no more than the text has anchors
-    with_text = rows.join(open_, "key").select("key", "doc_id", "text", "open")
-    some = lambda big: with_text.select("key", "text", F.filter("open", lambda x: x["big"] == F.lit(big)).alias("open")).filter(F.size("open") > 0).mapInArrow(_surroundings(length), "h long, key long, lo int, bytes binary")
-    small = some(False).repartition("h").sortWithinPartitions("h", "key", "lo").mapInArrow(_sorted_groups(length, keep), "key long, a int, b int")
-    out = settled.unionByName(small)
-    if many.filter(F.col("c") > group).isEmpty():
-        return out
-    windows = some(True).mapInArrow(_window_rows(length), "w long, key long, a int")
-    again = windows.groupBy("w").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("key", "a")).alias("one")).filter("c > 1")
-    large = windows.join(again.select("w", "one"), "w")
-    if keep == "first":
-        large = large.filter((F.col("key") != F.col("one.key")) | (F.col("a") != F.col("one.a")))
-    return out.unionByName(large.select("key", "a", (F.col("a") + length).cast("int").alias("b")))
+    long_ = rows.filter(F.octet_length("text") >= length)
+    # written once: counted first, then joined, with a shuffle of its own that can be split where a k-gram is very common
+    found = materialise(long_.select("key", "text").mapInArrow(_anchor_rows(length, gram), "h long, key long, at long"), "anchors")
+    grams = materialise(found.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "grams")
+    shared = materialise(found.join(grams.select("h", (F.col("c") > group).alias("large")), "h"), "shared")
+
+    def members(of: DataFrame) -> DataFrame:
+        open_ = of.groupBy("key").agg(F.collect_list(F.struct("h", "at")).alias("open"))  # no more than the text has anchors
+        return long_.join(open_, "key").select("key", "text", "open").mapInArrow(_members(length, gram), _ITEM)
+
+    spans = [_sorted_spans(members(shared.filter("not large")), length, keep)]
+    if not grams.filter(F.col("c") > group).isEmpty():
+        spans += _large_spans(members(shared.filter("large")), length, keep, group)
+    return reduce(DataFrame.unionByName, spans)
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        data, offsets = utf8(batch.column("text"))
+        lists = batch.column("spans")
+        at = np.concatenate([[0], np.cumsum(np.asarray(lists.value_lengths().fill_null(0)))])
+        flat = lists.flatten()
+        a, b = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (0, 1))
+        removed, runs, sha = [], [], []
+        for first, last in blocks(offsets):
+            part, ends = data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
+            own = slice(at[first], at[last])
+            base = np.repeat(ends[:-1], np.diff(at[first : last + 1]))
+            step = np.bincount(base + a[own], minlength=len(part) + 1) - np.bincount(base + b[own], minlength=len(part) + 1)
+            gone = np.cumsum(step)[:-1] > 0
+            kept = part[~gone]
+            upto = np.concatenate([[0], np.cumsum(gone)])[ends]
+            removed += np.diff(upto).tolist()
+            runs += np.diff(np.searchsorted(_runs(gone, ends)[0], ends)).tolist()
+            left = (ends - upto).tolist()
+            sha += [hashlib.sha256(kept[x:y]).hexdigest() for x, y in zip(left[:-1], left[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(sha, pa.string())], ["doc_id", *OUT])
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, keep: str = "none", **more) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of each row of ``docs``."""
     rows = keyed(docs)
-    spans = repeated_spans(rows, length, keep, **more).groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    spans = materialise(repeated_spans(rows, length, keep, **more).groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "spans")
     return rows.join(spans, "key", "left").select("doc_id", "text", "spans").mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

@@ -228,12 +228,43 @@ def test_long_repeats_edges(spark, edge, empty):
     assert len(got) == len(EDGE)
     twice = long_repeats.remove_repeats(frame(spark, [(1, "q" * 10 + "".join(map(str, range(100)))), (1, "q" * 10 + "".join(map(str, range(100))))])).collect()
     assert [r["n_removed"] for r in twice] == [200, 200]
+    once = long_repeats.remove_repeats(frame(spark, [(1, "q" * 10 + "".join(map(str, range(100))))] * 3), keep="first").collect()
+    assert sorted(r["n_removed"] for r in once) == [0, 200, 200]
+    other = frame(spark, [(4, "z" * 300)]).withColumn("key", F.lit(1)).withColumn("spans", F.lit(2)).withColumn("n_bytes", F.lit("x"))
+    assert [tuple(r)[:4] for r in long_repeats.remove_repeats(other).collect()] == [(4, 300, 300, 1)]
+
+
+def test_long_texts_are_read_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(long_repeats, "BLOCK", 500)
+    rng = random.Random(3)
+    base = "".join(rng.choices("abcdef", k=4000))
+    rows = [(1, base), (2, "x" + base[700:2900] + "y"), (3, "".join(rng.choices("abcdef", k=3000)))]
+    found = []
+    for _, t in rows:
+        data = np.frombuffer(t.encode(), np.uint8)
+        owned = np.zeros(len(data), int)
+        for _, place, at in long_repeats._pieces(np.array([0, len(data)]), 60):
+            _, _, p, lo, hi = long_repeats.anchors(data[at[0] : at[-1]], at - at[0], 60, 16)
+            for x, y in zip(lo, hi, strict=True):
+                owned[x + place : y + place + 1] += 1
+        found.append(owned[: len(data) - 59].tolist() == [1] * (len(data) - 59))
+    assert all(found)
+    got = {r["doc_id"]: tuple(r)[1:] for r in long_repeats.remove_repeats(frame(spark, rows), 60, gram=16).collect()}
+    assert got == cut_by_hand(rows, 60)
 
 
 def test_previous_factors():
-    w = np.array([b"ab", b"cd", b"ab", b"ab", b"zz"], "S2")
-    earlier, any_ = long_repeats.previous_factors(w)
-    assert earlier.tolist() == [False, False, True, True, False] and any_.tolist() == [True, False, True, True, False]
+    rng = random.Random(2)
+    for text in ("abababab" * 4, "aaaaaaaaaaaaaaaaaaaaaaaa", "".join(rng.choices("ab", k=200)), "".join(rng.choices("abc\0", k=120))):
+        raw, length = text.encode(), 10
+        data, starts = np.frombuffer(raw, np.uint8), np.arange(len(raw) - length + 1)
+        shuffled = np.random.default_rng(1).permutation(len(starts))  # places need not follow the order of the bytes
+        for position in (starts, shuffled):
+            before, after = long_repeats.previous_factors(data, starts, position, length)
+            shared = lambda i, j: next((k for k in range(length) if raw[i + k] != raw[j + k]), length)
+            for i in starts:
+                assert before[i] == max([shared(i, j) for j in starts if position[j] < position[i]], default=0)
+                assert after[i] == max([shared(i, j) for j in starts if position[j] > position[i]], default=0)
 
 
 # ---- 5: BPE ----
