@@ -17,9 +17,9 @@ from quillmark.llm.bpe import bpe_round_trip
 from quillmark.llm.exact_dedup import exact_dedup
 from quillmark.llm.language_id import identify, train
 from quillmark.llm.mixing import mix
-from quillmark.llm.near_dedup import near_dedup
+from quillmark.llm.near_dedup import near_classes
 from quillmark.llm.queries import MIX_KEEP, MIX_WEIGHTS, domain_labels
-from quillmark.llm.shared import documents, shared_dir
+from quillmark.llm.shared import documents, keyed, shared_dir
 
 #: Below this score an ambiguous text counts as of no language.
 LEAST_SCORE = 0.4
@@ -39,8 +39,9 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near-duplicates the document with the smallest id stays."""
-    gone = near_dedup(docs).filter(~F.col("kept")).select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    rows = keyed(docs, docs.columns)
+    gone = near_classes(rows.select("key", "doc_id", "text")).filter(~F.col("first")).select("key")
+    return rows.join(gone, "key", "left_anti").select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialise
+from .shared import keyed, materialise
 from .textblocks import BLOCK, CHAIN, blocks, expand, mix, utf8
 
 LENGTH, GRAM = 200, 32
@@ -340,15 +340,6 @@ def _large_spans(items: DataFrame, length: int, keep: str, group: int) -> list[D
         items = _halves(left.filter(F.col("m") > group), length)
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``key, doc_id, text``; the key is ``doc_id`` where that tells all rows apart."""
-    doc_id, text = F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
-    rows, ids = docs.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
-    if rows == ids:
-        return docs.select(doc_id.alias("key"), doc_id, text)
-    return materialise(docs.select(F.monotonically_increasing_id().alias("key"), doc_id, text), "rows")
-
-
 def repeated_spans(rows: DataFrame, length: int = LENGTH, keep: str = "none", gram: int = GRAM, group: int = GROUP) -> DataFrame:
     """Spans ``key, a, b`` (bytes, end exclusive; they may overlap) to remove from ``key, doc_id, text``."""
     long_ = rows.filter(F.octet_length("text") >= length)

@@ -15,18 +15,22 @@
    its largest component meet all members of other components. Lists of up to
    ``SMALL`` members do so in a skew-splitting join whose condition holds the
    length bound and the collision count. Longer lists are cut into blocks of about
-   ``BLOCK`` members; a task takes two blocks, confirms on the texts at once, skips
-   pairs that its own links connect already, and returns those links only.
+   ``BLOCK`` members: a task takes the signatures of two blocks and returns the
+   members that have candidates; only the texts of these are then sent, and a task
+   confirms them, skipping pairs that its own links connect already.
 5. Links are confirmed on the full shingle sets and components follow by
    alternating large-star and small-star steps on the links.
 
 Nothing is capped: a list of any length is covered by steps 3 and 4.
 
-Defined results: a text that is null or has no word has an empty set, is linked
-with nothing and kept; rows with the same ``doc_id`` are one document whose links
-unite; a null ``doc_id`` never names a component: such a row belongs to its
-class's component and is kept only if that has no named member; repeated rows
-give repeated result rows; extra columns are ignored.
+Defined results: rows are the nodes, each by a key of its own, so that rows with
+one ``doc_id`` and different texts are linked (or not) by their own texts, and
+repeated rows give repeated result rows. ``component_id`` is the smallest
+``doc_id`` of the rows reachable, null if none of them has one. ``kept``: that is
+the row's own (rows without an id are kept where no reachable row has one);
+``first`` marks one row of each component, also among repeated rows. A text that
+is null or has no word has an empty set, is linked with nothing and kept. Extra
+columns are ignored, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,10 +42,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .shared import materialise
+from .shared import keyed, materialise
 from .textblocks import CHAIN, blocks, lower_ascii, mix, prefix_hash, span_hash, utf8, words
 
 SHINGLE, COORDINATES, MATCHES = 5, 48, 22
@@ -114,19 +117,21 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         has = np.array([len(s) > 0 for s in sets], bool)
         offsets = np.concatenate([[0], np.cumsum(has * COORDINATES)]).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.ravel(), pa.int32()))],
-            ["doc_id", "n_shingles", "hi", "lo", "sig"],
+            [batch.column("key"), batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.ravel(), pa.int32()))],
+            ["key", "doc_id", "n_shingles", "hi", "lo", "sig"],
         )
 
 
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two full sets are linked."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both > 0 and 100 * both >= THRESHOLD * (len(x) + len(y) - both)
+
+
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         a, b = list(shingle_sets(batch.column("text_a"))), list(shingle_sets(batch.column("text_b")))
-        keep = []
-        for x, y in zip(a, b, strict=True):
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * both >= THRESHOLD * (len(x) + len(y) - both) and both > 0)
-        mask = pa.array(keep, pa.bool_())
+        mask = pa.array([similar(x, y) for x, y in zip(a, b, strict=True)], pa.bool_())
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
 
 
@@ -172,61 +177,83 @@ def _labelled(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
 def blocked_links(member: DataFrame, texts: DataFrame) -> DataFrame:
     """Links ``a, b`` between components within long posting lists, a spanning set for each pair of blocks."""
     wide = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
-    rows = member.join(texts, "id").select("key", "id", "comp", "main", "n", "sig", "text", F.transform("keys", lambda k: F.shiftright(k, 32).cast("int")).alias("pos"), wide("minor").alias("na"), wide("total").alias("nb"))
+    rows = member.select("key", "id", "comp", "main", "n", "sig", F.transform("keys", lambda k: F.shiftright(k, 32).cast("int")).alias("pos"), wide("minor").alias("na"), wide("total").alias("nb"))
     block = lambda seed, n: F.pmod(F.xxhash64("id", F.lit(seed)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    kept = ["key", "id", "comp", "main", "n", "sig", "text", "pos"]
+    kept = ["key", "id", "comp", "main", "n", "sig", "pos"]
     a = rows.filter("comp <> main").select(*kept, F.lit(0).alias("side"), block(1, "na").alias("i"), every("nb").alias("j"))
     b = rows.select(*kept, F.lit(1).alias("side"), every("na").alias("i"), block(2, "nb").alias("j"))
     deal = ["key", "i", "j"]
-    return a.unionByName(b).repartition(*deal).sortWithinPartitions(*deal, "side", "id").mapInArrow(_blocks, "a long, b long")
-
-
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[dict] = []
-    now = None
-    for batch in batches:
-        found: list[tuple[int, int]] = []
-        for row in batch.to_pylist():
-            at = (row["key"], row["i"], row["j"])
-            if at != now:
-                found += _block_links(held)
-                now, held = at, []
-            held.append(row)
-        if found:
-            yield _pairs(found)
-    if found := _block_links(held):
-        yield _pairs(found)
-
-
-def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
-
-
-def _block_links(rows: list[dict]) -> list[tuple[int, int]]:
-    a, b = [r for r in rows if r["side"] == 0], [r for r in rows if r["side"] == 1]
-    if not a or not b:
-        return []
-    here = rows[0]["key"] >> 32
-    column = lambda side, c: np.array([r[c] for r in side], np.int64)
-    sig = [np.array([r["sig"] for r in side], np.int32) for side in (a, b)]
-    posted = [np.zeros((len(side), COORDINATES), bool) for side in (a, b)]
-    for side, mask in zip((a, b), posted, strict=True):
-        for i, r in enumerate(side):
-            mask[i, r["pos"]] = True
-    comp, size, ids = ([column(side, c) for side in (a, b)] for c in ("comp", "n", "id"))
-    tried: list[tuple[int, int, int]] = []
-    for i in range(len(a)):
-        fits = (comp[1] != comp[0][i]) & ((comp[1] == a[i]["main"]) | (ids[1] > ids[0][i])) & (100 * np.minimum(size[1], size[0][i]) >= THRESHOLD * np.maximum(size[1], size[0][i]))
-        js = np.flatnonzero(fits)
-        same = sig[1][js] == sig[0][i]
+    signed = a.unionByName(b).repartition(*deal).sortWithinPartitions(*deal, "side", "id")
+    found = materialise(signed.mapInArrow(_by_block(_candidates), f"{_DEAL}, id long, comp long, partners array<long>"), "candidates")
+    whole = found.join(texts, "id").select(*deal, "id", "comp", "partners", "text").repartition(*deal).sortWithinPartitions(*deal, "id")
+    return whole.mapInArrow(_by_block(_spanning), "a long, b long")
+
+
+_DEAL = "key long, i int, j int"
+
+
+def _by_block(work):
+    """Calls ``work`` with the rows of each (key, i, j), which come sorted; yields what it returns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            at = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "j")], 1)
+            cuts = [0, *(np.flatnonzero((at[1:] != at[:-1]).any(1)) + 1).tolist(), len(at)]
+            for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+                now = tuple(at[x].tolist())
+                if rest and now != last:
+                    yield from work(pa.Table.from_batches(rest).combine_chunks())
+                    rest = []
+                rest.append(batch.slice(x, y - x))
+                last = now
+        if rest:
+            yield from work(pa.Table.from_batches(rest).combine_chunks())
+
+    return run
+
+
+def _candidates(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Members with candidates in the other block: ``partners`` of those of side 0, most collisions first."""
+    column = lambda c: rows.column(c).to_numpy().astype(np.int64)
+    side, ids, comp, main, size = (column(c) for c in ("side", "id", "comp", "main", "n"))
+    a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    if not len(a) or not len(b):
+        return
+    here = int(rows.column("key")[0].as_py()) >> 32
+    sig = np.asarray(rows.column("sig").combine_chunks().flatten()).reshape(-1, COORDINATES)
+    lists = rows.column("pos").combine_chunks()
+    posted = np.zeros((len(ids), COORDINATES), bool)
+    posted[np.repeat(np.arange(len(ids)), np.asarray(lists.value_lengths())), np.asarray(lists.flatten())] = True
+    partners: dict[int, list[int]] = {}
+    for i in a:
+        js = b[(comp[b] != comp[i]) & ((comp[b] == main[i]) | (ids[b] > ids[i])) & (100 * np.minimum(size[b], size[i]) >= THRESHOLD * np.maximum(size[b], size[i]))]
+        same = sig[js] == sig[i]
         hits = same.sum(1)
         # each pair belongs to the first key that both have posted
-        once = (same & posted[1][js] & posted[0][i]).argmax(1) == here
-        good = once & (hits >= MATCHES)
-        tried += [(-int(h), i, int(j)) for h, j in zip(hits[good], js[good], strict=True)]
-    if not tried:
-        return []
+        good = ((same & posted[js] & posted[i]).argmax(1) == here) & (hits >= MATCHES)
+        if good.any():
+            js = js[good][np.lexsort((ids[js[good]], -hits[good]))]
+            partners[int(i)] = js.tolist()
+    if not partners:
+        return
+    out = sorted({j for js in partners.values() for j in js}) + list(partners)
+    deal = [rows.column(c).combine_chunks().slice(0, 1).take(pa.array([0] * len(out))) for c in ("key", "i", "j")]
+    yield pa.RecordBatch.from_arrays(
+        [*deal, pa.array(ids[out]), pa.array(comp[out]), pa.array([ids[partners[x]].tolist() if side[x] == 0 else [] for x in out], pa.list_(pa.int64()))], ["key", "i", "j", "id", "comp", "partners"]
+    )
+
+
+def _spanning(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Confirmed links among the candidates of two blocks, without those that earlier ones make needless."""
+    ids = rows.column("id").to_pylist()
+    comp = dict(zip(ids, rows.column("comp").to_pylist(), strict=True))
+    at = {x: k for k, x in enumerate(ids)}
+    sets = list(shingle_sets(rows.column("text").combine_chunks()))
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -234,28 +261,29 @@ def _block_links(rows: list[dict]) -> list[tuple[int, int]]:
             x = root[x]
         return x
 
-    texts = {r["id"]: r["text"] for r in rows}
-    used = sorted({ids[0][i] for _, i, _ in tried} | {ids[1][j] for _, _, j in tried})
-    sets = dict(zip(used, shingle_sets(pa.array([texts[x] for x in used], pa.string())), strict=True))
-    out = []
-    for _, i, j in sorted(tried):
-        ra, rb = find(int(comp[0][i])), find(int(comp[1][j]))
-        if ra != rb:
-            x, y = sets[ids[0][i]], sets[ids[1][j]]
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            if both and 100 * both >= THRESHOLD * (len(x) + len(y) - both):
-                root[max(ra, rb)] = min(ra, rb)
-                out.append((int(ids[0][i]), int(ids[1][j])))
-    return out
+    found = []
+    for x, partners in zip(ids, rows.column("partners").to_pylist(), strict=True):
+        for y in partners:
+            rx, ry = find(comp[x]), find(comp[y])
+            if rx != ry and similar(sets[at[x]], sets[at[y]]):
+                root[max(rx, ry)] = min(rx, ry)
+                found.append((x, y))
+    if found:
+        yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of each row of ``docs``."""
-    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    profile = materialise(rows.mapInArrow(_profile, "doc_id long, n_shingles long, hi long, lo long, sig array<int>"), "profiles")
-    klass = profile.filter("n_shingles > 0").groupBy("hi", "lo").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
+    return near_classes(keyed(docs)).select("doc_id", *OUT)
+
+
+def near_classes(rows: DataFrame) -> DataFrame:
+    """``key, doc_id, n_shingles, component_id, kept, first`` of rows ``key, doc_id, text`` with distinct keys."""
+    profile = materialise(rows.mapInArrow(_profile, "key long, doc_id long, n_shingles long, hi long, lo long, sig array<int>"), "profiles")
+    # a class goes by the key of one of its rows, whose text is the class's
+    klass = profile.filter("n_shingles > 0").groupBy("hi", "lo").agg(F.min("key").alias("id"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("least"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"))
     klass = materialise(klass, "classes")  # written, so that the join back to all rows has a shuffle of its own that can be split where a class is large
-    reps = klass.filter("id is not null").select("id", "n", "sig")
+    reps = klass.select("id", "n", "sig")
 
     key = F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(F.col("col").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
     keys = reps.select("id", "n", F.posexplode("sig")).select("id", "n", key.alias("key"))
@@ -264,9 +292,7 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     by_doc = Window.partitionBy("id")
     rank = F.row_number().over(by_doc.orderBy("df", "key")) + COORDINATES - F.count(F.lit(1)).over(by_doc)
     postings = materialise(known.withColumn("rank", rank).filter(F.col("rank") <= PREFIX).select("key", "id", "n"), "postings")
-    ids = postings.select("id").distinct()
-    first_text = rows.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi").groupBy(F.col("doc_id").alias("id")).agg(F.min("text").alias("text"))
-    texts = materialise(first_text, "texts")
+    texts = materialise(rows.select(F.col("key").alias("id"), "text").join(postings.select("id").distinct(), "id", "left_semi"), "texts")
 
     links: list[DataFrame] = []
     labels = None
@@ -300,8 +326,9 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     links.append(materialise(confirm_links(rest, texts), "rest"))
     labels = _labels(links)
 
-    named = klass.join(labels, "id", "left").select("hi", "lo", F.coalesce("component", "id").alias("component_id"))
-    out = profile.select("doc_id", "n_shingles", "hi", "lo").join(named, ["hi", "lo"], "left")
-    empty = F.col("n_shingles") == 0
-    comp = F.when(empty, F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", comp.alias("component_id"), F.coalesce(F.col("doc_id") == comp, comp.isNull()).alias("kept"))
+    named = klass.join(labels, "id", "left").select("hi", "lo", "least", F.coalesce("component", "id").alias("component"))
+    heads = named.groupBy("component").agg(F.min("least").alias("head"))
+    named = materialise(named.join(heads, "component").select("hi", "lo", "head"), "heads")
+    out = profile.select("key", "doc_id", "n_shingles", "hi", "lo").join(named, ["hi", "lo"], "left")
+    comp = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("head.doc_id"))
+    return out.select("key", "doc_id", "n_shingles", comp.alias("component_id"), F.coalesce(F.col("doc_id") == comp, comp.isNull()).alias("kept"), F.coalesce(F.col("head.key") == F.col("key"), F.lit(True)).alias("first"))

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: ASCII white space as the contracts define it: space and 0x09 to 0x0D.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -44,6 +45,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def keyed(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """``key, doc_id, text`` and the ``carry`` columns as ``_c0, _c1`` ...; keys are distinct.
+
+    The key is ``doc_id`` where that tells all rows apart, else a row's place in a
+    copy that is written for it.
+    """
+    rest = [F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(carry or [])]
+    doc_id, text = F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
+    rows, ids = docs.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
+    if rows == ids:
+        return docs.select(doc_id.alias("key"), doc_id, text, *rest)
+    return materialise(docs.select(F.monotonically_increasing_id().alias("key"), doc_id, text, *rest), "rows")
+
+
 def free(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of plans that nothing refers to any more."""
     gc.collect()

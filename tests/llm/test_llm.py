@@ -402,12 +402,59 @@ def test_near_dedup_equals_brute_force(spark):
 
 def test_near_dedup_edges(spark, edge, empty):
     assert near_dedup.near_dedup(empty).count() == 0
-    got = near_dedup.near_dedup(edge).collect()
+    got = near_dedup.near_dedup(edge.withColumn("key", F.lit(1)).withColumn("kept", F.lit("x")).withColumn("component_id", F.lit(0))).collect()
     assert len(got) == len(EDGE)
     assert {r["component_id"] for r in got if r["doc_id"] in (6, 7)} == {6}
     assert all(r["kept"] for r in got if r["doc_id"] in (1, 2, 3, 4, 5, 8))
 
 
+def _pair(rng, n, changed):
+    """Texts of ``n`` distinct words whose shingles differ where one word in so many places is another."""
+    words = [f"w{rng.randrange(1 << 40)}" for _ in range(n)]
+    other = list(words)
+    for at in changed:
+        other[at] = f"v{rng.randrange(1 << 40)}"
+    return " ".join(words), " ".join(other)
+
+
+def test_rows_of_one_id_are_linked_by_their_own_texts(spark):
+    rng = random.Random(9)
+    a, a2 = _pair(rng, 80, [40])
+    b = " ".join(f"b{i}" for i in range(60))
+    rows = [(1, "a short text of six words"), (1, a), (5, a2), (5, b), (None, a), (None, "alone without an id here"), (7, b)]
+    got = sorted((r["doc_id"] or 0, r["component_id"] or 0, r["kept"]) for r in near_dedup.near_dedup(frame(spark, rows)).collect())
+    assert got == sorted([(1, 1, True), (1, 1, True), (5, 1, False), (5, 5, True), (0, 1, False), (0, 0, True), (7, 5, False)])
+
+
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    import corpus_pipeline as P
+
+    rng = random.Random(9)
+    a, a2 = _pair(rng, 80, [40])
+    b = " ".join(f"b{i}" for i in range(60))
+    rows = frame(spark, [(3, a), (5, a2), (5, b), (6, "x y"), (6, "x y"), (None, None)]).withColumn("kept", F.lit(1)).withColumn("first", F.lit("z"))
+    left = P.near(spark, rows, SF)
+    assert left.columns == rows.columns
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in left.collect()) == sorted([(3, a), (5, b), (6, "x y"), (0, "")])
+
+
+def test_recall_at_the_threshold(spark):
+    rng = random.Random(10)
+    rows, linked = [], 0
+    for k in range(400):
+        n = rng.randrange(150, 400)
+        # c changed words, far apart, leave n - 4 - 5c of n - 4 + 5c shingles
+        most = int((n - 4) / 35)
+        at = [10 * i + 4 for i in range(most)]
+        a, b = _pair(rng, n, at)
+        share = (n - 4 - 5 * most) / (n - 4 + 5 * most)
+        assert 0.75 <= share < 0.8
+        linked += 1
+        rows += [(2 * k, a), (2 * k + 1, b)]
+    got = near_dedup.near_dedup(frame(spark, rows)).filter("not kept").count()
+    assert got == linked
+
+
 def test_components_of_a_chain(spark):
     links = spark.range(1, 100).select(F.col("id").alias("a"), (F.col("id") - 1).alias("b"))
     assert near_dedup.components(links).agg(F.max("component")).first()[0] == 0
