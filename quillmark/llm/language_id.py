@@ -6,13 +6,16 @@ the logistic loss of each bit by how well that bit's classifier did on held-back
 sample rows of the language, and takes the nearest codeword. A small lead over
 the second nearest marks a text as ambiguous.
 
-Training reads at most ``SAMPLE`` documents (expected), dealt evenly to the
-languages by a hash of ``doc_id``; prediction reads whole texts.
+Training reads about ``SAMPLE`` labelled documents, or ``EACH`` for every language
+where there are many, dealt evenly to the languages by a hash of ``doc_id`` and
+text; every language with a label is learned, and prediction reads whole texts.
 
 Defined results: ``und`` with score 0 for a text that is null or has no letter,
 or where no language could be learned; with one learned language every other
-text gets it with score 1; a null ``doc_id`` is never learned from and not held
-out; rows are independent, so repeated rows give repeated results.
+text gets it with score 1; of equal losses the language that comes first in the
+alphabet wins; a null ``doc_id`` is never learned from and not held out; rows are
+independent, so repeated rows give repeated results; extra columns are ignored
+unless carried, and carried ones named like a result give way to it.
 """
 
 from __future__ import annotations
@@ -28,10 +31,11 @@ from pyspark.sql import functions as F
 
 from .textblocks import blocks, mix, utf8
 
-SAMPLE = 3000
-#: Languages that one model tells apart, the most frequent first (codewords grow with their logarithm).
-LANGUAGES = 200
+#: Expected labelled rows to learn from: in all, and at least so many for each language.
+SAMPLE, EACH = 3000, 40
 FEATURES = 1 << 12
+#: Texts whose features are held at once.
+ROWS = 512
 ORDERS = (1, 2, 3, 4)
 #: A lead in weighted loss below this marks a text as ambiguous.
 LEAD = 0.05
@@ -61,7 +65,8 @@ def codewords(k: int) -> np.ndarray:
 def features(column: pa.Array) -> Iterator[np.ndarray]:
     """Rows of hashed n-gram weights (square roots of counts, unit length) of whole texts, block by block."""
     data, offsets = utf8(column)
-    for first, last in blocks(offsets, 1 << 19):
+    few = ((a, min(a + ROWS, last)) for first, last in blocks(offsets) for a in range(first, last, ROWS))
+    for first, last in few:
         part, at = data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         signs = (part < 128) & ~((part >= 97) & (part <= 122))
         part = np.where(signs, np.uint8(32), part).astype(np.uint32)
@@ -75,14 +80,14 @@ def features(column: pa.Array) -> Iterator[np.ndarray]:
             code = code[: n - k + 1] * np.uint64(257) + part[k - 1 :] + np.uint64(1)
             same = doc[: n - k + 1] == doc[k - 1 :]
             slot = (mix(code + np.uint64(k << 56)) % np.uint64(FEATURES)).astype(np.int64)
-            x += np.bincount((doc[: n - k + 1] * FEATURES + slot)[same], minlength=len(x))
+            np.add.at(x, (doc[: n - k + 1] * FEATURES + slot)[same], np.float32(1))
         x = np.sqrt(x).reshape(docs, FEATURES)
         yield x / np.maximum(1e-6, np.linalg.norm(x, axis=1, keepdims=True))
 
 
 @dataclass
 class Codes:
-    """Learned model: a few hundred KB, whatever the corpus."""
+    """Learned model: ``FEATURES`` weights for each bit, about 10 bits for a doubling of the languages."""
 
     langs: list[str]
     words: np.ndarray
@@ -120,20 +125,21 @@ def _fit(x: np.ndarray, y: np.ndarray, steps: int = 150, rate: float = 20.0, rid
 def train(docs: DataFrame, sample: int = SAMPLE) -> Codes | None:
     """Learn from text and lang of rows outside fold 0; None without a language."""
     known = docs.filter(F.col("lang").isNotNull() & (fold("doc_id") != 0) & F.col("text").rlike(r"\p{L}"))
-    # a document-level count for each language: one row a language
-    counts = {r["lang"]: r["count"] for r in docs.filter(F.col("lang").isNotNull() & (fold("doc_id") != 0)).groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
+    # a count for each language: one row a language
+    counts = {r["lang"]: r["count"] for r in docs.filter(F.col("lang").isNotNull() & (fold("doc_id") != 0)).groupBy("lang").count().collect()}
     if not counts:
         return None
-    each = sample / len(counts)
-    share = F.coalesce(*[F.when(F.col("lang") == k, F.lit(min(1.0, each / n))) for k, n in counts.items()], F.lit(0.0))
-    some = known.filter(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) < share * 1_000_000).select("doc_id", "lang", F.lower("text").alias("text"))
+    each = max(EACH, sample / len(counts))
+    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, each / n))])
+    drawn = F.pmod(F.xxhash64("doc_id", F.octet_length("text"), F.lit(11)), F.lit(1_000_000)) < F.element_at(share, F.col("lang")) * 1_000_000
+    some = known.filter(drawn).select(F.col("doc_id").cast("long"), "lang", F.lower("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [r.astype(np.float16).tobytes() for x in features(batch.column("text")) for r in x]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(rows, pa.binary())], ["doc_id", "lang", "x"])
 
-    rows = sorted(some.mapInArrow(run, "doc_id long, lang string, x binary").collect(), key=lambda r: (r["doc_id"], r["x"]))[: 2 * sample]
+    rows = sorted(some.mapInArrow(run, "doc_id long, lang string, x binary").collect(), key=lambda r: (r["doc_id"], r["x"]))
     langs = sorted({r["lang"] for r in rows})
     if not langs:
         return None
