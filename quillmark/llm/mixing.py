@@ -8,14 +8,21 @@ one number for each domain from a pass over all documents; a document's rate
 follows from its posterior and the short list of residuals so far, so nothing is
 kept for each document between steps.
 
-Training reads at most ``SAMPLE`` labelled documents (expected, by a hash of
+Steps go on until every domain's expected total is within ``CLOSE`` of its target,
+or until ``STALL`` steps together have brought the residual down by less than a
+hundredth: then the targets are out of reach of nonnegative rates, and the rates are
+the nearest there are. The result says by how much each domain misses its target.
+
+Training reads about ``SAMPLE`` labelled documents (expected, by a hash of
 ``doc_id``), at most ``WIDTH`` slots each.
 
 Defined results: a text that is null or has no word has 0 tokens, the prior of
 the bias as posterior, and a rate that does not move any total; labels that are
 null or of unknown documents are ignored and of several of one document the least
 counts; without labels there is one domain ``all`` and every rate is 1; repeated
-rows are documents of their own; a null ``doc_id`` passes through.
+rows are documents of their own; a null ``doc_id`` passes through; of equal posteriors
+the domain that comes first in the alphabet counts as the likeliest; extra columns
+are ignored, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,7 +40,7 @@ from .shared import materialise
 from .textblocks import blocks, lower_ascii, prefix_hash, span_hash, utf8, words
 
 SAMPLE, WIDTH = 6000, 1 << 15
-STEPS, CLOSE = 40, 2e-4
+STALL, CLOSE = 12, 2e-4
 
 
 def word_slots(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -74,7 +81,7 @@ def learn_domains(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
             found = [slots[a:b].astype("<u2").tobytes() for slots, ends, _ in word_slots(batch.column("text")) for a, b in zip(ends[:-1], ends[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("domain"), pa.array(found, pa.binary())], ["doc_id", "domain", "slots"])
 
-    got = sorted(rows.mapInArrow(run, "doc_id long, domain string, slots binary").collect(), key=lambda r: (r["doc_id"], r["slots"]))[: 2 * sample]
+    got = sorted(rows.mapInArrow(run, "doc_id long, domain string, slots binary").collect(), key=lambda r: (r["doc_id"], r["slots"]))
     names = sorted({r["domain"] for r in got}) or ["all"]
     if len(names) == 1:
         return Domains(names, np.zeros((WIDTH, 1), np.float32), np.zeros(1))
@@ -158,10 +165,12 @@ def fit_rates(table: DataFrame, names: list[str], weights: dict[str, float], kee
     budget = max([total, *[1.05 * have[i] / share[i] for i, x in enumerate(names) if x in keep and share[i] > 0]])
     target = share * budget
     steps = Steps(1 / np.linalg.eigvalsh(both[k + 1 :].reshape(k, k) / total).max(), [i for i, x in enumerate(names) if x in keep], [])
-    for _ in range(STEPS):
+    norms: list[float] = []
+    while True:
         now = _sums(table, k, lambda t, p, s=steps: p.T @ (t * s.at(p)[1]))
         res = (now - target) / total
-        if np.abs(res).max() < CLOSE:
+        norms.append(float(np.abs(res).max()))
+        if norms[-1] < CLOSE or len(norms) > STALL and min(norms[-STALL:]) > 0.99 * min(norms[:-STALL]):
             break
         steps = Steps(steps.size, steps.keep, [*steps.residuals, res])
     after = _sums(table, k, lambda t, p: p.T @ (t * steps.at(p)[0]))
@@ -183,10 +192,16 @@ def rated(table: DataFrame, names: list[str], steps: Steps) -> DataFrame:
 
 
 def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float], keep: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id, n_tokens, domain`` (the likeliest), ``posterior, rate, copies`` of each document."""
+    """``doc_id, n_tokens, domain`` (the likeliest), ``posterior, rate, copies`` of each document.
+
+    ``missed``: by what share of all tokens the domain's expected total differs
+    from its target (0 where none was asked).
+    """
     model = learn_domains(docs, labels)
     table = materialise(posteriors(docs, model), "posteriors")
-    steps, _ = fit_rates(table, model.names, weights, keep)
+    steps, totals = fit_rates(table, model.names, weights, keep)
+    every = sum(have for have, _, _ in totals.values()) or 1.0
+    missed = F.coalesce(*[F.when(F.col("domain") == x, F.lit(float(after - target) / every)) for x, (_, target, after) in totals.items()], F.lit(0.0))
     names = F.array(*[F.lit(x) for x in model.names])
     domain = F.get(names, (F.array_position("posterior", F.array_max("posterior")) - 1).cast("int"))
-    return rated(table, model.names, steps).select("doc_id", "n_tokens", domain.alias("domain"), "posterior", "rate", "copies")
+    return rated(table, model.names, steps).select("doc_id", "n_tokens", domain.alias("domain"), "posterior", "rate", "copies").withColumn("missed", missed)
