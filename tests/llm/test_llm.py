@@ -439,13 +439,40 @@ def test_token_files_edges(spark, edge, empty, tmp_path):
 # ---- 8: licences ----
 
 
-def test_license_scan(spark, edge, empty, docs):
-    model = license_scan.train_scanner(docs)
-    rows = frame(spark, [(1, "intro\nLicensed under the Apache License, Version 2.0.\nbody"), (2, "Released under the MIT License."), (3, "we released the license of the work under way"), (4, "Licensed under CC BY-NC 4.0.\nThis work is licensed under the GNU General Public License, version 3."), (5, "nothing")])
-    got = {r["doc_id"]: r for r in license_scan.scan(rows, model).collect()}
-    assert got[1]["lines"] == "1:apache" and got[2]["families"] == "mit" and got[4]["families"] == "cc-by-nc,gpl" and got[5]["n_licenses"] == 0
-    assert got[3]["families"] in ("", "unknown")
-    assert license_scan.scan(empty, model).count() == 0 and license_scan.scan(edge, model).count() == len(EDGE)
+@pytest.fixture(scope="module")
+def scanner(docs):
+    return license_scan.train_scanner(docs)
+
+
+def test_license_scan(spark, edge, empty, docs, texts, scanner):
+    mit = "Permission is hereby granted, free of\ncharge, to any person obtaining\na copy of this software and\nassociated documentation files"
+    rows = frame(spark, [(1, "intro\nLicensed under the Apache License, Version 2.0.\nbody"), (2, "Released under the MIT License."), (3, "we released the license of the work under way"), (4, "Licensed under CC BY-NC 4.0.\nThis work is licensed under the GNU General Public License, version 3."), (5, "nothing"), (6, f"x y\n\n{mit}\n\nz")])
+    got = {r["doc_id"]: r for r in license_scan.scan(rows.withColumn("families", F.lit(1)), scanner).collect()}
+    assert got[1]["lines"] == "1:apache" and got[2]["families"] == "mit" and got[4]["lines"] == "0:cc-by-nc,1:gpl" and got[5]["n_licenses"] == 0
+    assert got[3]["families"] in ("", "unknown") and got[6]["families"] == "mit" and got[6]["lines"].startswith("2")
+    assert license_scan.scan(empty, scanner).count() == 0 and license_scan.scan(edge, scanner).count() == len(EDGE)
+    planted = {"Licensed under the Apache License, Version 2.0.": "apache", "Released under the MIT License.": "mit", "This work is licensed under the GNU General Public License, version 3.": "gpl", "All rights reserved.": "proprietary", "Licensed under CC BY-NC 4.0.": "cc-by-nc"}
+    odd = 0
+    for r in license_scan.scan(docs, scanner).collect():
+        want = {f for x, f in planted.items() if x in texts[r["doc_id"]].split("\n")}
+        found = set(filter(None, r["families"].split(",")))
+        assert want == found - {"unknown"}
+        odd += "unknown" in found
+    assert odd <= 0.02 * len(texts)
+
+
+def test_unseen_licences_are_unknown(spark, docs, scanner):
+    rows = frame(spark, [(1, "This program is licensed under the Eclipse Public License, version 2.0."), (2, "This work is licensed under the European Union Public License, version 1.2.")])
+    assert {r["families"] for r in license_scan.scan(rows, scanner).collect()} == {"unknown"}
+    fewer = license_scan.train_scanner(docs, known={k: v for k, v in license_scan.TEMPLATES.items() if k not in ("gpl", "lgpl")})
+    got = license_scan.scan(frame(spark, [(1, license_scan.TEMPLATES["gpl"][0])]), fewer).collect()
+    assert {r["families"] for r in got} == {"unknown"}
+
+
+def test_long_text_of_licences(spark, scanner):
+    text = "\n".join(["some words of the body here"] * 40 + ["Released under the MIT License."]) + "\n"
+    r = license_scan.scan(frame(spark, [(1, text * 300)], 1), scanner).first()
+    assert r["n_licenses"] == 300 and r["families"] == "mit"
 
 
 # ---- 9: near-duplicates ----
