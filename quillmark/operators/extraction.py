@@ -7,9 +7,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import text as X
+from .storage import running, small
 
 #: Words of a chunk: aimed at, at most, and carried over; a sentence above the most is skipped.
 TARGET, MOST, OVERLAP, CHUNKS = 600, 900, 100, 60
@@ -41,14 +41,10 @@ def extract_candidates(docs: DataFrame, keyword, per_source: int) -> DataFrame:
 
 
 def allocate_ids(records: DataFrame, prefix: str, start: int) -> DataFrame:
-    """``doc_id, code``: consecutive numbers in order of ``doc_id`` after ``start``.
-
-    Blocks of ids are counted first; only the short list of blocks is ordered in one place.
-    """
-    rows = records.select("doc_id", F.floor(F.col("doc_id") / 4096).alias("_b"))
-    before = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("c")).select("_b", F.coalesce(F.sum("c").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("c0"))
-    n = F.row_number().over(Window.partitionBy("_b").orderBy("doc_id")) + F.col("c0") + start
-    return rows.join(before, "_b").select("doc_id", F.concat(F.lit(prefix), F.when(n < 1000, F.lpad(n.cast("string"), 3, "0")).otherwise(n.cast("string"))).alias("code"))
+    """``doc_id, code``: consecutive numbers in order of ``doc_id`` after ``start``."""
+    n = F.col("n") + start
+    code = F.concat(F.lit(prefix), F.when(n < 1000, F.lpad(n.cast("string"), 3, "0")).otherwise(n.cast("string")))
+    return running(records.select("doc_id"), {"n": F.lit(1)}, "doc_id").select("doc_id", code.alias("code"))
 
 
 def chunk(docs: DataFrame, target: int = TARGET, most: int = MOST, overlap: int = OVERLAP, chunks: int = CHUNKS) -> DataFrame:
@@ -89,18 +85,19 @@ def contained(excerpts: DataFrame, docs: DataFrame, gram: int = 8) -> DataFrame:
     """``item_id, doc_id`` where the collapsed excerpt occurs in the collapsed text.
 
     Blocked by n-grams of words: the excerpt's first full n-gram must be one of
-    the text's. Texts meet an excerpt by that key only; shorter excerpts are
-    compared with all texts, being the stated query set.
+    the text's. Texts meet an excerpt by that key only: few keys (counted) are sent to
+    the texts, so that no n-gram is shuffled. Shorter excerpts are compared with all
+    texts, being the stated query set.
     """
     items = excerpts.select("item_id", X.collapse(F.col("text")).alias("e")).withColumn("w", F.split("e", " "))
     body = docs.select("doc_id", X.collapse(F.col("text")).alias("t"))
     # inner words of an excerpt are whole words of the text; its first and last may be cut
     keyed = items.filter(F.size("w") >= gram + 2).select("item_id", "e", F.xxhash64(F.slice("w", 2, gram)).alias("k"))
     grams = body.withColumn("w", F.split("t", " ")).filter(F.size("w") >= gram).select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - gram + 1), lambda i: F.xxhash64(F.slice("w", i, gram))))).alias("k"))
-    met = grams.join(keyed.select("item_id", "k"), "k").select("item_id", "doc_id").distinct()
-    sure = met.join(keyed.select("item_id", "e"), "item_id").join(body, "doc_id").filter(F.contains("t", F.col("e"))).select("item_id", "doc_id")
+    met = grams.join(small(keyed.select("item_id", "k")), "k").select("item_id", "doc_id").distinct()
+    sure = met.join(small(keyed.select("item_id", "e")), "item_id").join(body, "doc_id").filter(F.contains("t", F.col("e"))).select("item_id", "doc_id")
     short = items.filter((F.size("w") < gram + 2) & (F.col("e") != "")).select("item_id", "e")
-    return sure.unionByName(body.join(short, F.contains("t", F.col("e"))).select("item_id", "doc_id"))
+    return sure.unionByName(body.join(small(short), F.contains("t", F.col("e"))).select("item_id", "doc_id"))
 
 
 def locate(hits: DataFrame, excerpts: DataFrame, docs: DataFrame) -> DataFrame:

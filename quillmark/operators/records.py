@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions import text as X
 from ..functions.lexicon import contains_any
+from .storage import running, save
 
 #: Abbreviations that plain language spells out, in order.
 PLAIN = (("tion", "tion (process)"), ("keit", "keit (state)"))
@@ -59,8 +60,8 @@ def claims(docs: DataFrame, score, unsupported: dict[str, str], per_source: int,
     for why, pattern in reversed(unsupported.items()):
         reason = F.when(F.col("claim").rlike(pattern), why).otherwise(reason)
     rows = rows.withColumn("rejected", reason)
-    n = F.row_number().over(Window.partitionBy("source").orderBy("doc_id", "sentence_no"))
-    kept = rows.filter("rejected = ''").withColumn("_n", n).filter(F.col("_n") <= most).drop("_n")
+    rows = save(rows, "claims")
+    kept = running(rows.filter("rejected = ''"), {"_n": F.lit(1)}, "doc_id", "sentence_no", by=("source",)).filter(F.col("_n") <= most).drop("_n")
     return kept.unionByName(rows.filter("rejected <> ''"))
 
 

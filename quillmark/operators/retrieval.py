@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .storage import FEW, save
+
 #: Constants of the Okapi form: saturation, length weight, share of the mean idf that replaces negative ones.
 K1, B, EPSILON = 1.5, 0.75, 0.25
 RRF = 60
@@ -22,24 +24,28 @@ def bm25(docs: DataFrame, queries: DataFrame, k: int, by: str | None = None) ->
 
     ``docs``: ``doc_id, text`` and, with ``by``, a group whose queries (``by``,
     ``query``, ``terms``) see its documents' statistics only. Statistics are taken
-    below any ranking: a filter on ``docs`` changes them, as it should. Only
-    (document, query term) rows are shuffled, apart from the vocabulary counts.
+    below any ranking: a filter on ``docs`` changes them, as it should. A pass over
+    the texts counts the vocabulary, another one the query terms (sent to the texts
+    where they are few); only those two kinds of counts are shuffled.
     """
     g = [by] if by else []
+    wanted = queries.select(*g, "query", F.explode("terms").alias("term"))
+    terms = wanted.select("term").distinct()
     body = docs.select(*g, "doc_id", tokens(F.col("text")).alias("w"))
-    total = body.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("w")).alias("avgdl"))
+    words = body.select(*g, "doc_id", F.size("w").alias("dl"), F.explode_outer("w").alias("term"))
+    # rows without a term carry the lengths of all texts
+    hit = F.broadcast(terms.withColumn("_q", F.lit(True))) if terms.count() <= FEW else terms.withColumn("_q", F.lit(True))
+    tf = save(words.join(hit, "term", "left").select(*g, "doc_id", "dl", F.when(F.col("_q"), F.col("term")).alias("term")).groupBy(*g, "doc_id", "dl", "term").agg(F.count(F.lit(1)).alias("tf")), "terms")
+    lengths = tf.select(*g, "doc_id", "dl").distinct()
+    total = lengths.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), F.avg(F.greatest("dl", F.lit(0))).alias("avgdl"))
     df = body.select(*g, F.explode(F.array_distinct("w")).alias("term")).groupBy(*g, "term").agg(F.count(F.lit(1)).alias("df"))
     joined = df.join(total, g) if g else df.crossJoin(F.broadcast(total))  # one row a group
     raw = joined.withColumn("idf", F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)))
-    mean = raw.groupBy(*g).agg(F.avg("idf").alias("mean_idf"))
-    wanted = queries.select(*g, "query", F.explode("terms").alias("term"))
-    stats = raw.join(F.broadcast(wanted.select(*g, "term").distinct()), [*g, "term"])
-    stats = stats.join(mean, g) if g else stats.crossJoin(F.broadcast(mean))
+    rare = raw.groupBy(*g).agg(F.avg("idf").alias("mean_idf"))
+    stats = raw.join(terms, "term")
+    stats = stats.join(rare, g) if g else stats.crossJoin(F.broadcast(rare))
     stats = stats.select(*g, "term", "avgdl", F.when(F.col("idf") < 0, EPSILON * F.col("mean_idf")).otherwise(F.col("idf")).alias("idf"))
-    words = queries.agg(F.array_distinct(F.flatten(F.collect_list("terms"))).alias("words"))  # the query words, as one row
-    hits = body.crossJoin(F.broadcast(words)).select(*g, "doc_id", F.size("w").alias("dl"), F.filter("w", lambda t: F.array_contains("words", t)).alias("w")).filter(F.size("w") > 0)
-    tf = hits.select(*g, "doc_id", "dl", F.explode("w").alias("term")).groupBy(*g, "doc_id", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
-    scored = tf.join(F.broadcast(stats), [*g, "term"]).join(F.broadcast(wanted), [*g, "term"])
+    scored = tf.filter("term IS NOT NULL").join(stats, [*g, "term"]).join(wanted, [*g, "term"])
     part = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
     scores = scored.groupBy(*g, "query", "doc_id").agg(F.round(F.sum(part), 6).alias("score"))
     return top(scores, [*g, "query"], [F.desc("score"), F.col("doc_id")], k).select(*g, "query", "rank", "doc_id", "score")

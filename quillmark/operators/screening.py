@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions import text as X
 from ..functions.lexicon import Corpus, contains_any
+from .storage import running, save
 
 
 def applicability(t: Column, preset: Corpus) -> Column:
@@ -33,34 +34,45 @@ def lint(q: Column) -> dict[str, Column]:
     return {"balanced": without("(") == without(")"), "even_quotes": (F.length(q) - without('"')) % 2 == 0}
 
 
-def prior_duplicates(records: DataFrame, least_title: int = 25) -> DataFrame:
-    """``doc_id, reason``: an earlier record (by ``doc_id``) has the same content, or the same title if long enough.
+def duplicate_keys(records: DataFrame, least_title: int = 25, **more: Column) -> DataFrame:
+    """``doc_id``, content hash ``h``, long-enough title ``ti`` and ``more``, written: texts are read once and not shuffled."""
+    title = X.norm_title(X.title_of(F.col("text")))
+    keys = records.select("doc_id", X.content_hash(F.col("text")).alias("h"), title.alias("ti"), *[c.alias(k) for k, c in more.items()])
+    return save(keys.withColumn("ti", F.when(F.length("ti") >= least_title, F.col("ti"))), "keys")
+
+
+def with_reason(keys: DataFrame, name: str = "reason") -> DataFrame:
+    """The keys with the reason why an earlier record (by ``doc_id``) makes this one a duplicate, if one does.
 
     One aggregate a key, joined back: the first holder of a key is the original.
     """
-    keys = records.select("doc_id", X.content_hash(F.col("text")).alias("h"), X.norm_title(X.title_of(F.col("text"))).alias("ti"))
-    keys = keys.withColumn("ti", F.when(F.length("ti") >= least_title, F.col("ti")))
     first_h = keys.groupBy("h").agg(F.min("doc_id").alias("h0"))
     first_t = keys.filter("ti IS NOT NULL").groupBy("ti").agg(F.min("doc_id").alias("t0"))
     both = keys.join(first_h, "h").join(first_t, "ti", "left")
     reason = F.when(F.col("h0") < F.col("doc_id"), F.concat(F.lit("content:"), F.left("h", F.lit(12)))).when(F.col("t0") < F.col("doc_id"), F.concat(F.lit("title:"), F.left("ti", F.lit(60))))
-    return both.select("doc_id", reason.alias("reason"))
+    return both.withColumn(name, reason).drop("h", "ti", "h0", "t0")
+
+
+def prior_duplicates(records: DataFrame, least_title: int = 25) -> DataFrame:
+    """``doc_id, reason``: an earlier record (by ``doc_id``) has the same content, or the same title if long enough."""
+    return with_reason(duplicate_keys(records, least_title)).select("doc_id", "reason")
 
 
 def disposition(records: DataFrame, preset: Corpus) -> DataFrame:
     """``doc_id, source, status, reason`` in fixed precedence: duplicate, not relevant, other condition, metadata, short, accepted."""
     t = F.lower(F.col("text"))
-    rows = records.join(prior_duplicates(records).withColumnRenamed("reason", "dup"), "doc_id")
     label = applicability(t, preset)
     missing = F.coalesce(X.strip(X.title_of(F.col("text"))), F.lit("")) == ""
-    out = (
-        F.when(F.col("dup").isNotNull(), F.struct(F.lit("duplicate").alias("status"), F.col("dup").alias("reason")))
-        .when(~preset.relevant.hits(t, "relevant"), F.struct(F.lit("rejected").alias("status"), F.lit("not relevant: no priority keyword").alias("reason")))
-        .when(label == "other_only", F.struct(F.lit("rejected").alias("status"), F.lit("other condition; label").alias("reason")))
-        .when(missing, F.struct(F.lit("deferred").alias("status"), F.lit("metadata: title missing").alias("reason")))
-        .when(F.length("text") < 120, F.struct(F.lit("deferred").alias("status"), F.lit("abstract: too short").alias("reason")))
-        .otherwise(F.struct(F.lit("accepted").alias("status"), F.concat(F.lit("accepted: "), label).alias("reason")))
+    verdict = lambda status, reason: F.struct(F.lit(status).alias("status"), reason.alias("reason"))
+    alone = (
+        F.when(~preset.relevant.hits(t, "relevant"), verdict("rejected", F.lit("not relevant: no priority keyword")))
+        .when(label == "other_only", verdict("rejected", F.lit("other condition; label")))
+        .when(missing, verdict("deferred", F.lit("metadata: title missing")))
+        .when(F.length("text") < 120, verdict("deferred", F.lit("abstract: too short")))
+        .otherwise(verdict("accepted", F.concat(F.lit("accepted: "), label)))
     )
+    rows = with_reason(duplicate_keys(records, source=F.col("source"), alone=alone), "dup")
+    out = F.when(F.col("dup").isNotNull(), F.struct(F.lit("duplicate").alias("status"), F.col("dup").alias("reason"))).otherwise(F.col("alone"))
     return rows.select("doc_id", "source", out.alias("o")).select("doc_id", "source", "o.status", "o.reason")
 
 
@@ -77,25 +89,13 @@ def interleaved(records: DataFrame, day_of_year: int) -> DataFrame:
     Position follows from (turn, slot) alone, so no global sort is needed.
     """
     names = records.select("source").distinct().withColumn("i", F.row_number().over(Window.orderBy("source")) - 1)
-    n = names.agg(F.count(F.lit(1)).alias("n"))
-    slots = names.crossJoin(F.broadcast(n)).select("source", F.pmod(F.col("i") - day_of_year, F.col("n")).cast("long").alias("slot"))
-    turn = F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))
-    return records.select("doc_id", "source", turn.cast("long").alias("turn")).join(slots, "source")
+    n = names.count()
+    slots = names.select("source", F.pmod(F.col("i") - day_of_year, F.lit(n)).cast("long").alias("slot"))
+    turns = running(records.select("doc_id", "source"), {"turn": F.lit(1)}, "doc_id", by=("source",))
+    return turns.join(slots, "source").select("doc_id", "source", "turn", "slot")
 
 
 def budget(records: DataFrame, most: int, most_accepted: int) -> DataFrame:
-    """Sticky stop: rows in order of ``doc_id`` with ``free`` and ``accepted`` flags; costly rows count until a limit is met.
-
-    Running counts come from block sums: rows of 4096 ids make a block, blocks are
-    summed first, and a window runs inside each block only.
-    """
-    block = F.floor(F.col("doc_id") / 4096)
-    rows = records.withColumn("_b", block).withColumn("_cost", (~F.col("free")).cast("long")).withColumn("_acc", F.col("accepted").cast("long"))
-    sums = rows.groupBy("_b").agg(F.sum("_cost").alias("c"), F.sum("_acc").alias("a"))
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select("_b", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("c0"), F.coalesce(F.sum("a").over(before), F.lit(0)).alias("a0"))
-    inside = Window.partitionBy("_b").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.join(offsets, "_b")
-    spent = F.col("c0") + F.coalesce(F.sum("_cost").over(inside), F.lit(0))
-    taken = F.col("a0") + F.coalesce(F.sum("_acc").over(inside), F.lit(0))
-    return rows.select("doc_id", (F.col("free") | ((spent < most) & (taken < most_accepted))).alias("screened"))
+    """Sticky stop: rows in order of ``doc_id`` with ``free`` and ``accepted`` flags; costly rows count until a limit is met."""
+    rows = running(records.select("doc_id", "free", "accepted"), {"spent": ~F.col("free"), "taken": F.col("accepted")}, "doc_id", include=False)
+    return rows.select("doc_id", (F.col("free") | ((F.col("spent") < most) & (F.col("taken") < most_accepted))).alias("screened"))

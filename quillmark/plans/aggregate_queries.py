@@ -8,6 +8,7 @@ from ..functions import text as X
 from ..functions.lexicon import CORPUS
 from ..operators import aggregates as A
 from ..operators import screening as S
+from ..operators.storage import running
 from .catalog import query, table
 from .text_queries import APPLICABILITY_SQL, NORM_TITLE, STRIP, TITLE, sql_any, sql_first
 
@@ -154,8 +155,8 @@ def round_robin_interleave(spark, d):
 g AS (SELECT *, coalesce(sum((NOT free)::INT) OVER w, 0) AS spent, coalesce(sum(acc::INT) OVER w, 0) AS taken FROM f WINDOW w AS (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
 SELECT doc_id, free OR (spent < 200 AND taken < 40) AS screened FROM g""")
 def screening_budget(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "text")
-    rows = docs.join(S.prior_duplicates(docs), "doc_id").select("doc_id", F.col("reason").isNotNull().alias("free"), (F.col("reason").isNull() & (F.length("text") > 2000)).alias("accepted"))
+    keys = S.with_reason(S.duplicate_keys(table(spark, d, "documents"), long=F.length("text") > 2000))
+    rows = keys.select("doc_id", F.col("reason").isNotNull().alias("free"), (F.col("reason").isNull() & F.col("long")).alias("accepted"))
     return S.budget(rows, 200, 40)
 
 
@@ -163,12 +164,10 @@ def screening_budget(spark, d):
  + 3 * least(5, {' + '.join(f"(contains(t, '{k}'))::INT" for v in CORPUS.topics.groups.values() for k in v)}) + CASE WHEN length(t) > 2000 THEN 4 ELSE 0 END AS score FROM (SELECT *, lower(text) AS t FROM documents))
 SELECT doc_id, score, row_number() OVER (PARTITION BY source ORDER BY score DESC, doc_id) AS rank FROM x""")
 def candidate_score_rank(spark, d):
-    from pyspark.sql.window import Window
-
     t = F.lower("text")
     score = S.study_class(t)["weight"] + 3 * F.least(F.lit(5), F.size(CORPUS.topics.matched(t))) + F.when(F.length("text") > 2000, 4).otherwise(0)
     rows = table(spark, d, "documents").select("doc_id", "source", score.alias("score"))
-    return rows.select("doc_id", "score", F.row_number().over(Window.partitionBy("source").orderBy(F.desc("score"), "doc_id")).cast("long").alias("rank"))
+    return running(rows, {"rank": F.lit(1)}, F.desc("score"), "doc_id", by=("source",)).select("doc_id", "score", "rank")
 
 
 @query("capped_selection")

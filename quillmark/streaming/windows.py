@@ -2,19 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared(spark: SparkSession) -> str:
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+from ..operators.storage import shared_folder as shared
 
 
 def event_stream(spark: SparkSession, sf_dir: str, files_a_trigger: int = 1) -> DataFrame:

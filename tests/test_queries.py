@@ -2,6 +2,7 @@
 
 import glob
 import os
+from datetime import datetime, timezone
 
 import duckdb
 import pytest
@@ -12,6 +13,8 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 
 def cell(v):
+    if isinstance(v, datetime) and v.tzinfo:
+        v = v.astimezone(timezone.utc).replace(tzinfo=None)
     return f"{v:.6f}" if isinstance(v, float) else str(v)
 
 
