@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as X
+from ..operators.storage import save
 
 
 def crawl_frontier(pages: DataFrame, most: int) -> DataFrame:
@@ -16,6 +17,32 @@ def crawl_frontier(pages: DataFrame, most: int) -> DataFrame:
     return ranked.filter(F.col("step") <= most).select("page_id", "href", "step")
 
 
+def crawl(seeds: DataFrame, links: DataFrame, most: int = 6) -> DataFrame:
+    """``seed, url, step``: the first ``most`` pages reached from each seed, breadth first, links of a page in their order.
+
+    ``links``: ``url, href`` of pages that can be read. One join a level, with what
+    was visited left out; a crawl of ``most`` pages has fewer levels than that.
+    """
+    every = links.select("url", "href").distinct()
+    visited = save(seeds.select("seed", F.col("url"), F.lit(1).cast("long").alias("step")), "visited")
+    front = visited
+    for _ in range(most - 1):
+        seen = visited.groupBy("seed").agg(F.max("step").alias("n"))
+        found = front.join(every, "url").select("seed", F.col("href").alias("url"), "step").groupBy("seed", "url").agg(F.min("step").alias("parent"))
+        new = found.join(visited.select("seed", "url"), ["seed", "url"], "left_anti").join(seen, "seed").filter(F.col("n") < most)
+        place = F.row_number().over(Window.partitionBy("seed").orderBy("parent", "url"))  # at most the links of ``most`` pages
+        front = save(new.withColumn("step", F.col("n") + place).filter(F.col("step") <= most).select("seed", "url", "step"), "front")
+        if front.isEmpty():
+            break
+        visited = save(visited.unionByName(front), "visited")
+    return visited
+
+
+def in_section(entries: Column, path: str, slug: str) -> Column:
+    """Sitemap entries whose path matches ``path`` and whose last part matches ``slug``."""
+    return F.filter(entries, lambda e: e["loc"].rlike(path) & F.regexp_extract(e["loc"], r"([^/]+)/*$", 1).rlike(slug))
+
+
 def listing_cards(pages: DataFrame, html: str = "html") -> DataFrame:
     """``page_id, card_no, day, name, link`` of cards with an epoch-millisecond date; document files are no links."""
     cards = F.regexp_extract_all(F.col(html), F.lit(r"""(?is)<div[^>]*data-date-created=["'][0-9]+["'].*?</div>"""), F.lit(0))
