@@ -51,6 +51,20 @@ def bm25(docs: DataFrame, queries: DataFrame, k: int, by: str | None = None) ->
     return top(scores, [*g, "query"], [F.desc("score"), F.col("doc_id")], k).select(*g, "query", "rank", "doc_id", "score")
 
 
+def planned(docs: DataFrame, by_topic: DataFrame, reformulated: DataFrame | None, k: int, by: str) -> DataFrame:
+    """``query, doc_id, origin``: candidates of each topic's search, then those that a search without a topic adds.
+
+    ``by_topic``: queries for each value of the column ``by``, which the ranking sees
+    one at a time; ``reformulated``: the same questions in other words. A candidate
+    keeps the first origin.
+    """
+    first = bm25(docs, by_topic, k, by=by).select("query", "doc_id", F.struct(F.lit(0).alias("n"), F.concat(F.lit("topic:"), F.col(by)).alias("name")).alias("o"))
+    rows = first
+    if reformulated is not None:
+        rows = rows.unionByName(bm25(docs.drop(by), reformulated, k).select("query", "doc_id", F.struct(F.lit(1).alias("n"), F.lit("reformulated").alias("name")).alias("o")))
+    return rows.groupBy("query", "doc_id").agg(F.min("o")["name"].alias("origin"))
+
+
 def top(rows: DataFrame, by: list[str], order: list, k: int) -> DataFrame:
     """The first ``k`` rows of each group with their ``rank``; Spark cuts each task's groups before the shuffle."""
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long")).filter(F.col("rank") <= k)

@@ -37,7 +37,12 @@ def id_allocation(spark, d):
     return E.allocate_ids(table(spark, d, "documents"), "SRC-", 41)
 
 
-@query("chunk_overlap")
+@query("chunk_overlap", f"""WITH RECURSIVE d AS (SELECT doc_id, list_filter({SPLIT.format('text')}, lambda x: length(x) >= 1) AS l FROM documents), s AS (SELECT doc_id, unnest(range(len(l))) AS i, string_split(unnest(l), ' ') AS w FROM d),
+q AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n, w FROM s WHERE len(w) <= 900),
+f AS (SELECT doc_id, 0::BIGINT AS n, []::VARCHAR[] AS now, 0::BIGINT AS fresh, NULL::VARCHAR[] AS done, 0 AS c FROM d UNION ALL
+SELECT q.doc_id, q.n, CASE WHEN full_ THEN list_concat(f.now[-100:], q.w) ELSE list_concat(f.now, q.w) END, CASE WHEN full_ THEN 0 ELSE f.fresh END + len(q.w), CASE WHEN full_ THEN f.now END, f.c + full_::INT FROM f JOIN q ON q.doc_id = f.doc_id AND q.n = f.n + 1, LATERAL (SELECT f.fresh > 0 AND len(f.now) + len(q.w) > 600 AS full_) x),
+o AS (SELECT doc_id, c AS chunk_no, done AS w FROM f WHERE done IS NOT NULL UNION ALL SELECT doc_id, c + 1, now FROM f WHERE fresh > 0 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC) = 1)
+SELECT doc_id, chunk_no, len(w)::INT AS n_words, md5(array_to_string(w, ' ')) AS digest FROM o WHERE chunk_no <= 60""")
 def chunk_overlap(spark, d):
     return E.chunk(table(spark, d, "documents")).select("doc_id", "chunk_no", "n_words", F.md5(F.col("text").cast("binary")).alias("digest"))
 

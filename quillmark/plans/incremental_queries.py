@@ -69,7 +69,10 @@ def missed_days(spark, d):
     return I.calendar(table(spark, d, "events"), "user_id", day()).filter("n = 0").select("user_id", "day")
 
 
-@query("rate_limit_decisions")
+@query("rate_limit_decisions", """WITH RECURSIVE e AS (SELECT user_id, event_id, epoch(ts) AS at, row_number() OVER (PARTITION BY user_id ORDER BY epoch(ts), event_id) AS n FROM events),
+w AS (SELECT user_id, NULL::BIGINT AS event_id, 0::BIGINT AS n, false AS allowed, 0.0::DOUBLE AS retry_after, []::DOUBLE[] AS times FROM (SELECT DISTINCT user_id FROM events)
+UNION ALL SELECT e.user_id, e.event_id, e.n, len(k) < 3, CASE WHEN len(k) < 3 THEN 0.0 ELSE round(greatest(86400 - (e.at - k[1]), 1.0), 6) END, CASE WHEN len(k) < 3 THEN list_append(k, e.at) ELSE k END FROM w JOIN e ON e.user_id = w.user_id AND e.n = w.n + 1, LATERAL (SELECT list_filter(w.times, lambda t: t > e.at - 86400) AS k) x)
+SELECT user_id, event_id, allowed, retry_after FROM w WHERE n > 0""")
 def rate_limit_decisions(spark, d):
     return folds.rate_limit(table(spark, d, "events").select("user_id", "event_id", F.col("ts").cast("timestamp").cast("double").alias("at")), 3, 86400.0)
 

@@ -45,6 +45,17 @@ def bm25_per_topic(spark, d):
     return R.bm25(table(spark, d, "documents").select("lang", "doc_id", "text"), _queries(spark, TOPIC_TERMS, True), 5, by="lang")
 
 
+#: One question planned for three topics, and in other words.
+PLANNED, AGAIN = {k: ("the", "de", "und", "eaux") for k in ("en", "fr", "de")}, {"plan": ("ation", "chung", "mente", "the")}
+
+
+@query("planned_retrieval", f"""WITH a AS ({_bm25_sql(PLANNED, 6, True)}), b AS ({_bm25_sql(AGAIN, 6, False).replace("documents WHERE lang = 'en'", 'documents')}), u AS (SELECT doc_id, 0 AS n, 'topic:' || lang AS origin FROM a UNION ALL SELECT doc_id, 1, 'reformulated' FROM b)
+SELECT 'plan' AS query, doc_id, arg_min(origin, n) AS origin FROM u GROUP BY doc_id""")
+def planned_retrieval(spark, d):
+    asked = _queries(spark, PLANNED, True).withColumn("query", F.lit("plan"))
+    return R.planned(table(spark, d, "documents").select("lang", "doc_id", "text"), asked, _queries(spark, AGAIN), 6, "lang")
+
+
 @query("browse_by_topic", "SELECT lang, doc_id, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS rank FROM documents QUALIFY rank <= 10")
 def browse_by_topic(spark, d):
     return R.top(table(spark, d, "documents").select("lang", "doc_id"), ["lang"], [F.col("doc_id")], 10)

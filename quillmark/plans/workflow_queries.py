@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions.lexicon import CORPUS
 from ..operators import quality as Q
+from ..operators import screening as S
 from ..operators import workflow as G
 from .catalog import query, table
-from .text_queries import COLLAPSE, sql_all, sql_any, sql_first
+from .text_queries import APPLICABILITY_SQL, COLLAPSE, sql_all, sql_any, sql_first
 
 # claims: labelled documents; topic = source; verified if of good quality; excerpt = first 80 characters
 CLAIMS = f"c AS (SELECT doc_id AS id, source AS topic, {COLLAPSE.format('text')} AS text, left({COLLAPSE.format('text')}, 80) AS excerpt, quality = 1 AS ok FROM documents JOIN labels USING (doc_id)), b AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY topic ORDER BY id) <= 3)"
@@ -89,3 +90,60 @@ def causal_upgrade(spark, d):
 def json_validation(spark, d):
     raw = F.when(F.col("event_id") % 11 == 0, F.lit("{bad")).when(F.col("event_id") % 13 == 0, F.lit('{"j": 1}')).otherwise(F.col("props"))
     return Q.validate_json(table(spark, d, "events").select("event_id", raw.alias("props")), "props", "k long", ["k"]).select("event_id", "errors")
+
+
+#: Output rules of an answer, by group.
+SAFETY = {"no_directive": "the the|and and", "no_address": "[a-z0-9.]+@[a-z0-9.-]+", "no_secret": "password=|akia[0-9a-z]{16}", "not_overlong": "^(?s:.{1000})"}
+_COUNT = lambda name, where, source: f"SELECT '{name}' AS check_id, count(*) FILTER (NOT ({where})) AS v FROM {source}"
+
+
+@query("answer_checks", f"""WITH {ANSWERS}, z AS (SELECT g.conv_id, g.turn, unsupported, t, CASE WHEN status = 'answered' THEN CASE WHEN ok1 THEN first ELSE second END WHEN status = 'fallback' THEN '{G.FALLBACK}' ELSE 'refusal' END AS text, status FROM g JOIN a USING (conv_id, turn) LEFT JOIN k USING (topic) LEFT JOIN d USING (topic)),
+u AS (SELECT conv_id, contains(tx, 'tion') AND (len(list_filter(s, lambda z: contains(z, 'whe'))) > 0 OR len(list_filter(s, lambda z: contains(z, 'tion'))) = 0) AS up FROM (SELECT conv_id, list(lower(text) ORDER BY turn) FILTER (role = 'user') AS s, string_agg(lower(text), ' ' ORDER BY turn) FILTER (role = 'assistant') AS tx FROM conversations GROUP BY conv_id)),
+y AS (SELECT c.*, {APPLICABILITY_SQL} AS label FROM (SELECT *, lower(text) AS t FROM c) c),
+n AS ({_COUNT('in_focus', "label IN ('focus', 'general')", 'y')} UNION ALL {_COUNT('no_other_condition', "label <> 'other_only'", 'y')} UNION ALL {_COUNT('not_superseded', 'id % 17 <> 0', 'y')} UNION ALL SELECT 'unique_ids', count(id) - count(DISTINCT id) FROM y UNION ALL {_COUNT('source_exists', 'id IN (SELECT doc_id FROM documents)', 'y')}
+UNION ALL {_COUNT('locator_present', "regexp_matches(text, '[0-9]{4,}')", 'y')} UNION ALL {_COUNT('excerpt_verbatim', 'contains(text, excerpt)', 'y')} UNION ALL {_COUNT('limitation_kept', 'id % 8 <> 1', 'y')} UNION ALL {_COUNT('fallback_exact', f"status <> 'fallback' OR text = '{G.FALLBACK}'", 'z')} UNION ALL {_COUNT('gap_term_named', f"NOT unsupported OR {sql_any(CORPUS.gap_terms)}", 'z')}
+UNION ALL {' UNION ALL '.join(_COUNT(name, f"NOT regexp_matches(lower(text), '{p}')", 'z') for name, p in SAFETY.items())} UNION ALL SELECT 'no_causal_upgrade', count(*) FILTER (coalesce(up, false)) FROM u), r AS (SELECT check_id, v = 0 AS passed, v AS violations FROM n)
+SELECT * FROM r UNION ALL SELECT 'ALL', bool_and(passed), sum(violations)::BIGINT FROM r""")
+def answer_checks(spark, d):
+    c = claims(spark, d).withColumn("label", S.applicability(F.lower("text"), CORPUS))
+    out = answers(spark, d)
+    docs = table(spark, d, "documents")
+    of_claims = {
+        "in_focus": F.col("label").isin("focus", "general"), "no_other_condition": F.col("label") != "other_only", "not_superseded": F.col("id") % 17 != 0, "locator_present": F.col("text").rlike("[0-9]{4,}"),
+        "excerpt_verbatim": F.contains("text", F.col("excerpt")), "limitation_kept": F.col("id") % 8 != 1,
+    }
+    named = F.exists(F.array(*[F.lit(t) for t in CORPUS.gap_terms]), lambda t: F.contains(F.lower(F.trim("question")), t))
+    of_answers = {"fallback_exact": (F.col("status") != "fallback") | (F.col("answer") == G.FALLBACK), "gap_term_named": ~F.col("unsupported") | named}
+    of_answers |= {name: ~F.lower("answer").rlike(p) for name, p in SAFETY.items()}
+    upgraded = Q.checks(causal_upgrade(spark, d), {"no_causal_upgrade": ~F.col("upgraded")})
+    every = Q.checks(c, of_claims).unionByName(Q.checks(out, of_answers)).unionByName(upgraded)
+    return Q.verdict(every.unionByName(Q.unique(c, "id", "unique_ids")).unionByName(Q.foreign_keys(c, "id", docs, "doc_id", "source_exists")))
+
+
+_SEEN = "(SELECT doc_id FROM documents)"
+_PACKAGE = {
+    "QA-02_text": ("coalesce(text <> '', false)", lambda: F.col("text") != ""),
+    "QA-03_lang": ("lang IN ('en', 'fr', 'de', 'es')", lambda: F.col("lang").isin("en", "fr", "de", "es")),
+    "QA-04_source_form": ("regexp_matches(source, '^src[0-9]+$')", lambda: F.col("source").rlike("^src[0-9]+$")),
+    "QA-05_length": ("n_chars = length(text)", lambda: F.col("n_chars") == F.length("text")),
+    "QA-06_positive_id": ("doc_id >= 0", lambda: F.col("doc_id") >= 0),
+    "QA-07_no_control": ("NOT regexp_matches(text, '[\\x00-\\x08]')", lambda: ~F.col("text").rlike(r"[\x00-\x08]")),
+    "QA-08_no_address": ("NOT regexp_matches(text, '[a-z0-9.]+@[a-z0-9.-]+')", lambda: ~F.col("text").rlike("[a-z0-9.]+@[a-z0-9.-]+")),
+    "QA-09_no_secret": ("NOT regexp_matches(text, 'token = ')", lambda: ~F.col("text").rlike("token = ")),
+    "QA-10_no_promotion": ("NOT regexp_matches(text, '(?i)buy now|click here')", lambda: ~F.col("text").rlike("(?i)buy now|click here")),
+    "QA-11_no_social": ("NOT regexp_matches(text, '(?i)twitter|facebook')", lambda: ~F.col("text").rlike("(?i)twitter|facebook")),
+    "QA-12_no_document_file": ("NOT contains(lower(text), '.pdf')", lambda: ~F.contains(F.lower("text"), F.lit(".pdf"))),
+    "QA-13_not_overlong": ("n_chars <= 100000", lambda: F.col("n_chars") <= 100_000),
+    "QA-14_enough_text": ("n_chars >= 40", lambda: F.col("n_chars") >= 40),
+    "QA-15_first_line": ("split_part(text, chr(10), 1) <> ''", lambda: X.title_of(F.col("text")) != ""),
+}
+
+
+@query("package_audit", f"""WITH n AS ({' UNION ALL '.join(f"SELECT '{k}' AS check_id, count(*) FILTER (NOT coalesce({sql}, false)) AS v FROM documents" for k, (sql, _) in _PACKAGE.items())}
+UNION ALL SELECT 'QA-01_unique_id', count(doc_id) - count(DISTINCT doc_id) FROM documents UNION ALL SELECT 'QA-16_labels_known', count(*) FILTER (doc_id NOT IN {_SEEN}) FROM labels UNION ALL SELECT 'QA-17_rating_domain', count(*) FILTER (NOT coalesce(quality IN (0, 1), false)) FROM labels UNION ALL SELECT 'QA-18_toxic_domain', count(*) FILTER (NOT coalesce(toxic IN (0, 1), false)) FROM labels
+UNION ALL SELECT 'QA-19_one_label', count(doc_id) - count(DISTINCT doc_id) FROM labels), r AS (SELECT check_id, v = 0 AS passed, v AS violations FROM n) SELECT * FROM r UNION ALL SELECT 'ALL', bool_and(passed), sum(violations)::BIGINT FROM r""")
+def package_audit(spark, d):
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    every = Q.checks(docs, {k: of() for k, (_, of) in _PACKAGE.items()}).unionByName(Q.unique(docs, "doc_id", "QA-01_unique_id")).unionByName(Q.unique(labels, "doc_id", "QA-19_one_label"))
+    every = every.unionByName(Q.checks(labels, {"QA-17_rating_domain": F.col("quality").isin(0, 1), "QA-18_toxic_domain": F.col("toxic").isin(0, 1)})).unionByName(Q.foreign_keys(labels, "doc_id", docs, "doc_id", "QA-16_labels_known"))
+    return Q.verdict(every)

@@ -36,7 +36,7 @@ def summaries(raw: DataFrame, column: str = "payload") -> DataFrame:
     rows = raw.select(F.posexplode(ids).alias("place", "pmid"), column)
     item = F.from_json(F.from_json(F.get_json_object(column, "$.result"), "map<string,string>")[F.col("pmid")], _SUMMARY)
     rows = rows.select("place", "pmid", item.alias("i"))
-    doi = F.coalesce(F.element_at(F.filter("i.articleids", lambda a: a["idtype"] == "doi"), -1)["value"], F.lit(""))
+    doi = F.coalesce(F.try_element_at(F.filter("i.articleids", lambda a: a["idtype"] == "doi"), F.lit(-1))["value"], F.lit(""))
     blank = lambda c: F.coalesce(c, F.lit(""))
     home = F.concat(F.lit("https://pubmed.ncbi.nlm.nih.gov/"), "pmid", F.lit("/"))
     return rows.select(
@@ -52,12 +52,6 @@ def full_text(markup: Column, fallback: Column, least: int = 500, most: int = 20
     return F.struct(F.when(whole, plain).otherwise(F.coalesce(fallback, F.lit(""))).alias("text"), F.when(whole, "full text").otherwise("fallback").alias("origin"))
 
 
-def page_title(html: Column) -> Column:
-    """Of a title with pipes the second part where there are three or more, else the first."""
-    parts = F.split(X.html_title(html), r"\\|")
-    return X.collapse(F.when(F.size(parts) >= 3, F.get(parts, F.lit(1))).otherwise(F.get(parts, F.lit(0))))
-
-
 def latest_date(html: Column) -> Column:
     """The last of the dates in ``datetime`` attributes; null without one."""
     return F.array_max(F.transform(F.regexp_extract_all(html, F.lit(r"""datetime=["']?([0-9]{4}-[0-9]{2}-[0-9]{2})"""), F.lit(1)), lambda x: F.try_to_date(x)))
