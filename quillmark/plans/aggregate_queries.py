@@ -170,7 +170,9 @@ def candidate_score_rank(spark, d):
     return running(rows, {"rank": F.lit(1)}, F.desc("score"), "doc_id", by=("source",)).select("doc_id", "score", "rank")
 
 
-@query("capped_selection")
+@query("capped_selection", """WITH RECURSIVE r AS (SELECT source, doc_id, length(text) < 120 AS bare, contains(lower(text), 'license') AS guide, row_number() OVER (PARTITION BY source ORDER BY length(text) DESC, doc_id) AS n FROM documents),
+w AS (SELECT source, NULL::BIGINT AS doc_id, 0::BIGINT AS n, 0 AS g, 0 AS k, '' AS reason FROM (SELECT DISTINCT source FROM documents) UNION ALL SELECT r.source, r.doc_id, r.n, w.g + (why = '' AND guide)::INT, w.k + (why = '')::INT, why FROM w JOIN r ON r.source = w.source AND r.n = w.n + 1,
+LATERAL (SELECT CASE WHEN bare THEN 'no abstract' WHEN w.k >= 20 THEN 'total cap' WHEN guide AND w.g >= 2 THEN 'guideline cap' ELSE '' END AS why) x) SELECT doc_id, source, CASE WHEN reason = '' THEN 'selected' ELSE 'rejected' END AS decision, reason FROM w WHERE n > 0""")
 def capped_selection(spark, d):
     from ..operators.folds import capped_selection as fold
 

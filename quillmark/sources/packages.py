@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 from ..functions import text as X
 
@@ -41,26 +42,46 @@ def archivable(open_access, license_, tokens: tuple[str, ...] = ("cc by", "cc-by
     return open_access & F.exists(F.array(*[F.lit(t) for t in tokens]), lambda t: F.contains(F.lower(license_), t))
 
 
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Versions that were found good, the newest first: a row for each save."""
+    try:
+        return [r["version"] for r in spark.read.schema("version long").json(f"{path}/good").orderBy(F.desc("version")).collect()]
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return []
+        raise
+
+
 def save_validated(df: DataFrame, path: str, problems) -> None:
-    """Write, read again, and keep only if no row has a problem; the last good version is ``path/good``."""
+    """Write a new version, read it again, and name it as good only if no row has a problem.
+
+    No earlier version is touched, so that a crash at any point leaves the last good one.
+    """
     spark = df.sparkSession
-    df.write.mode("overwrite").parquet(f"{path}/candidate")
-    back = spark.read.parquet(f"{path}/candidate")
-    if not back.filter(problems).isEmpty():
+    version = max(_versions(spark, path), default=0) + 1
+    folder = f"{path}/version={version}"
+    df.write.mode("overwrite").parquet(folder)
+    if not spark.read.parquet(folder).filter(problems).isEmpty():
         raise ValueError("the rows do not pass; the last good version stays")
-    back.write.mode("overwrite").parquet(f"{path}/good")
+    spark.range(1).select(F.lit(version).alias("version")).coalesce(1).write.mode("append").json(f"{path}/good")
 
 
 def load_good(spark: SparkSession, path: str, problems) -> DataFrame:
-    """The candidate if it passes, else the last good version."""
-    try:
-        now = spark.read.parquet(f"{path}/candidate")
-        if now.filter(problems).isEmpty():
-            return now
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-    return spark.read.parquet(f"{path}/good")
+    """The newest good version that can be read and still passes."""
+    for version in _versions(spark, path):
+        try:
+            now = spark.read.parquet(f"{path}/version={version}")
+            if now.filter(problems).isEmpty():
+                return now
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+                raise
+    raise FileNotFoundError(f"no good version in {path}")
+
+
+def append_history(rows: DataFrame, path: str, run_id: str) -> None:
+    """Coverage of a run behind that of earlier runs."""
+    rows.withColumn("run_id", F.lit(run_id)).withColumn("at", F.current_timestamp()).write.mode("append").parquet(path)
 
 
 def append_journal(spark: SparkSession, path: str, run_id: str, event: str, detail: str) -> None:

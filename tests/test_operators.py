@@ -237,3 +237,44 @@ def test_fusion_covers_every_probe(spark, tmp_path):
     got = {r["probe"]: r["count"] for r in QUERIES["rrf_fusion_probes"](spark, str(tmp_path)).groupBy("probe").count().collect()}
     assert set(got) == {40, 60, 80, 100, 120, 140}  # neither vector 0 nor 20 is needed
     assert got[140] == 30 and got[40] > 30  # the one vector of its topic has a single list
+
+
+def test_save_keeps_every_good_version(spark, tmp_path):
+    path, bad = str(tmp_path / "s"), F.col("id") < 0
+    packages.save_validated(spark.range(2), path, bad)
+    packages.save_validated(spark.range(5), path, bad)
+    with pytest.raises(ValueError):
+        packages.save_validated(spark.range(1).select((F.col("id") - 1).alias("id")), path, bad)
+    assert packages.load_good(spark, path, bad).count() == 5
+    assert packages.load_good(spark, path, F.lit(False)).count() == 5 and sorted(packages._versions(spark, path)) == [1, 2]
+    packages.append_history(spark.range(2), f"{path}-h", "r1")
+    packages.append_history(spark.range(3), f"{path}-h", "r2")
+    assert spark.read.parquet(f"{path}-h").groupBy("run_id").count().count() == 2
+
+
+def test_crawl_is_breadth_first_and_bounded(spark):
+    links = {f"u{i}": sorted({f"u{(3 * i + 1) % 30}", f"u{(7 * i + 2) % 30}", f"u{(i + 5) % 30}"}) for i in range(30)}
+    want = {}
+    for i in range(0, 30, 5):
+        queue, seen = [f"u{i}"], []
+        while queue and len(seen) < 6:
+            url = queue.pop(0)
+            if url in seen:
+                continue
+            seen.append(url)
+            queue += [x for x in links[url] if x not in seen and x not in queue]
+        want[f"u{i}"] = seen
+    frame = spark.createDataFrame([(a, b) for a, bs in links.items() for b in bs], "url string, href string")
+    seeds = spark.createDataFrame([(s, s) for s in want], "seed string, url string")
+    got = {}
+    for r in web.crawl(seeds, frame, 6).orderBy("seed", "step").collect():
+        got.setdefault(r["seed"], []).append(r["url"])
+    assert got == want
+
+
+def test_running_totals_split_a_hot_group(spark):
+    from quillmark.operators.storage import running
+
+    rows = spark.range(2000).select(F.col("id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("g")).repartition(7)
+    got = {r["id"]: r["n"] for r in running(rows, {"n": F.lit(1)}, "id", by=("g",)).collect()}
+    assert all(got[i] == (i // 3 + 1 if i % 3 == 0 else 1) for i in range(2000))
