@@ -54,7 +54,19 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(documents(spark, sf_dir))
 
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+OP9_SQL = rf"""
+WITH RECURSIVE t AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS g FROM t),
+h AS (SELECT doc_id, unnest(g) AS g FROM s), c AS (SELECT doc_id, len(g) AS n FROM s),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM h x JOIN h y USING (g) WHERE x.doc_id < y.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN c u ON u.doc_id = a JOIN c v ON v.doc_id = b WHERE 100 * i >= 75 * (u.n + v.n - i)), b AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r(id, node) AS (SELECT doc_id, doc_id FROM c UNION SELECT r.id, b.b FROM r JOIN b ON b.a = r.node)
+SELECT id AS doc_id, max(n) AS n_shingles, min(node) AS component_id, id = min(node) AS kept FROM r JOIN c ON c.doc_id = r.id GROUP BY id
+"""
+
 QUERIES |= {"op9_minhash_near_dedup": op9_minhash_near_dedup}
+ORACLES |= {"op9_minhash_near_dedup": OP9_SQL}
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -601,6 +601,20 @@ def test_queries_have_operators_and_sql(spark):
     assert [n for n in range(1, 11) if not any(k.startswith(f"op{n}_") for k in QUERIES)] == [] and set(ORACLES) <= set(QUERIES)
 
 
+@pytest.mark.parametrize("name", ["op9_minhash_near_dedup", "op10_exact_dedup"])
+def test_queries_equal_their_sql(spark, name):
+    import duckdb
+
+    from quillmark.llm.queries import ORACLES, QUERIES
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    got = con.execute(ORACLES[name])
+    names = [c[0] for c in got.description]
+    want = sorted(tuple(r) for r in got.fetchall())
+    assert sorted(tuple(r) for r in QUERIES[name](spark, SF).select(*names).collect()) == want
+
+
 def test_pipeline_stage_by_stage(spark, docs):
     import corpus_pipeline as P
 
