@@ -125,3 +125,20 @@ def redact_secrets(x: Column) -> Column:
 
 def render_cell(x: Column) -> Column:
     return F.coalesce(F.array_join(x, "; "), F.lit(""))
+
+
+def candidate_key(record: dict[str, Column]) -> dict[str, Column]:
+    """Identity keys of a record whose fields go by several names: the first name that holds something counts.
+
+    ``record``: the columns there are, by name.
+    """
+
+    def first(*names: str) -> Column:
+        held = [F.nullif(record[n], F.lit("")) for n in names if n in record]
+        return F.coalesce(*held, F.lit("")) if held else F.lit("")
+
+    title, abstract = first("title"), first("abstract", "abstractText")
+    return {
+        "doi": norm_doi(first("doi")), "pmid": norm_pmid(first("pmid", "pubmedId")), "pmcid": norm_pmcid(first("pmcid", "pmcId")), "trial_id": norm_trial_id(first("nctId", "trialId")), "canonical_url": norm_url(first("canonicalUrl", "url")),
+        "content_hash": content_hash(title, abstract), "normalized_title": norm_title(title),
+    }

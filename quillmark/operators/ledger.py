@@ -81,6 +81,18 @@ def lookup(requests: DataFrame, claims: DataFrame, excluded: DataFrame) -> DataF
     return rows.select(*requests.columns, (reason == "eligible").alias("found"), reason.alias("reason"))
 
 
+def search(ranked: DataFrame, claims: DataFrame, excluded: DataFrame, columns: list[str]) -> DataFrame:
+    """The search tool: ranked claims that are known, eligible, current and not excluded, with their payload in ranked order."""
+    rows = ranked.join(claims, "claim_id").join(excluded.select("claim_id"), "claim_id", "left_anti")
+    return rows.filter(F.col("label").isin("focus", "general") & ~F.col("superseded")).select("query", "rank", "claim_id", *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns])
+
+
+def source_of(requests: DataFrame, sources: DataFrame) -> DataFrame:
+    """Asked sources with ``found`` and ``status``."""
+    rows = requests.join(sources.select("source_id", F.col("status").alias("_s")), "source_id", "left")
+    return rows.select(*requests.columns, F.col("_s").isNotNull().alias("found"), F.coalesce("_s", F.lit("unknown_source_id")).alias("status"))
+
+
 def citation_mismatches(cited: DataFrame, claims: DataFrame) -> DataFrame:
     """``reason``: the first of unknown id, url, excerpt and locator that does not agree, or nothing."""
     own = claims.select("claim_id", F.struct("url", "excerpt", "locator").alias("_o"))

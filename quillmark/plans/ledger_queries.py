@@ -197,3 +197,32 @@ def sheet_rows(spark, d):
         one = frames[name].agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("sheet"), "n")
         out = one if out is None else out.unionByName(one)
     return out
+
+
+@query("search_tool", f"""WITH {CLAIMS}, r AS (SELECT claim_id, row_number() OVER (ORDER BY length(text) DESC, claim_id) AS rank FROM c QUALIFY rank <= 400), x AS (SELECT DISTINCT doc_id AS claim_id FROM labels WHERE toxic = 1)
+SELECT 'q' AS query, rank, claim_id, excerpt, coalesce(locator, '') AS locator FROM r JOIN c USING (claim_id) WHERE label IN ('focus', 'general') AND claim_id % 17 <> 0 AND claim_id NOT IN (SELECT claim_id FROM x)""")
+def search_tool(spark, d):
+    from ..operators.retrieval import top
+
+    c = claims(spark, d).withColumn("superseded", F.col("claim_id") % 17 == 0)
+    ranked = top(c.select(F.lit("q").alias("query"), "claim_id", F.length("text").alias("n")), ["query"], [F.desc("n"), F.col("claim_id")], 400).select("query", "rank", "claim_id")
+    return L.search(ranked, c, table(spark, d, "labels").filter("toxic = 1").select(F.col("doc_id").alias("claim_id")), ["excerpt", "locator"])
+
+
+@query("source_lookup", "WITH s AS (SELECT DISTINCT source FROM documents), q AS (SELECT DISTINCT CASE WHEN doc_id % 40 = 0 THEN source || '-x' ELSE source END AS source_id FROM documents) SELECT source_id, s.source IS NOT NULL AS found, CASE WHEN s.source IS NULL THEN 'unknown_source_id' WHEN source_id LIKE '%1' THEN 'superseded' ELSE 'current' END AS status FROM q LEFT JOIN s ON s.source = source_id")
+def source_lookup(spark, d):
+    docs = table(spark, d, "documents")
+    asked = docs.select(F.when(F.col("doc_id") % 40 == 0, F.concat("source", F.lit("-x"))).otherwise(F.col("source")).alias("source_id")).distinct()
+    known = docs.select(F.col("source").alias("source_id")).distinct().withColumn("status", F.when(F.col("source_id").endswith("1"), "superseded").otherwise("current"))
+    return L.source_of(asked, known)
+
+
+@query("candidate_key", f"""WITH r AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'https://doi.org/10.1/A' || doc_id END AS doi, CASE WHEN doc_id % 3 = 0 THEN (doc_id + 100)::VARCHAR END AS pubmed, CASE WHEN doc_id % 5 = 0 THEN 'PMC' || (doc_id + 1000) END AS pmc, {TITLE} AS title, text FROM documents)
+SELECT doc_id, coalesce(lower(regexp_replace(doi, 'https://doi.org/', '')), '') AS doi, coalesce(pubmed, '') AS pmid, coalesce(pmc, '') AS pmcid, 'h.org/' || doc_id AS canonical_url, sha256(lower({STRIP.format('title')}) || chr(31) || lower({STRIP.format('text')}) || chr(31)) AS content_hash, {NORM_TITLE.format('title')} AS normalized_title FROM r""")
+def candidate_key(spark, d):
+    n = F.col("doc_id")
+    record = {
+        "doi": F.when(n % 2 == 0, F.concat(F.lit("https://doi.org/10.1/A"), n.cast("string"))), "pubmedId": F.when(n % 3 == 0, (n + 100).cast("string")), "pmcId": F.when(n % 5 == 0, F.concat(F.lit("PMC"), (n + 1000).cast("string"))),
+        "url": F.concat(F.lit("https://www.h.org/"), n.cast("string"), F.lit("/")), "title": X.title_of(F.col("text")), "abstractText": F.col("text"), "abstract": F.lit(""),
+    }
+    return table(spark, d, "documents").select("doc_id", *[c.alias(k) for k, c in X.candidate_key(record).items() if k != "trial_id"])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import rules as R
+from ..operators import screening as S
 from .catalog import query, table
 from .text_queries import COLLAPSE, STRIP, TITLE
 
@@ -135,3 +136,40 @@ def model_validators(spark, d):
         F.when(n % 4 == 0, "high").otherwise("moderate").alias("confidence"), F.when(n % 11 == 0, "yes").alias("decision"), F.lit("").alias("edited"), F.lit(None).cast("string").alias("notes"),
     )
     return R.reviewed(rows).select("doc_id", "quality", "violations")
+
+
+QUESTIONS = ("Should I take this drug?", "I have pain, fever and blood", "What dose is right", "Can I stop taking it? (chest pain)", "Do I have colitis", "pain and fever only", "fibre AND (diet OR", "diet[ti] AND 2024/01/01[EDAT] : 2024/02/01[EDAT]", "diet AND ()", 'a "quoted term', "2024/01/01[EDAT] diet or", "")
+_ASK = "[" + ", ".join("'" + q.replace("'", "''") + "'" for q in QUESTIONS) + "]"
+ASKED = f"q AS (SELECT conv_id, turn, {_ASK}[(conv_id + turn) % {len(QUESTIONS)} + 1] || ' ' || text AS q FROM conversations), l AS (SELECT *, lower(q) AS t FROM q)"
+
+
+def asked(spark, d):
+    lead = F.get(F.array(*[F.lit(q) for q in QUESTIONS]), ((F.col("conv_id") + F.col("turn")) % len(QUESTIONS)).cast("int"))
+    return table(spark, d, "conversations").select("conv_id", "turn", F.concat(lead, F.lit(" "), "text").alias("q"))
+
+
+_SYMPTOMS = " + ".join(f"contains(t, '{w}')::INT" for w in S.SYMPTOMS)
+
+
+@query("safety_families", f"WITH {ASKED} SELECT conv_id, turn, CASE " + " ".join(f"WHEN {_has([w.replace(chr(39), chr(39) * 2) for w in words], 't')} THEN '{name}'" for name, words in S.SAFETY.items()) + f" WHEN {_SYMPTOMS} >= 3 THEN 'symptom_list' ELSE 'none' END AS family FROM l")
+def safety_families(spark, d):
+    return asked(spark, d).select("conv_id", "turn", S.safety_family(F.lower("q")).alias("family"))
+
+
+@query("query_faults", rf"""WITH {ASKED} SELECT conv_id, turn, concat_ws('; ', CASE WHEN length(replace(q, '(', '')) <> length(replace(q, ')', '')) THEN 'unbalanced brackets' END, CASE WHEN (length(q) - length(replace(q, '"', ''))) % 2 <> 0 THEN 'odd quotes' END, CASE WHEN contains(t, '[ti]') OR contains(t, '[au]') OR contains(t, '[mesh:noexp]') THEN 'forbidden tag' END,
+CASE WHEN (length(t) - length(replace(t, '[edat]', ''))) // 6 % 2 <> 0 THEN 'open range' END, CASE WHEN regexp_matches(t, '\(\s*\)|(?:and|or)\s*$') THEN 'empty clause' END) AS faults FROM l""")
+def query_faults(spark, d):
+    return asked(spark, d).select("conv_id", "turn", F.array_join(S.lint_faults(F.col("q")), "; ").alias("faults"))
+
+
+@query("trial_disposition", """WITH r AS (SELECT doc_id, ['COMPLETED', 'RECRUITING', 'WITHDRAWN', 'TERMINATED', 'UNKNOWN'][doc_id % 5 + 1] AS s, ['trial', 'guideline', 'paper'][doc_id % 3 + 1] AS k, length(text) % 90 AS n FROM documents)
+SELECT doc_id, CASE WHEN k = 'trial' AND s IN ('WITHDRAWN', 'UNKNOWN') THEN 'rejected: registry status' WHEN k = 'trial' AND s NOT IN ('COMPLETED', 'TERMINATED') THEN 'deferred: no results yet' WHEN k = 'guideline' AND n < 40 THEN 'deferred: no public passage' ELSE 'accepted' END AS disposition FROM r""")
+def trial_disposition(spark, d):
+    pick = lambda values, m: F.get(F.array(*[F.lit(v) for v in values]), (F.col("doc_id") % m).cast("int"))
+    out = S.trial_disposition(pick(("COMPLETED", "RECRUITING", "WITHDRAWN", "TERMINATED", "UNKNOWN"), 5), pick(("trial", "guideline", "paper"), 3), F.length("text") % 90)
+    return table(spark, d, "documents").select("doc_id", out.alias("disposition"))
+
+
+@query("sanitised_titles", rf"SELECT doc_id, left({STRIP.format("replace(regexp_replace(" + TITLE + r" || '::x', '[\x00-\x1f\x7f]', ' ', 'g'), '::', ': :')")}, 300) AS title, lang || '; ' || source AS cell FROM documents")
+def sanitised_titles(spark, d):
+    return table(spark, d, "documents").select("doc_id", X.sanitise(F.concat(X.title_of(F.col("text")), F.lit("::x"))).alias("title"), X.render_cell(F.array("lang", "source")).alias("cell"))

@@ -64,3 +64,81 @@ def package_merge(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "source")
     return K.append_package(docs.filter("doc_id % 2 = 0").withColumn("run_id", F.lit("run-1")), docs.filter("doc_id % 2 = 1"), "run-2").select("doc_id", "run_id")
 
+
+
+@query("literature_records", f"""SELECT doc_id::VARCHAR AS pmid, md5(regexp_replace({STRIP.format(TITLE)}, '\\.+$', '')) AS title, CASE WHEN doc_id % 2 = 0 THEN '10.1/a' || doc_id ELSE '' END AS doi, doc_id % 3 = 0 AS open, CASE WHEN doc_id % 2 = 0 THEN 'https://doi.org/10.1/a' || doc_id ELSE 'urn:record:' || doc_id END AS url FROM documents""")
+def literature_records(spark, d):
+    n = F.col("doc_id")
+    one = F.struct(n.cast("string").alias("id"), X.title_of(F.col("text")).alias("title"), F.when(n % 2 == 0, F.concat(F.lit("10.1/A"), n.cast("string"))).alias("doi"), n.cast("string").alias("pmid"), F.when(n % 3 == 0, "Y").otherwise("N").alias("isOpenAccess"))
+    raw = table(spark, d, "documents").select(F.to_json(F.struct(F.lit(1).alias("hitCount"), F.struct(F.array(one).alias("result")).alias("resultList"))).alias("json"))
+    return K.literature(raw).select("pmid", F.md5(F.col("title").cast("binary")).alias("title"), "doi", "open", "url")
+
+
+@query("registry_records", "SELECT 'NCT' || lpad(doc_id::VARCHAR, 8, '0') AS trial_id, CASE WHEN doc_id % 4 = 0 THEN 'completed' ELSE 'ongoing' END AS evidence_type, lang || '; ' || source AS conditions FROM documents")
+def registry_records(spark, d):
+    n = F.col("doc_id")
+    protocol = F.struct(
+        F.struct(F.concat(F.lit("nct"), F.lpad(n.cast("string"), 8, "0")).alias("nctId")).alias("identificationModule"), F.struct(F.when(n % 4 == 0, "Completed").otherwise("Recruiting").alias("overallStatus")).alias("statusModule"),
+        F.struct(F.array("lang", "source").alias("conditions")).alias("conditionsModule"),
+    )
+    raw = table(spark, d, "documents").select(F.to_json(F.struct(F.array(F.struct(protocol.alias("protocolSection"))).alias("studies"))).alias("json"))
+    return K.registry(raw).select("trial_id", "evidence_type", "conditions")
+
+
+@query("article_xml", "SELECT doc_id::VARCHAR AS pmid, 'On ' || lang AS title, 'Part one Part two' AS abstract, CASE WHEN doc_id % 2 = 0 THEN '2024' ELSE '2019' END AS year, '10.1/' || doc_id AS doi FROM documents")
+def article_xml(spark, d):
+    n = F.col("doc_id").cast("string")
+    date = F.when(F.col("doc_id") % 2 == 0, "<Year>2024</Year>").otherwise("<MedlineDate>2019 Spring</MedlineDate>")
+    xml = F.concat(
+        F.lit("<Set><PubmedArticle><MedlineCitation><PMID>"), n, F.lit("</PMID><Article><Journal><JournalIssue><PubDate>"), date, F.lit("</PubDate></JournalIssue><Title>J</Title></Journal><ArticleTitle>On  "), F.col("lang"),
+        F.lit("</ArticleTitle><Abstract><AbstractText>Part one</AbstractText><AbstractText>Part two</AbstractText></Abstract></Article></MedlineCitation><PubmedData><ArticleIdList><ArticleId IdType='doi'>10.1/"), n,
+        F.lit("</ArticleId></ArticleIdList><ReferenceList><Reference><ArticleIdList><ArticleId IdType='doi'>10.9/x</ArticleId></ArticleIdList></Reference></ReferenceList></PubmedData></PubmedArticle></Set>"),
+    )
+    return W.articles(table(spark, d, "documents").select(xml.alias("xml"))).select("pmid", "title", "abstract", "year", "doi")
+
+
+@query("listing_card_rows", "SELECT page_id, 0 AS card_no, DATE '2024-01-01' + (page_id % 30)::INT AS day, 'Card ' || page_id AS name, '/p/' || page_id AS link FROM pages")
+def listing_card_rows(spark, d):
+    n = F.col("page_id").cast("string")
+    ms = ((F.unix_date(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 30).cast("int"))).cast("long")) * 86_400_000).cast("string")
+    html = F.concat(F.lit('<div class="c" data-date-created="'), ms, F.lit('"><a href="/x.pdf">f</a><a href="/p/'), n, F.lit('"><span class="name">Card <b>'), n, F.lit("</b></span></a></div>"))
+    return W.listing_cards(table(spark, d, "pages").select("page_id", html.alias("html"))).select("page_id", "card_no", "day", "name", "link")
+
+
+@query("robots_decisions", "SELECT page_id, CASE page_id % 4 WHEN 0 THEN false WHEN 1 THEN true WHEN 2 THEN true ELSE false END AS allowed FROM pages")
+def robots_decisions(spark, d):
+    body = "User-agent: *\nDisallow: /private\nAllow: /private/open\nDisallow: /*.cgi$\n\nUser-agent: other\nDisallow: /"
+    pages = table(spark, d, "pages").select("page_id", F.concat(F.lit("https://h"), F.pmod("page_id", F.lit(9)).cast("string"), F.lit(".org/"), F.get(F.array(*[F.lit(x) for x in ("private/", "private/open/", "news/", "run/")]), (F.col("page_id") % 4).cast("int")), F.col("page_id").cast("string"), F.when(F.col("page_id") % 4 == 3, ".cgi").otherwise("")).alias("url"))
+    files = spark.range(9).select(F.concat(F.lit("h"), F.col("id").cast("string"), F.lit(".org")).alias("host"), F.lit(body).alias("body"))
+    return pages.join(W.robots_allowed(pages.select("url"), W.robots_rules(files), "reader"), "url").select("page_id", "allowed")
+
+
+@query("cache_keys", "SELECT doc_id, sha256('https://h.org/' || source || '?a=' || lang || '&b=' || doc_id) AS key FROM documents")
+def cache_keys(spark, d):
+    from ..sources.landing import cache_key
+
+    params = F.create_map(F.lit("b"), F.col("doc_id").cast("string"), F.lit("a"), F.col("lang"))
+    return table(spark, d, "documents").select("doc_id", cache_key(F.concat(F.lit("https://h.org/"), "source"), params).alias("key"))
+
+
+@query("host_rules", "SELECT page_id, regexp_extract(url, '^https?://([^/]+)', 1) IN ('thther.example.org', 'm.ththth.example.net') AND NOT contains(url, '/fr/') AS allowed FROM pages")
+def host_rules(spark, d):
+    return table(spark, d, "pages").select("page_id", W.host_allowed(F.col("url"), ("thther.example.org", "m.ththth.example.net"), ("/fr/",)).alias("allowed"))
+
+
+@query("package_scan", "SELECT source AS claimId, n FROM (SELECT source, count(*) AS n FROM documents GROUP BY 1) WHERE source NOT LIKE '%1'")
+def package_scan(spark, d):
+    import uuid
+
+    from ..operators.storage import shared_folder
+
+    path = f"{shared_folder(spark)}/package-{uuid.uuid4().hex}"
+    by = table(spark, d, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    rows = by.agg(F.collect_list(F.struct(F.col("source").alias("claimId"), "n")).alias("claims"), F.collect_list(F.struct(F.col("source").alias("sourceId"))).alias("sources"), F.collect_list(F.when(F.col("source").endswith("1"), F.col("source"))).alias("excludedClaimIds"))  # a row for each source
+    rows.coalesce(1).write.json(path)
+    return K.read_package(spark, path)[0].select("claimId", "n")
+
+
+@query("report_lines", "WITH c AS (SELECT lang, count(*) AS n FROM documents GROUP BY 1) SELECT '# Run' || chr(10) || chr(10) || '| lang | n |' || chr(10) || '|---|---|' || chr(10) || string_agg('| ' || coalesce(lang, '') || ' | ' || n || ' |', chr(10) ORDER BY '| ' || coalesce(lang, '') || ' | ' || n || ' |') AS report FROM c")
+def report_lines(spark, d):
+    return K.report(table(spark, d, "documents").groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "Run")
