@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions.lexicon import CORPUS
 from ..operators import ledger as L
+from ..operators import resolution as R
 from ..operators import screening as S
+from ..operators.storage import save
 from .catalog import query, table
 from .text_queries import APPLICABILITY_SQL, COLLAPSE, NORM_TITLE, STRIP, TITLE
 
@@ -226,3 +228,27 @@ def candidate_key(spark, d):
         "url": F.concat(F.lit("https://www.h.org/"), n.cast("string"), F.lit("/")), "title": X.title_of(F.col("text")), "abstractText": F.col("text"), "abstract": F.lit(""),
     }
     return table(spark, d, "documents").select("doc_id", *[c.alias(k) for k, c in X.candidate_key(record).items() if k != "trial_id"])
+
+
+_IDS = ["doi", "pmid", "pmcid", "trial_id"]
+_WEAK = ["canonical_url", "normalized_title"]
+EDGES = f"""{KEYED}, v AS (SELECT doc_id AS id, doc_id % 4 = 0 AS trial, doi, pmid, pmcid, trial_id, canonical_url, CASE WHEN length(normalized_title) >= 25 THEN normalized_title ELSE '' END AS normalized_title FROM y),
+k AS ({' UNION ALL '.join(f"SELECT id, trial, '{k}' AS kind, {k} AS value FROM v WHERE {k} <> ''" for k in _IDS + _WEAK)}), f AS (SELECT trial, kind, value, min(id) AS dst FROM k GROUP BY ALL),
+e AS (SELECT DISTINCT k.id AS src, dst, kind FROM k JOIN f USING (trial, kind, value) JOIN v a ON a.id = k.id JOIN v b ON b.id = dst WHERE k.id > dst AND (kind IN ('doi', 'pmid', 'pmcid', 'trial_id') OR NOT ({' OR '.join(f"(a.{k} <> '' AND b.{k} <> '' AND a.{k} <> b.{k})" for k in _IDS)})))"""
+
+
+def _edges(spark, d):
+    title = F.when(F.length("normalized_title") >= 25, F.col("normalized_title"))
+    rows = save(keyed(spark, d).select(F.col("doc_id").alias("id"), (F.col("doc_id") % 4 == 0).alias("trial"), *_IDS, "canonical_url", title.alias("normalized_title")), "identities")
+    return rows, R.identity_edges(rows, _IDS, _WEAK)
+
+
+@query("identity_edges", f"WITH {EDGES} SELECT * FROM e")
+def identity_edges(spark, d):
+    return _edges(spark, d)[1]
+
+
+@query("identity_components", f"WITH RECURSIVE {EDGES}, b AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e), w(id, node) AS (SELECT id, id FROM v UNION SELECT w.id, b.dst FROM w JOIN b ON b.src = w.node) SELECT id, min(node) AS root FROM w GROUP BY id")
+def identity_components(spark, d):
+    rows, edges = _edges(spark, d)
+    return R.components(rows.select("id"), edges)

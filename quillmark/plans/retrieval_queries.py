@@ -67,29 +67,30 @@ def vector_topk(spark, d):
     return R.vector_top(vectors, vectors.filter("vec_id % 20 = 0"), 5)
 
 
-RANKED_SQL = """p AS (SELECT vec_id AS probe, embedding::DOUBLE[] AS q FROM embeddings WHERE vec_id IN (0, 20)), x AS (SELECT probe, vec_id, round(list_cosine_similarity(embedding::DOUBLE[], q), 6) AS cos FROM embeddings, p),
-r AS (SELECT CASE probe WHEN 0 THEN 'bm25' ELSE 'vector' END AS list, vec_id AS id, row_number() OVER (PARTITION BY probe ORDER BY cos DESC, vec_id) AS rank FROM x QUALIFY rank <= 30)"""
+RANKED_SQL = """p AS (SELECT vec_id AS probe, embedding::DOUBLE[] AS q FROM embeddings WHERE vec_id % 20 = 0), x AS (SELECT probe, vec_id, round(list_cosine_similarity(embedding::DOUBLE[], q), 6) AS cos FROM embeddings, p),
+r AS (SELECT probe // 40 AS pair, CASE probe % 40 WHEN 0 THEN 'bm25' ELSE 'vector' END AS list, vec_id AS id, row_number() OVER (PARTITION BY probe ORDER BY cos DESC, vec_id) AS rank FROM x QUALIFY rank <= 30)"""
 
 
 def _ranked(spark, d):
+    """Neighbouring probes in pairs; the list of the first stands for a word ranking."""
     vectors = table(spark, d, "embeddings")
-    ranked = R.vector_top(vectors, vectors.filter("vec_id IN (0, 20)"), 30)
-    return ranked.select(F.when(F.col("probe") == 0, "bm25").otherwise("vector").alias("list"), F.col("vec_id").alias("id"), "rank")
+    ranked = R.vector_top(vectors, vectors.filter("vec_id % 20 = 0"), 30)
+    return ranked.select(F.floor(F.col("probe") / 40).alias("pair"), F.when(F.col("probe") % 40 == 0, "bm25").otherwise("vector").alias("list"), F.col("vec_id").alias("id"), "rank")
 
 
-@query("rrf_fusion", f"WITH {RANKED_SQL}, f AS (SELECT id, round(sum(1.0::DOUBLE / (60 + rank)), 9) AS rrf, min({{'l': list, 'r': rank}}) AS seen FROM r GROUP BY id) SELECT id, rrf, row_number() OVER (ORDER BY rrf DESC, seen) AS pos FROM f")
+@query("rrf_fusion", f"WITH {RANKED_SQL}, f AS (SELECT pair, id, round(sum(1.0::DOUBLE / (60 + rank)), 9) AS rrf, min({{'l': list, 'r': rank}}) AS seen FROM r GROUP BY ALL) SELECT pair, id, rrf, row_number() OVER (PARTITION BY pair ORDER BY rrf DESC, seen) AS pos FROM f")
 def rrf_fusion(spark, d):
-    return R.fuse(_ranked(spark, d), [])
+    return R.fuse(_ranked(spark, d), ["pair"])
 
 
 @query("fuse_candidates_edge", f"""WITH {RANKED_SQL}, c AS (SELECT 'both' AS kind, * FROM r UNION ALL SELECT 'vector only', * FROM r WHERE list = 'vector' UNION ALL SELECT 'words only', * FROM r WHERE list = 'bm25'),
-f AS (SELECT kind, id, round(sum(1.0::DOUBLE / (60 + rank)), 9) AS rrf, min({{'l': list, 'r': rank}}) AS seen FROM c GROUP BY ALL), g AS (SELECT 'lenient' AS mode, * FROM f UNION ALL SELECT 'strict', * FROM f WHERE kind <> 'vector only')
-SELECT mode, kind, id, rrf, row_number() OVER (PARTITION BY mode, kind ORDER BY rrf DESC, seen) AS pos FROM g""")
+f AS (SELECT pair, kind, id, round(sum(1.0::DOUBLE / (60 + rank)), 9) AS rrf, min({{'l': list, 'r': rank}}) AS seen FROM c GROUP BY ALL), w AS (SELECT pair, kind FROM c GROUP BY ALL HAVING min(list) = 'vector'), g AS (SELECT 'lenient' AS mode, * FROM f UNION ALL SELECT 'strict', * FROM f ANTI JOIN w USING (pair, kind))
+SELECT mode, pair, kind, id, rrf, row_number() OVER (PARTITION BY mode, pair, kind ORDER BY rrf DESC, seen) AS pos FROM g""")
 def fuse_candidates_edge(spark, d):
     r = _ranked(spark, d)
     cases = r.withColumn("kind", F.explode(F.array(F.lit("both"), F.when(F.col("list") == "vector", "vector only").otherwise("words only"))))
-    lenient, strict = (R.fuse_candidates(cases, ["kind"], s).withColumn("mode", F.lit(m)) for m, s in (("lenient", False), ("strict", True)))
-    return lenient.unionByName(strict).select("mode", "kind", "id", "rrf", "pos")
+    lenient, strict = (R.fuse_candidates(cases, ["pair", "kind"], s).withColumn("mode", F.lit(m)) for m, s in (("lenient", False), ("strict", True)))
+    return lenient.unionByName(strict).select("mode", "pair", "kind", "id", "rrf", "pos")
 
 
 PROBES_SQL = """v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings), p AS (SELECT vec_id AS probe, label, e FROM v WHERE vec_id % 20 = 0),
