@@ -2,7 +2,11 @@
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns rows that are written as
 Parquet and read again as the next stage's ``docs``. All but the last return the
-columns of ``documents``.
+columns of ``docs``, extra ones and ones named like an operator's results included.
+
+For all stages: a null text counts as empty; an empty table gives an empty one;
+repeated rows are rows of their own (the two de-duplications keep one of them); a
+null ``doc_id`` is allowed. No stage reads a text in part.
 """
 
 from __future__ import annotations
@@ -26,33 +30,45 @@ LEAST_SCORE = 0.4
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a language: no letters, or ambiguous with a low score."""
+    """Drops texts without a language: no letters (null and empty ones too), or ambiguous with a low score.
+
+    With no labelled language in the table nothing can be told apart, and all texts
+    with letters are dropped as ``und``.
+    """
     found = identify(docs, train(docs), carry=docs.columns)
     keep = (F.col("lang_pred") != "und") & ~(F.col("ambiguous") & (F.col("score") < LEAST_SCORE))
     return found.filter(keep).select(*docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the smallest id stays."""
+    """Of equal texts (null and empty ones are equal) the row with the smallest id stays, of rows with that id any one."""
     return exact_dedup(docs).filter("kept").select(*docs.columns)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near-duplicates the document with the smallest id stays."""
+    """Of near-duplicates one row stays, that of the smallest id; texts without a word are no near-duplicates and stay.
+
+    Rows are told apart by a key of their own, so that rows with one id and
+    different texts are judged by their texts.
+    """
     rows = keyed(docs, docs.columns)
     gone = near_classes(rows.select("key", "doc_id", "text")).filter(~F.col("first")).select("key")
     return rows.join(gone, "key", "left_anti").select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its fitted rate says; one of a rate of 0 goes."""
+    """Each document as often as its fitted rate says; one of a rate of 0 goes.
+
+    Rows with one id share the largest number of copies among them; rows without
+    an id are kept once. Without labels every rate is 1.
+    """
     rates = mix(docs, domain_labels(spark, sf_dir), MIX_WEIGHTS, MIX_KEEP).groupBy("doc_id").agg(F.max("copies").alias("_copies"))
     rows = docs.join(rates, "doc_id", "left").withColumn("_copies", F.coalesce("_copies", F.lit(1))).filter("_copies > 0")
     return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE ids of each kept document, as count and digests."""
+    """Byte-level BPE ids of each kept document, as count and digests: a row for each row, empty texts with no ids."""
     return bpe_round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 

@@ -615,6 +615,18 @@ def test_queries_equal_their_sql(spark, name):
     assert sorted(tuple(r) for r in QUERIES[name](spark, SF).select(*names).collect()) == want
 
 
+def test_pipeline_stages_on_odd_tables(spark, edge, empty):
+    import corpus_pipeline as P
+
+    odd = edge.withColumn("kept", F.lit("k")).withColumn("rate", F.lit(1)).withColumn("key", F.lit(2)).withColumn("lang_pred", F.lit("x"))
+    for k, (_, stage) in enumerate(P.STAGES):
+        assert stage(spark, empty, SF).count() == 0
+        got = stage(spark, odd, SF)
+        assert got.columns == odd.columns if k < 4 else set(bpe.OUT) < set(got.columns)
+        n = got.count()
+        assert n == len(EDGE) if k == 4 else 0 < n <= len(EDGE) if k < 3 else n >= 1
+
+
 def test_pipeline_stage_by_stage(spark, docs):
     import corpus_pipeline as P
 
