@@ -59,3 +59,23 @@ def last_n(rows: DataFrame, key: str, order: list, n: int) -> DataFrame:
 def listing_changes(listing: DataFrame, baseline: DataFrame, on: str) -> DataFrame:
     """Rows whose key the baseline lacks."""
     return listing.join(baseline.select(on).distinct(), on, "left_anti")
+
+
+def state_streaks(days: DataFrame, by: str, state: Column, quiet: str) -> DataFrame:
+    """``day, state, streak, level`` of days in a state other than ``quiet``: how many days in a row, warn at 2, error at 3.
+
+    A ``by`` has a row a day, so its window holds a calendar's days.
+    """
+    rows = days.select(by, "day", state.alias("state"))
+    line = Window.partitionBy(by).orderBy("day")
+    own = Window.partitionBy(by, "state").orderBy("day")
+    rows = rows.withColumn("_i", F.row_number().over(line) - F.row_number().over(own))
+    streak = F.row_number().over(Window.partitionBy(by, "state", "_i").orderBy("day"))
+    level = F.when(F.col("streak") >= 3, "error").when(F.col("streak") == 2, "warn").otherwise("info")
+    return rows.filter(F.col("state") != quiet).withColumn("streak", streak).select(by, "day", "state", "streak", level.alias("level"))
+
+
+def zero_explanation(canary: Column, streak: Column) -> Column:
+    """Why a window had no result: the canary's count is unknown, 0, or shows that the source answers; with the streak's level."""
+    why = F.when(canary.isNull(), "unexplained").when(canary == 0, "invalid: the canary finds nothing").otherwise("healthy: nothing new")
+    return F.concat(why, F.when(streak >= 3, " [error]").when(streak == 2, " [warn]").otherwise(""))

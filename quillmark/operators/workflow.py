@@ -74,3 +74,61 @@ def verify_citations(cited: DataFrame, claims: DataFrame) -> DataFrame:
     """``mismatch``: unknown, excerpt, or nothing, for citations with ``claim_id, excerpt``."""
     rows = cited.join(claims.select(F.col("id").alias("claim_id"), F.col("excerpt").alias("_e")), "claim_id", "left")
     return rows.withColumn("mismatch", F.when(F.col("_e").isNull(), "unknown").when(F.col("_e") != F.col("excerpt"), "excerpt").otherwise("")).drop("_e")
+
+
+# ---- the long graph: every node that a model may take has a rule to fall back on ----
+
+#: Nodes in order, and those that a hook may take.
+NODES = ("gate", "plan", "reformulate", "classify", "retrieve", "fuse", "analyse", "resolve", "verify", "synthesise", "critic", "review", "evaluate")
+HOOKED = ("plan", "reformulate", "classify", "analyse", "resolve", "synthesise", "critic", "review", "evaluate")
+UNAVAILABLE = "No answer can be written without a model at present."
+
+
+def hooked(rows: DataFrame, node: str, hooks: dict[str, Callable[[DataFrame], DataFrame]], rule: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, str]:
+    """The frame after a node and who took it; a hook that fails or changes the keys gives way to the rule."""
+    hook = hooks.get(node)
+    if hook is None:
+        return rule(rows), "rule"
+    try:
+        out = hook(rows)
+        if not set(rows.columns) <= set(out.columns):
+            return rule(rows), "rule (hook lost columns)"
+        return out, "model"
+    except Exception as e:  # noqa: BLE001 - whatever a model's client raises, the rule answers
+        return rule(rows), f"rule ({type(e).__name__})"
+
+
+def graph(questions: DataFrame, claims: DataFrame, preset: Corpus, k: int = 3, hooks: dict[str, Callable[[DataFrame], DataFrame]] | None = None, template: bool = True, critic: Callable[[Column], Column] | None = None) -> DataFrame:
+    """``status, route, sufficient, resolution`` beside the columns of ``answer``.
+
+    The critic's rule always holds: a hook can only refuse more. Without a template
+    and a ``synthesise`` hook an answer ends as ``llm_unavailable``. The analyst keeps
+    claims that were retrieved; what a hook adds is dropped.
+    """
+    hooks = hooks or {}
+    takers: dict[str, str] = {}
+    same = lambda rows: rows
+    for node in ("plan", "reformulate", "classify"):
+        questions, takers[node] = hooked(questions, node, hooks, same)
+
+    def analysed(rows: DataFrame) -> DataFrame:
+        ids = F.transform("claims", lambda c: c["id"])
+        out, takers["analyse"] = hooked(rows.withColumn("_ids", ids), "analyse", hooks, same)
+        out = out.withColumn("claims", F.filter("claims", lambda c: F.array_contains("_ids", c["id"]))).drop("_ids")
+        out, takers["resolve"] = hooked(out, "resolve", hooks, same)
+        return out
+
+    rows = answer(questions, claims, preset, k, critic=critic, hook=analysed)
+    for node in ("synthesise", "critic", "review", "evaluate"):
+        rows, takers[node] = hooked(rows, node, hooks, same)
+    written = takers["synthesise"] == "model" or template
+    status = F.col("status") if written else F.when(F.col("status") == "answered", "llm_unavailable").otherwise(F.col("status"))
+    rows = rows.withColumn("status", status).withColumn("answer", F.when(F.col("status") == "llm_unavailable", UNAVAILABLE).otherwise(F.col("answer")))
+    name = lambda n: f"{n}*" if takers.get(n, "").startswith("model") else n
+    upto = {"refused": 1, "fallback": NODES.index("verify") + 1, "llm_unavailable": NODES.index("synthesise") + 1, "answered": len(NODES)}
+    reached = F.lit(len(NODES))
+    for s, n in upto.items():
+        reached = F.when(F.col("status") == s, n).otherwise(reached)
+    route = F.array_join(F.slice(F.array(*[F.lit(name(n)) for n in NODES]), F.lit(1), reached), ">")
+    resolution = F.when(F.size("verified") > 1, "passed through").otherwise("nothing to resolve")
+    return rows.withColumn("route", route).withColumn("sufficient", F.size("verified") > 0).withColumn("resolution", resolution)

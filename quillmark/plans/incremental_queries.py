@@ -119,3 +119,14 @@ def stream_session(spark, d):
 @query("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
 def stream_dedup(spark, d):
     return W.run_once(W.first_seen(W.event_stream(spark, d), ["user_id", "event_type"], "60 days").select("user_id", "event_type"), "first")
+
+
+@query("state_streaks", f"""WITH {CALENDAR}, g AS (SELECT user_id, day, CASE WHEN n = 0 THEN 'zero' WHEN n = 1 THEN 'incomplete' WHEN n > 6 THEN 'failed' ELSE 'fine' END AS state FROM z), i AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY day) - row_number() OVER (PARTITION BY user_id, state ORDER BY day) AS i FROM g),
+r AS (SELECT user_id, day, state, row_number() OVER (PARTITION BY user_id, state, i ORDER BY day)::INT AS streak FROM i WHERE state <> 'fine') SELECT *, CASE WHEN streak >= 3 THEN 'error' WHEN streak = 2 THEN 'warn' ELSE 'info' END AS level,
+CASE WHEN user_id % 3 = 0 THEN 'unexplained' WHEN user_id % 3 = 1 THEN 'invalid: the canary finds nothing' ELSE 'healthy: nothing new' END || CASE WHEN streak >= 3 THEN ' [error]' WHEN streak = 2 THEN ' [warn]' ELSE '' END AS explanation FROM r""")
+def state_streaks(spark, d):
+    days = I.calendar(table(spark, d, "events"), "user_id", day())
+    n = F.col("n")
+    state = F.when(n == 0, "zero").when(n == 1, "incomplete").when(n > 6, "failed").otherwise("fine")
+    canary = F.when(F.col("user_id") % 3 == 1, 0).when(F.col("user_id") % 3 == 2, 5)
+    return I.state_streaks(days, "user_id", state, "fine").withColumn("explanation", I.zero_explanation(canary, F.col("streak")))

@@ -147,3 +147,15 @@ def package_audit(spark, d):
     every = Q.checks(docs, {k: of() for k, (_, of) in _PACKAGE.items()}).unionByName(Q.unique(docs, "doc_id", "QA-01_unique_id")).unionByName(Q.unique(labels, "doc_id", "QA-19_one_label"))
     every = every.unionByName(Q.checks(labels, {"QA-17_rating_domain": F.col("quality").isin(0, 1), "QA-18_toxic_domain": F.col("toxic").isin(0, 1)})).unionByName(Q.foreign_keys(labels, "doc_id", docs, "doc_id", "QA-16_labels_known"))
     return Q.verdict(every)
+
+
+_ROUTE = "array_to_string(" + str(list(G.NODES)) + "[1:CASE status WHEN 'refused' THEN 1 WHEN 'fallback' THEN 9 WHEN 'llm_unavailable' THEN 10 ELSE 13 END], '>')"
+
+
+@query("answer_graph", f"""WITH {ANSWERS}, o AS (SELECT conv_id, turn, ids, status, true AS template FROM a UNION ALL SELECT conv_id, turn, ids, CASE WHEN status = 'answered' THEN 'llm_unavailable' ELSE status END, false FROM a)
+SELECT conv_id, turn, template, status, {_ROUTE} AS route, ids IS NOT NULL AS sufficient, CASE WHEN len(ids) > 1 THEN 'passed through' ELSE 'nothing to resolve' END AS resolution FROM o""")
+def answer_graph(spark, d):
+    q = table(spark, d, "conversations").filter("role = 'user'").select("conv_id", "turn", F.col("text").alias("question"), F.concat(F.lit("src"), (F.col("conv_id") % 25).cast("string")).alias("topic"))
+    c = claims(spark, d)
+    both = [G.graph(q, c, CORPUS, template=t).withColumn("template", F.lit(t)).select("conv_id", "turn", "template", "status", "route", "sufficient", "resolution") for t in (True, False)]
+    return both[0].unionByName(both[1])

@@ -278,3 +278,26 @@ def test_running_totals_split_a_hot_group(spark):
     rows = spark.range(2000).select(F.col("id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("g")).repartition(7)
     got = {r["id"]: r["n"] for r in running(rows, {"n": F.lit(1)}, "id", by=("g",)).collect()}
     assert all(got[i] == (i // 3 + 1 if i % 3 == 0 else 1) for i in range(2000))
+
+
+def test_graph_hooks_and_their_fallbacks(spark):
+    from quillmark.functions.lexicon import CORPUS
+    from quillmark.operators import workflow as G
+
+    q = spark.createDataFrame([(1, 1, "what of fibre", "t1"), (2, 1, "what of it", "t2")], "conv_id long, turn long, question string, topic string")
+    c = spark.createDataFrame([(1, "t1", "fibre helps", "fibre", True), (2, "t1", "so they say", "so", True)], "id long, topic string, text string, excerpt string, ok boolean")
+
+    def broken(rows):
+        raise TimeoutError
+
+    def invented(rows):  # an analyst that adds a claim nobody retrieved
+        return rows.withColumn("claims", F.transform("claims", lambda x: F.struct((x["id"] + 100).alias("id"), x["text"].alias("text"), x["excerpt"].alias("excerpt"), x["ok"].alias("ok"))))
+
+    run = lambda **k: {r["conv_id"]: r for r in G.graph(q, c, CORPUS, critic=lambda t: F.lit(True), **k).collect()}
+    plain = run()
+    assert plain[1]["status"] == "answered" and plain[1]["route"] == ">".join(G.NODES) and plain[2]["status"] == "fallback"
+    assert run(hooks={"plan": broken, "critic": lambda rows: rows.select("conv_id")})[1]["route"] == plain[1]["route"]
+    assert run(hooks={"plan": lambda rows: rows})[1]["route"].startswith("gate>plan*>")
+    assert run(hooks={"analyse": invented})[1]["status"] == "fallback"
+    assert run(template=False)[1]["answer"] == G.UNAVAILABLE
+    assert run(template=False, hooks={"synthesise": lambda rows: rows.withColumn("answer", F.lit("m"))})[1]["answer"] == "m"
