@@ -152,7 +152,7 @@ def fit_rates(table: DataFrame, names: list[str], weights: dict[str, float], kee
 
     ``weights``: target share of each domain (others: none asked, they keep their
     share). The budget is the corpus size, or more where a domain in ``keep``
-    would else get less than 1.05 times its tokens. Documents whose likeliest
+    would else get fewer tokens than it has. Documents whose likeliest
     domain is in ``keep`` have rates of 1 at least, others of 0.
     """
     k = len(names)
@@ -162,7 +162,7 @@ def fit_rates(table: DataFrame, names: list[str], weights: dict[str, float], kee
     total, have = both[0], both[1 : k + 1]
     share = np.array([weights.get(x, have[i] / total) for i, x in enumerate(names)])
     share = share / share.sum()
-    budget = max([total, *[1.05 * have[i] / share[i] for i, x in enumerate(names) if x in keep and share[i] > 0]])
+    budget = max([total, *[have[i] / share[i] for i, x in enumerate(names) if x in keep and share[i] > 0]])
     target = share * budget
     steps = Steps(1 / np.linalg.eigvalsh(both[k + 1 :].reshape(k, k) / total).max(), [i for i, x in enumerate(names) if x in keep], [])
     norms: list[float] = []
