@@ -173,3 +173,36 @@ def trial_disposition(spark, d):
 @query("sanitised_titles", rf"SELECT doc_id, left({STRIP.format("replace(regexp_replace(" + TITLE + r" || '::x', '[\x00-\x1f\x7f]', ' ', 'g'), '::', ': :')")}, 300) AS title, lang || '; ' || source AS cell FROM documents")
 def sanitised_titles(spark, d):
     return table(spark, d, "documents").select("doc_id", X.sanitise(F.concat(X.title_of(F.col("text")), F.lit("::x"))).alias("title"), X.render_cell(F.array("lang", "source")).alias("cell"))
+
+
+TOPIC_WORDS = ("diet", "fibre", "nutrition")
+
+
+@query("sentence_scores", f"WITH {CASES} SELECT doc_id, CASE WHEN {_has(R.RESULTS, 't')} THEN 5 ELSE 0 END + CASE WHEN {_has(TOPIC_WORDS, 't')} THEN 3 ELSE 0 END - CASE WHEN {_has(R.METHODS, 't')} THEN 5 ELSE 0 END - CASE WHEN {_has(R.AIMS, 't')} THEN 3 ELSE 0 END AS score FROM k")
+def sentence_scores(spark, d):
+    return cases(spark, d).select("doc_id", R.score(F.col("claim"), TOPIC_WORDS).alias("score"))
+
+
+@query("labelled_sentences", rf"""WITH a AS (SELECT doc_id, regexp_replace(CASE WHEN doc_id % 2 = 0 THEN 'RESULTS: ' ELSE '' END || text, '^[A-Z][A-Z /&-]{{2,}}:\s*', '') AS text FROM documents), b AS (SELECT doc_id, string_split(regexp_replace({COLLAPSE.format('text')}, '([.!?])\s+([A-Z0-9])', '\1' || chr(1) || '\2', 'g'), chr(1)) AS l FROM a)
+SELECT doc_id, len(list_filter(l, lambda x: length(x) BETWEEN 20 AND 700)) AS n, md5(array_to_string(list_filter(l, lambda x: length(x) BETWEEN 20 AND 700), '|')) AS digest FROM b""")
+def labelled_sentences(spark, d):
+    text = F.concat(F.when(F.col("doc_id") % 2 == 0, "RESULTS: ").otherwise(""), "text")
+    rows = table(spark, d, "documents").select("doc_id", R.labelled_sentences(text).alias("s"))
+    return rows.select("doc_id", F.size("s").cast("long").alias("n"), F.md5(F.array_join("s", "|").cast("binary")).alias("digest"))
+
+
+@query("publication_types", "SELECT doc_id, CASE WHEN doc_id % 4 IN (0, 1) THEN 'guideline' ELSE 'paper' END AS kind FROM documents")
+def publication_types(spark, d):
+    kinds = F.get(F.array(*[F.lit(x) for x in ("Practice Guideline", "Consensus Development Conference", "Journal Article", "Review")]), (F.col("doc_id") % 4).cast("int"))
+    return table(spark, d, "documents").select("doc_id", R.publication_class(F.array(F.lit("Journal Article"), kinds)).alias("kind"))
+
+
+_DENIED = "|".join(f"(?:{p})" for p in R.DENIED).replace("'", "''")
+
+
+@query("nested_denylist", f"SELECT doc_id, regexp_matches(lower(text), '{_DENIED}') OR doc_id % 9 = 0 OR doc_id % 10 = 0 AS denied FROM documents")
+def nested_denylist(spark, d):
+    n = F.col("doc_id")
+    inner = F.struct(F.array(F.struct(F.when(n % 9 == 0, "my name is ann").otherwise("fine").alias("note"))).alias("items"), F.regexp_replace("text", r'["\\]', " ").alias("body"))
+    key = F.map_from_arrays(F.array(F.when(n % 10 == 0, "password: x").otherwise("k")), F.array(F.lit(1)))
+    return table(spark, d, "documents").select("doc_id", R.denied(F.to_json(F.struct(inner.alias("outer"), key.alias("keys")))).alias("denied"))
