@@ -149,6 +149,8 @@ def components(links: DataFrame) -> DataFrame:
     ever meets its own minimum, so no neighbour list is gathered.
     """
     now = materialise(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "links")
+    mark = lambda e: e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+    seen = mark(now)
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
@@ -157,11 +159,10 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").unionByName(least.select("a", F.col("m").alias("b"))).distinct()
         new = materialise(small, "links")
         # settled once every end points straight at a root and nothing else is left to hook
-        rows, sums = new.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        rows_, sums_ = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        now = new
-        if rows == rows_ and sums == sums_:
+        now, found = new, mark(new)
+        if found == seen:
             return now.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component"))
+        seen = found
 
 
 def _labels(links: list[DataFrame]) -> DataFrame | None:
