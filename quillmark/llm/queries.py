@@ -16,9 +16,10 @@ from .license_scan import scan
 from .long_repeats import remove_repeats
 from .mixing import mix
 from .near_dedup import near_dedup
+from .periodic_runs import periodic_runs
 from .personal_data import find
 from .quality_rules import quality
-from .shared import documents, shared_dir
+from .shared import SPACE, documents, shared_dir
 from .token_files import read_token_files, write_token_files
 
 
@@ -111,3 +112,64 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"op2_soft_mixing": op2_soft_mixing, "op8_license_scan": op8_license_scan}
+
+
+def _planted(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``; in a tenth of the documents, picked by the checksum of their number, the last words repeat a few earlier ones.
+
+    With ``g`` for the tenth of the checksum, word ``i`` from ``a = g % n`` on becomes word ``a + (i - a) % p``.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), SPACE), lambda w: w != "")
+    rows = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).cast("long").alias("g"), F.when(h % 10 == 0, words).alias("w"))
+    rows = rows.withColumn("n", F.when(F.size("w") > 0, F.size("w")).cast("long")).withColumn("a", (F.col("g") % F.col("n")).cast("int"))
+    rows = rows.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    a, tail = F.col("a"), F.slice("w", F.col("a") + 1, F.col("p"))
+    times = F.ceil((F.col("n") - a) / F.col("p")).cast("int")
+    reworded = F.concat(F.slice("w", F.lit(1), a), F.slice(F.flatten(F.array_repeat(tail, times)), F.lit(1), (F.col("n") - a).cast("int")))
+    return rows.select("doc_id", F.when(F.col("n").isNotNull(), F.array_join(reworded, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(_planted(documents(spark, sf_dir)))
+    more = lambda x, y: x["length"] * y["period"] > y["length"] * x["period"]
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda b, r: F.when(more(r, b), r).otherwise(b))  # runs are in the order of ties
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", *[r[x].cast("string") for x in ("start", "length", "period")])), "\n")
+    found = found.withColumn("b", best)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"b.{x}").alias(x) for x in ("start", "length", "period")],
+        F.floor(1000 * F.col("b.length") / F.col("b.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.concat(lines, F.when(F.size("runs") > 0, "\n").otherwise("")).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+#: The 256 entries of the checksum's table, by its rule.
+_CRC_TABLE = "SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS tab FROM range(256) r(i)"
+#: The checksum of a list of bytes ``{0}``.
+_CRC = "xor(4294967295, list_reduce(list_prepend(4294967295, {0}), lambda c, b: xor(c >> 8, tab[1 + (xor(c, b) & 255)])))"
+
+OP12_SQL = rf"""
+WITH table_ AS ({_CRC_TABLE}),
+t AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w, {_CRC.format("list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)")} AS h FROM documents, table_),
+u AS (SELECT doc_id, w, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a, (h // 10) % 8 AS k FROM t),
+v AS (SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + k)) END]) END AS w FROM u),
+x AS (SELECT doc_id, unnest(w) AS word, unnest(range(n)) AS i FROM v),
+grid AS (SELECT doc_id, p, unnest(range(0, n - 2 * p, p)) AS i FROM (SELECT doc_id, n, unnest(range(1, n // 3 + 1)) AS p FROM v)),
+hit AS (SELECT g.doc_id, p, g.i FROM grid g JOIN x a ON a.doc_id = g.doc_id AND a.i = g.i JOIN x b ON b.doc_id = g.doc_id AND b.i = g.i + p AND b.word = a.word JOIN x c ON c.doc_id = g.doc_id AND c.i = g.i + 2 * p AND c.word = a.word),
+square AS (SELECT DISTINCT doc_id, p FROM hit JOIN v USING (doc_id) WHERE w[i + 1:i + p] = w[i + p + 1:i + 2 * p]),
+same AS (SELECT s.doc_id, p, a.i, a.i - row_number() OVER (PARTITION BY s.doc_id, p ORDER BY a.i) AS island FROM square s JOIN x a USING (doc_id) JOIN x b ON b.doc_id = s.doc_id AND b.i = a.i + p AND b.word = a.word),
+stretch AS (SELECT doc_id, p, min(i) AS start, count(*) + p AS length FROM same GROUP BY doc_id, p, island),
+run AS (SELECT doc_id, start, length, min(p) AS period FROM stretch WHERE length >= greatest(24, 3 * p) GROUP BY ALL),
+cut AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM run),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM x ANTI JOIN cut USING (doc_id, i) GROUP BY doc_id),
+best AS (SELECT * FROM run QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length::DOUBLE / period DESC, start, period) = 1),
+every AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM run GROUP BY doc_id)
+SELECT v.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256
+FROM v LEFT JOIN every USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+QUERIES |= {"op12_periodic_runs": op12_periodic_runs}
+ORACLES |= {"op12_periodic_runs": OP12_SQL}
