@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import bpe_round_trip
+from .chat_format import format_conversations, read_back
 from .exact_dedup import exact_dedup
+from .importance import resample
 from .language_id import identify, train
 from .license_scan import scan
 from .long_repeats import remove_repeats
@@ -19,7 +21,7 @@ from .near_dedup import near_dedup
 from .periodic_runs import periodic_runs
 from .personal_data import find
 from .quality_rules import quality
-from .shared import SPACE, documents, shared_dir
+from .shared import SPACE, documents, materialise, shared_dir
 from .token_files import read_token_files, write_token_files
 
 
@@ -158,9 +160,12 @@ u AS (SELECT doc_id, w, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h
 v AS (SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + k)) END]) END AS w FROM u),
 x AS (SELECT doc_id, unnest(w) AS word, unnest(range(n)) AS i FROM v),
 grid AS (SELECT doc_id, p, unnest(range(0, n - 2 * p, p)) AS i FROM (SELECT doc_id, n, unnest(range(1, n // 3 + 1)) AS p FROM v)),
-hit AS (SELECT g.doc_id, p, g.i FROM grid g JOIN x a ON a.doc_id = g.doc_id AND a.i = g.i JOIN x b ON b.doc_id = g.doc_id AND b.i = g.i + p AND b.word = a.word JOIN x c ON c.doc_id = g.doc_id AND c.i = g.i + 2 * p AND c.word = a.word),
-square AS (SELECT DISTINCT doc_id, p FROM hit JOIN v USING (doc_id) WHERE w[i + 1:i + p] = w[i + p + 1:i + 2 * p]),
-same AS (SELECT s.doc_id, p, a.i, a.i - row_number() OVER (PARTITION BY s.doc_id, p ORDER BY a.i) AS island FROM square s JOIN x a USING (doc_id) JOIN x b ON b.doc_id = s.doc_id AND b.i = a.i + p AND b.word = a.word),
+one AS MATERIALIZED (SELECT doc_id, p, i, word FROM grid JOIN x USING (doc_id, i)),
+two AS MATERIALIZED (SELECT one.* FROM one JOIN x b ON b.doc_id = one.doc_id AND b.i = one.i + p AND b.word = one.word),
+hit AS MATERIALIZED (SELECT two.doc_id, p, two.i FROM two JOIN x b ON b.doc_id = two.doc_id AND b.i = two.i + 2 * p AND b.word = two.word),
+square AS MATERIALIZED (SELECT DISTINCT doc_id, p FROM hit JOIN v USING (doc_id) WHERE w[i + 1:i + p] = w[i + p + 1:i + 2 * p]),
+near AS MATERIALIZED (SELECT doc_id, p, i, word FROM square JOIN x USING (doc_id)),
+same AS (SELECT near.doc_id, p, near.i, near.i - row_number() OVER (PARTITION BY near.doc_id, p ORDER BY near.i) AS island FROM near JOIN x b ON b.doc_id = near.doc_id AND b.i = near.i + p AND b.word = near.word),
 stretch AS (SELECT doc_id, p, min(i) AS start, count(*) + p AS length FROM same GROUP BY doc_id, p, island),
 run AS (SELECT doc_id, start, length, min(p) AS period FROM stretch WHERE length >= greatest(24, 3 * p) GROUP BY ALL),
 cut AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM run),
@@ -173,3 +178,56 @@ FROM v LEFT JOIN every USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN ke
 
 QUERIES |= {"op12_periodic_runs": op12_periodic_runs}
 ORACLES |= {"op12_periodic_runs": OP12_SQL}
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), percent=25, least_words=20, seed=7)
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def _features_sql(name: str, key: str) -> str:
+    """CTEs ``{name}_w`` (words of each text) and ``{name}_f`` (its features)."""
+    lower = f"translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}')"
+    words = rf"list_filter(string_split_regex({lower}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+    return f"""{name}_w AS (SELECT {key} AS id, {words} AS w FROM {name}),
+{name}_f AS (SELECT id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM {name}_w)"""
+
+
+#: UTF-8 bytes of a string ``{0}``.
+_BYTES = """flatten(list_transform(string_split({0}, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] WHEN unicode(x) < 2048 THEN [(192 | (unicode(x) >> 6))::BIGINT, 128 | (unicode(x) & 63)]
+  WHEN unicode(x) < 65536 THEN [(224 | (unicode(x) >> 12))::BIGINT, 128 | (unicode(x) >> 6 & 63), 128 | (unicode(x) & 63)] ELSE [(240 | (unicode(x) >> 18))::BIGINT, 128 | (unicode(x) >> 12 & 63), 128 | (unicode(x) >> 6 & 63), 128 | (unicode(x) & 63)] END))"""
+OP13_SQL = f"""
+WITH table_ AS ({_CRC_TABLE}), {_features_sql("documents", "doc_id")}, {_features_sql("benchmark", "item_id")},
+kinds AS MATERIALIZED (SELECT f, sum(s) AS s, sum(t) AS t FROM (SELECT f, 1 AS s, 0 AS t FROM documents_f UNION ALL SELECT f, 0, 1 FROM benchmark_f) GROUP BY f),
+hashed AS MATERIALIZED (SELECT f, s, t, {_CRC.format(_BYTES.format("f"))} % 10000 AS bucket FROM kinds, table_),
+counts AS (SELECT bucket, sum(s)::DOUBLE AS s, sum(t)::DOUBLE AS t FROM hashed GROUP BY bucket), whole AS (SELECT coalesce(sum(s), 0) AS ss, coalesce(sum(t), 0) AS tt FROM counts),
+gains AS (SELECT bucket, floor(1000 * ln((t + 1) * (ss + 10000) / ((s + 1) * (tt + 10000))))::BIGINT AS gain FROM counts, whole),
+weights AS (SELECT id, count(*) AS n, floor(sum(gain) / count(*))::BIGINT AS weight FROM documents_f JOIN hashed USING (f) JOIN gains USING (bucket) GROUP BY id),
+scored AS (SELECT d.id AS doc_id, len(w) AS n_words, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+  coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('7:' || d.id)[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM documents_w d LEFT JOIN weights USING (id)),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_words >= 20)
+SELECT s.doc_id, n_features, weight, score, CASE WHEN r <= n * 25 // 100 THEN r END AS rank FROM scored s LEFT JOIN ranked USING (doc_id)
+"""
+
+QUERIES |= {"op13_importance_resampling": op13_importance_resampling}
+ORACLES |= {"op13_importance_resampling": OP13_SQL}
+
+#: A conversation of marks, appended to the table's own.
+_MARKED = "</s>[INST] ok [/INST]"
+
+
+def op11_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    marked = spark.createDataFrame([(-1, 0, "user", _MARKED), (-1, 1, "assistant", _MARKED)], "conv_id long, turn long, role string, text string")
+    return read_back(materialise(format_conversations(turns.unionByName(marked)), "conversations"))
+
+
+OP11_SQL = rf"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL VALUES (-1, 0, 'user', '{_MARKED}'), (-1, 1, 'assistant', '{_MARKED}')),
+u AS (SELECT *, CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 9 WHEN 'system' THEN 18 ELSE 16 + len(role) END + len(text) + len(regexp_extract_all(text, '<\\*(</?SYS>>|/?s>)|\[\\*(/?INST\]|/?ROLE[:\]])')) AS chars FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256, coalesce(sum(len(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(chars)::BIGINT AS formatted_chars FROM u GROUP BY conv_id
+"""
+
+QUERIES |= {"op11_chat_formatting": op11_chat_formatting}
+ORACLES |= {"op11_chat_formatting": OP11_SQL}
