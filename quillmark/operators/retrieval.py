@@ -7,12 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .storage import FEW, save
+from .vectors import Index, search
 
 #: Constants of the Okapi form: saturation, length weight, share of the mean idf that replaces negative ones.
 K1, B, EPSILON = 1.5, 0.75, 0.25
 RRF = 60
-#: Probe vectors up to which they are broadcast.
-PROBE_BLOCK = 4096
 
 
 def tokens(text: Column) -> Column:
@@ -71,24 +70,15 @@ def top(rows: DataFrame, by: list[str], order: list, k: int) -> DataFrame:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    """Over the shorter length; 0 where a norm is 0."""
+    """Of one pair, over the shorter length; 0 where a norm is 0. Tables of vectors are searched by ``vector_top``."""
     dot = F.aggregate(F.zip_with(a, b, lambda x, y: F.coalesce(x.cast("double") * y.cast("double"), F.lit(0.0))), F.lit(0.0), lambda s, v: s + v)
     norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     return F.when((norm(a) == 0) | (norm(b) == 0), 0.0).otherwise(dot / (norm(a) * norm(b)))
 
 
-def vector_top(vectors: DataFrame, probes: DataFrame, k: int) -> DataFrame:
-    """``probe, rank, vec_id, cos``: a stated set of probes against all vectors, by full comparison.
-
-    Probes are counted first. One block of them is broadcast; more are dealt into
-    blocks by hash, each vector meets every block, and the rows meet by block number.
-    """
-    n = -(-probes.count() // PROBE_BLOCK)
-    few = probes.select(F.col("vec_id").alias("probe"), F.col("embedding").alias("_q"), F.pmod(F.xxhash64("vec_id"), F.lit(max(1, n))).cast("int").alias("_b"))
-    many = vectors.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(max(1, n) - 1))))
-    rows = many.join(F.broadcast(few) if n <= 1 else few, "_b")
-    scored = rows.select("probe", "vec_id", F.round(cosine(F.col("embedding"), F.col("_q")), 6).alias("cos"))
-    return top(scored, ["probe"], [F.desc("cos"), F.col("vec_id")], k).select("probe", "rank", "vec_id", "cos")
+def vector_top(index: Index, probes: DataFrame, k: int) -> DataFrame:
+    """``probe, rank, vec_id, cos``: the true ``k`` nearest of each probe that has a direction."""
+    return search(index, probes, k, exact=True).filter("status = 'ok'").drop("status")
 
 
 def fuse(ranked: DataFrame, by: list[str]) -> DataFrame:

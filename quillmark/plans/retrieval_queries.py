@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.lexicon import CORPUS
 from ..operators import retrieval as R
+from ..operators import vectors as V
 from .catalog import query, table
 
 TERMS = {"q1": ("the", "ndtion", "estion", "esing"), "q2": ("and", "ation", "thing")}
@@ -64,7 +65,14 @@ def browse_by_topic(spark, d):
 @query("vector_topk", "WITH p AS (SELECT vec_id AS probe, embedding::DOUBLE[] AS q FROM embeddings WHERE vec_id % 20 = 0), x AS (SELECT probe, vec_id, round(list_cosine_similarity(embedding::DOUBLE[], q), 6) AS cos FROM embeddings, p) SELECT probe, row_number() OVER (PARTITION BY probe ORDER BY cos DESC, vec_id) AS rank, vec_id, cos FROM x QUALIFY rank <= 5")
 def vector_topk(spark, d):
     vectors = table(spark, d, "embeddings")
-    return R.vector_top(vectors, vectors.filter("vec_id % 20 = 0"), 5)
+    return R.vector_top(V.build(vectors), vectors.filter("vec_id % 20 = 0"), 5)
+
+
+@query("vector_index_topk")
+def vector_index_topk(spark, d):
+    """By visited lists only; a test measures the recall."""
+    vectors = table(spark, d, "embeddings")
+    return V.search(V.build(vectors), vectors.filter("vec_id % 20 = 0"), 10)
 
 
 RANKED_SQL = """p AS (SELECT vec_id AS probe, embedding::DOUBLE[] AS q FROM embeddings WHERE vec_id % 20 = 0), x AS (SELECT probe, vec_id, round(list_cosine_similarity(embedding::DOUBLE[], q), 6) AS cos FROM embeddings, p),
@@ -74,7 +82,7 @@ r AS (SELECT probe // 40 AS pair, CASE probe % 40 WHEN 0 THEN 'bm25' ELSE 'vecto
 def _ranked(spark, d):
     """Neighbouring probes in pairs; the list of the first stands for a word ranking."""
     vectors = table(spark, d, "embeddings")
-    ranked = R.vector_top(vectors, vectors.filter("vec_id % 20 = 0"), 30)
+    ranked = R.vector_top(V.build(vectors), vectors.filter("vec_id % 20 = 0"), 30)
     return ranked.select(F.floor(F.col("probe") / 40).alias("pair"), F.when(F.col("probe") % 40 == 0, "bm25").otherwise("vector").alias("list"), F.col("vec_id").alias("id"), "rank")
 
 
@@ -105,8 +113,9 @@ def _ranked_probes(spark, d):
     first = R.top(vectors.select("label", "vec_id"), ["label"], [F.col("vec_id")], 2).select("label", F.col("vec_id").alias("other"))
     topic = probes.select("label", F.col("vec_id").alias("for")).join(first, "label").filter("other <> for").groupBy("for").agg(F.min("other").alias("probe"))
     others = vectors.join(topic.select(F.col("probe").alias("vec_id")).distinct(), "vec_id", "left_semi")
-    own = R.vector_top(vectors, probes, 30).select("probe", F.lit("vector").alias("list"), F.col("vec_id").alias("id"), "rank")
-    second = R.vector_top(vectors, others, 30).join(topic, "probe").select(F.col("for").alias("probe"), F.lit("topic").alias("list"), F.col("vec_id").alias("id"), "rank")
+    index = V.build(vectors)
+    own = R.vector_top(index, probes, 30).select("probe", F.lit("vector").alias("list"), F.col("vec_id").alias("id"), "rank")
+    second = R.vector_top(index, others, 30).join(topic, "probe").select(F.col("for").alias("probe"), F.lit("topic").alias("list"), F.col("vec_id").alias("id"), "rank")
     return own.unionByName(second)
 
 
