@@ -9,9 +9,12 @@ are; nothing is re-ranked later.
 
 Centroids come from at most ``SAMPLE`` vectors, picked by a hash of their number.
 How many lists a probe visits is measured on the same sample: as many as give it
-``recall`` of its own nearest ones. ``exact`` then adds the lists that may still hold
-a better vector: those whose nearest possible cosine (from the angle to the centroid
-and the widest angle of the list) reaches the probe's last score.
+``recall`` of its own nearest ones. Lists are visited in rounds, the nearest one first and
+``STEP`` times as many in each round; a round returns only vectors that reach the
+probe's last score so far, so that what is returned grows with the probes and not with
+the lists. ``exact`` adds a round over all lists that may still hold a better vector:
+those whose nearest possible cosine (from the angle to the centroid and the widest angle
+of the list) reaches the last score.
 """
 
 from __future__ import annotations
@@ -29,10 +32,12 @@ from pyspark.sql.window import Window
 from .storage import save
 
 SAMPLE, MOST_LISTS, LIST_ROWS = 20_000, 4096, 1024
-PIECE, BLOCK, GROUP = 4096, 1024, 8
+PIECE, BLOCK, GROUP, STEP = 4096, 1024, 8, 16
 #: Bytes of packed probes up to which they are broadcast.
 SENT = 8 << 20
 DIGITS = 6
+#: Below any cosine.
+NONE = -2.0
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -88,34 +93,36 @@ class Index:
     visits: int
 
 
-def _packed(rows: DataFrame, keys: list[str], most: int, id_type: type = np.int64) -> DataFrame:
-    """Rows of ``keys, id, embedding`` packed by key, up to ``most`` in a row: ``keys, ids, rows``."""
+def _packed(rows: DataFrame, keys: list[str], most: int) -> DataFrame:
+    """Rows of ``keys, id, least, embedding`` packed by key, up to ``most`` in a row: ``keys, ids, least, rows``."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[tuple, np.ndarray, np.ndarray]] = []
+        held: list[tuple[tuple, np.ndarray, np.ndarray, np.ndarray]] = []
 
         def full() -> pa.RecordBatch:
-            key, ids, rows = held[0][0], np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])
+            key, (ids, least, rows) = held[0][0], (np.concatenate([h[i] for h in held]) for i in (1, 2, 3))
             held.clear()
-            return pa.RecordBatch.from_arrays([*[pa.array([x], pa.int64()) for x in key], pa.array([ids.astype("<i8").tobytes()]), pa.array([rows.astype("<f8").tobytes()])], [*keys, "ids", "rows"])
+            values = [pa.array([x.astype(t).tobytes()]) for x, t in ((ids, "<i8"), (least, "<f8"), (rows, "<f8"))]
+            return pa.RecordBatch.from_arrays([*[pa.array([x], pa.int64()) for x in key], *values], [*keys, "ids", "least", "rows"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             by = list(zip(*[batch.column(k).to_pylist() for k in keys], strict=True))
-            ids, matrix, at = batch.column("id").to_numpy(zero_copy_only=False), _matrix(batch.column("embedding")), 0
+            ids, least = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "least"))
+            matrix, at = _matrix(batch.column("embedding")), 0
             for key, group in groupby(by):
                 n = len(list(group))
                 while n:
                     if held and (held[0][0] != key or sum(len(h[1]) for h in held) >= most):
                         yield full()
                     take = min(n, most - sum(len(h[1]) for h in held))
-                    held.append((key, ids[at : at + take], matrix[at : at + take]))
+                    held.append((key, *(x[at : at + take] for x in (ids, least, matrix))))
                     at, n = at + take, n - take
         if held:
             yield full()
 
-    return rows.select(*[F.col(k).cast("long").alias(k) for k in keys], "id", "embedding").repartition(*keys).sortWithinPartitions(*keys, "id").mapInArrow(pack, ", ".join([*[f"{k} long" for k in keys], "ids binary", "rows binary"]))
+    return rows.select(*[F.col(k).cast("long").alias(k) for k in keys], "id", "least", "embedding").repartition(*keys).sortWithinPartitions(*keys, "id").mapInArrow(pack, ", ".join([*[f"{k} long" for k in keys], "ids binary, least binary, rows binary"]))
 
 
 def build(vectors: DataFrame, recall: float = 0.95, k: int = 10, lists: int | None = None) -> Index:
@@ -147,16 +154,16 @@ def build(vectors: DataFrame, recall: float = 0.95, k: int = 10, lists: int | No
         count[r["list"]], widest[r["list"]] = r["n"], r["a"]
     ways = -(-count // (PIECE // 2))  # pieces by hash, half full so that few spill over
     piece = F.pmod(F.xxhash64("id"), F.greatest(F.lit(1), F.get(F.lit(ways.tolist()), F.col("list").cast("int")))).cast("long")
-    pieces = save(_packed(placed.withColumn("piece", piece), ["list", "piece"], PIECE).withColumn("grp", F.floor(F.col("piece") / GROUP).cast("long")), "pieces")
+    pieces = save(_packed(placed.withColumns({"piece": piece, "least": F.lit(0.0)}), ["list", "piece"], PIECE).drop("least").withColumn("grp", F.floor(F.col("piece") / GROUP).cast("long")), "pieces")
     return Index(pieces, dim, centers, widest, np.maximum(1, -(-ways // GROUP)), min(len(centers), _visits(sample, centers, recall, k)))
 
 
 def _meet(index: Index, visits: DataFrame, n: int, k: int) -> DataFrame:
-    """``probe, vec_id, cos``: the best ``k`` of each visited piece, for ``id, embedding, list`` rows of ``n`` probes."""
+    """``probe, vec_id, cos``: of each visited piece the best ``k`` with ``least`` or more, for ``id, embedding, least, list`` rows of ``n`` probes."""
     blocks = -(-n // BLOCK)
-    packed = _packed(visits.withColumn("blk", F.pmod(F.xxhash64("id"), F.lit(blocks))), ["list", "blk"], BLOCK).select("list", F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"))
+    packed = _packed(visits.withColumn("blk", F.pmod(F.xxhash64("id"), F.lit(blocks))), ["list", "blk"], BLOCK).select("list", F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"), "least")
     dim = index.dim
-    if n * min(index.visits, len(index.centers)) * dim * 8 <= SENT:
+    if n * len(index.centers) * dim * 8 <= SENT:
         met = index.pieces.join(F.broadcast(packed), "list")
     else:
         spread = packed.withColumn("grp", F.explode(F.sequence(F.lit(0).cast("long"), F.get(F.lit((index.groups - 1).tolist()), F.col("list").cast("int")).cast("long"))))
@@ -167,20 +174,18 @@ def _meet(index: Index, visits: DataFrame, n: int, k: int) -> DataFrame:
             for i in range(batch.num_rows):
                 ids, q_ids = (np.frombuffer(batch.column(c)[i].as_py(), "<i8") for c in ("ids", "q_ids"))
                 rows, q = (np.frombuffer(batch.column(c)[i].as_py(), "<f8").reshape(-1, dim) for c in ("rows", "q_rows"))
+                least = np.frombuffer(batch.column("least")[i].as_py(), "<f8")
                 cos = np.round((q @ rows.T) / np.linalg.norm(q, axis=1)[:, None] / np.linalg.norm(rows, axis=1)[None, :], DIGITS)
                 if len(ids) > k:
-                    least = np.partition(cos, len(ids) - k, axis=1)[:, len(ids) - k]
-                    a, b = np.nonzero(cos >= least[:, None])  # ids ascend, so of equal scores the smaller ones come first
-                    order = np.lexsort((b, -cos[a, b], a))
-                    a, b = a[order], b[order]
-                    first = np.searchsorted(a, a)
-                    keep = np.arange(len(a)) - first < k
-                    a, b = a[keep], b[keep]
-                else:
-                    a, b = np.repeat(np.arange(len(q_ids)), len(ids)), np.tile(np.arange(len(ids)), len(q_ids))
+                    least = np.maximum(least, np.partition(cos, len(ids) - k, axis=1)[:, len(ids) - k])
+                a, b = np.nonzero(cos >= least[:, None])
+                order = np.lexsort((b, -cos[a, b], a))  # ids ascend, so of equal scores the smaller ones come first
+                a, b = a[order], b[order]
+                keep = np.arange(len(a)) - np.searchsorted(a, a) < k
+                a, b = a[keep], b[keep]
                 yield pa.RecordBatch.from_arrays([pa.array(q_ids[a]), pa.array(ids[b]), pa.array(cos[a, b])], ["probe", "vec_id", "cos"])
 
-    return met.select("ids", "rows", "q_ids", "q_rows").mapInArrow(score, "probe long, vec_id long, cos double")
+    return met.select("ids", "rows", "q_ids", "q_rows", "least").mapInArrow(score, "probe long, vec_id long, cos double")
 
 
 def _best(rows: DataFrame, k: int) -> DataFrame:
@@ -201,34 +206,43 @@ def search(index: Index, probes: DataFrame, k: int, exact: bool = False) -> Data
     none = held.filter("NOT ok").select(F.col("id").alias("probe"), F.lit("unavailable").alias("status"), *[F.lit(None).cast(t).alias(c) for c, t in (("rank", "long"), ("vec_id", "long"), ("cos", "double"))])
     if not n:
         return none
-    centers, widest, visits = index.centers, index.widest, index.visits
-    kind = probes.schema["embedding"].dataType.simpleString()
+    rounds, at = [], 0
+    while at < index.visits:
+        rounds.append((at, min(index.visits, max(1, at * STEP))))
+        at = rounds[-1][1]
+    if exact and at < len(index.centers):
+        rounds.append((at, None))
+    found = None
+    for first, last in rounds:
+        least = good.withColumn("least", F.lit(NONE))
+        if found is not None:
+            have = found.groupBy("probe").agg(F.min("cos").alias("c"), F.count(F.lit(1)).alias("n")).filter(f"n = {k}")
+            least = good.join(have, F.col("id") == F.col("probe"), "left").select("id", "embedding", F.coalesce("c", F.lit(NONE)).alias("least"))
+        more = _meet(index, _visited(index, least, first, last), n, k)
+        found = save(_best(more if found is None else more.unionByName(found), k).drop("rank"), "nearest")
+    return _best(found, k).select("probe", F.lit("ok").alias("status"), "rank", "vec_id", "cos").unionByName(none)
+
+
+def _visited(index: Index, probes: DataFrame, first: int, last: int | None) -> DataFrame:
+    """``id, embedding, least, list``: the lists of each probe from the ``first`` nearest to before the ``last``, or (None) all others that may reach its ``least``."""
+    centers, widest = index.centers, index.widest
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                cos = _unit(_matrix(batch.column("embedding"))) @ centers.T
-                order = np.argpartition(-cos, min(visits, len(centers)) - 1, axis=1)[:, :visits]
-                row = pa.array(np.repeat(np.arange(len(cos)), order.shape[1]))
-                yield pa.RecordBatch.from_arrays([batch.column("id").take(row), batch.column("embedding").take(row), pa.array(order.ravel(), pa.int64())], ["id", "embedding", "list"])
-
-    first = good.mapInArrow(near, f"id long, embedding {kind}, list long")
-    found = _meet(index, first, n, k)
-    if exact and visits < len(centers):
-        found = save(_best(found, k).drop("rank"), "nearest")
-        last = found.groupBy("probe").agg(F.min("cos").alias("last"), F.count(F.lit(1)).alias("n"))
-        rest = good.join(last, F.col("id") == F.col("probe"), "left").select("id", "embedding", F.when(F.col("n") >= k, F.col("last")).otherwise(-2.0).alias("last"))
-
-        def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if batch.num_rows:
-                    cos = _unit(_matrix(batch.column("embedding"))) @ centers.T
-                    seen = np.zeros(cos.shape, bool)
-                    np.put_along_axis(seen, np.argpartition(-cos, min(visits, len(centers)) - 1, axis=1)[:, :visits], True, axis=1)
-                    bound = np.cos(np.maximum(0, np.arccos(np.clip(cos, -1, 1)) - widest[None, :]))
-                    a, b = np.nonzero(~seen & (bound + 2 * 10.0**-DIGITS >= batch.column("last").to_numpy()[:, None]))
-                    row = pa.array(a)
-                    yield pa.RecordBatch.from_arrays([batch.column("id").take(row), batch.column("embedding").take(row), pa.array(b, pa.int64())], ["id", "embedding", "list"])
-
-        found = found.unionByName(_meet(index, rest.mapInArrow(others, f"id long, embedding {kind}, list long"), n, k))
-    return _best(found, k).select("probe", F.lit("ok").alias("status"), "rank", "vec_id", "cos").unionByName(none)
+            if not batch.num_rows:
+                continue
+            cos = _unit(_matrix(batch.column("embedding"))) @ centers.T
+            order = np.argsort(-cos, axis=1, kind="stable")
+            if last is None:
+                seen = np.zeros(cos.shape, bool)
+                np.put_along_axis(seen, order[:, :first], True, axis=1)
+                bound = np.cos(np.maximum(0, np.arccos(np.clip(cos, -1, 1)) - widest[None, :]))
+                probe, lists = np.nonzero(~seen & (bound + 2 * 10.0**-DIGITS >= batch.column("least").to_numpy()[:, None]))
+            else:
+                lists = order[:, first:last]
+                probe, lists = np.repeat(np.arange(len(cos)), lists.shape[1]), lists.ravel()
+            row = pa.array(probe)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).take(row) for c in ("id", "embedding", "least")], pa.array(lists, pa.int64())], ["id", "embedding", "least", "list"])
+
+    kind = probes.schema["embedding"].dataType.simpleString()
+    return probes.select("id", "embedding", "least").mapInArrow(near, f"id long, embedding {kind}, least double, list long")
