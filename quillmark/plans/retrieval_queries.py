@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.lexicon import CORPUS
 from ..operators import retrieval as R
 from ..operators import vectors as V
+from ..operators.word_index import WordIndex
 from .catalog import query, table
 
 TERMS = {"q1": ("the", "ndtion", "estion", "esing"), "q2": ("and", "ation", "thing")}
@@ -134,6 +135,52 @@ def fuse_candidates_probes(spark, d):
     return lenient.unionByName(strict).select("mode", "probe", "kind", "id", "rrf", "pos")
 
 
+def _indexed(spark, d):
+    """All documents in two appends, with their language to filter on."""
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    index = WordIndex(spark)
+    early = F.coalesce(F.col("lang") < "es", F.lit(False))
+    index.append(docs.filter(early), by="lang")
+    index.append(docs.filter(~early), by="lang")
+    return index
+
+
+@query("word_index_search", f"""WITH a AS ({_bm25_sql(TERMS, 10, False).replace("documents WHERE lang = 'en'", 'documents')}), b AS ({_bm25_sql(TOPIC_TERMS, 5, True)})
+SELECT '' AS lang, * FROM a UNION ALL SELECT lang, query, rank, doc_id, score FROM b""")
+def word_index_search(spark, d):
+    index = _indexed(spark, d)
+    every = index.search(_queries(spark, TERMS), 10).select(F.lit("").alias("lang"), "query", "rank", "doc_id", "score")
+    return every.unionByName(index.search(_queries(spark, TOPIC_TERMS, True).withColumnRenamed("lang", "grp"), 5, by=True).withColumn("lang", F.col("query")))
+
+
+#: Words of a question: the rarest ones of the probe's document that another document has as well.
+QUESTION_WORDS = 3
+
+
+@query("hybrid_fusion", f"""WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings), p AS (SELECT vec_id AS probe, e AS q FROM v WHERE vec_id % 20 = 0),
+b AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\pL\\pN_]+'), lambda t: t <> '') AS w FROM documents), s AS (SELECT count(*) AS n, avg(len(w)) AS avgdl FROM b),
+tf AS (SELECT doc_id, dl, term, count(*) AS tf FROM (SELECT doc_id, len(w) AS dl, unnest(w) AS term FROM b) GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+i AS (SELECT term, df, avgdl, ln((n - df + 0.5) / (df + 0.5)) AS idf FROM df, s), m AS (SELECT avg(idf) AS mean FROM i),
+asked AS (SELECT probe, term FROM p JOIN tf ON tf.doc_id = probe JOIN df USING (term) WHERE df > 1 QUALIFY row_number() OVER (PARTITION BY probe ORDER BY df, term) <= {QUESTION_WORDS}),
+x AS (SELECT probe, doc_id AS id, round(sum(CASE WHEN idf < 0 THEN 0.25 * mean ELSE idf END * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / avgdl))), 6) AS score FROM asked JOIN tf USING (term) JOIN i USING (term), m GROUP BY ALL),
+y AS (SELECT probe, vec_id AS id, round(list_cosine_similarity(e, q), 6) AS score FROM v, p),
+z AS (SELECT probe, doc_id AS id, 0.0 AS score FROM (SELECT DISTINCT probe, doc_id FROM asked, (SELECT doc_id FROM documents ORDER BY doc_id LIMIT 60)) AS u ANTI JOIN x ON x.probe = u.probe AND x.id = u.doc_id),
+r AS (SELECT 'words' AS list, probe, id, row_number() OVER (PARTITION BY probe ORDER BY score DESC, id) AS rank FROM (SELECT * FROM x UNION ALL SELECT * FROM z) QUALIFY rank <= 30 UNION ALL SELECT 'vector', probe, id, row_number() OVER (PARTITION BY probe ORDER BY score DESC, id) AS rank FROM y QUALIFY rank <= 30),
+f AS (SELECT probe, id, count(*) AS lists, round(sum(1.0::DOUBLE / (60 + rank)), 9) AS rrf, min({{'l': CASE list WHEN 'words' THEN 0 ELSE 1 END, 'r': rank}}) AS seen FROM r GROUP BY ALL)
+SELECT probe, id, rrf, row_number() OVER (PARTITION BY probe ORDER BY rrf DESC, seen) AS pos FROM f""")
+def hybrid_fusion(spark, d):
+    """One question, two rankings: every 20th vector, and the rarest shared words of the document with its number."""
+    vectors = table(spark, d, "embeddings")
+    probes = vectors.filter("vec_id % 20 = 0")
+    index = _indexed(spark, d)
+    df = index.vocabulary().groupBy("term").agg(F.sum("df").alias("df")).filter("df > 1")
+    words = table(spark, d, "documents").join(probes.select(F.col("vec_id").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("query"), F.explode(F.array_distinct(R.tokens(F.col("text")))).alias("term"))
+    rare = R.top(words.join(df, "term"), ["query"], [F.col("df"), F.col("term")], QUESTION_WORDS)
+    by_words = index.search(rare.groupBy("query").agg(F.collect_list("term").alias("terms")), 30).select(F.col("query").alias("probe"), F.lit(0).alias("list"), F.col("doc_id").alias("id"), "rank")
+    by_vector = R.vector_top(V.build(vectors), probes, 30).select("probe", F.lit(1).alias("list"), F.col("vec_id").alias("id"), "rank")
+    return R.fuse_candidates(by_words.unionByName(by_vector), ["probe"])
+
+
 SEGMENTS = r"list_filter(list_transform(string_split_regex({0}, '(?i)\band\b|\bor\b|[,;]|\?'), lambda s: regexp_replace(s, '^\s+|\s+$', '', 'g')), lambda s: s <> '')"
 
 
