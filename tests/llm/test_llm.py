@@ -627,6 +627,19 @@ def test_pipeline_stages_on_odd_tables(spark, edge, empty):
         assert n == len(EDGE) if k == 4 else 0 < n <= len(EDGE) if k < 3 else n >= 1
 
 
+def test_pipeline_stages_return_columns_with_their_values(spark, texts):
+    """Columns named like results, like private names of the stages, and with a dot."""
+    import corpus_pipeline as P
+
+    names = ["kept", "keep_id", "group_size", "text_sha256", "lang_pred", "score", "held_out", "ambiguous", "_copies", "_copy", "copies", "copy", "a.b", "domain", "rate", "key", "_c0", "_p0", "_norm", "n_tokens", "first"]
+    odd = frame(spark, list(texts.items())).withColumns({n: F.concat(F.lit(n), F.lit("="), F.col("doc_id").cast("string")) for n in names})
+    for k in range(4):
+        got = P.STAGES[k][1](spark, odd, SF)
+        assert got.columns == odd.columns
+        rows = got.collect()
+        assert rows and all(r[n] == f"{n}={r['doc_id']}" and r["text"] == texts[r["doc_id"]] and r["source"] == "s" for r in rows for n in names), P.STAGES[k][0]
+
+
 def test_pipeline_stage_by_stage(spark, docs):
     import corpus_pipeline as P
 
