@@ -29,20 +29,30 @@ from quillmark.llm.shared import documents, keyed, shared_dir
 LEAST_SCORE = 0.4
 
 
+def _private(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text`` and every column under a name of its own, so that none clashes with an operator's."""
+    return docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(f"_p{i}") for i, c in enumerate(docs.columns)])
+
+
+def _public(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` with their values."""
+    return rows.select(*[F.col(f"_p{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a language: no letters (null and empty ones too), or ambiguous with a low score.
 
     With no labelled language in the table nothing can be told apart, and all texts
     with letters are dropped as ``und``.
     """
-    found = identify(docs, train(docs), carry=docs.columns)
+    found = identify(_private(docs), train(docs), carry=[f"_p{i}" for i in range(len(docs.columns))])
     keep = (F.col("lang_pred") != "und") & ~(F.col("ambiguous") & (F.col("score") < LEAST_SCORE))
-    return found.filter(keep).select(*docs.columns)
+    return _public(found.filter(keep), docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (null and empty ones are equal) the row with the smallest id stays, of rows with that id any one."""
-    return exact_dedup(docs).filter("kept").select(*docs.columns)
+    return _public(exact_dedup(_private(docs), carry=[f"_p{i}" for i in range(len(docs.columns))]).filter("kept"), docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,9 +72,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows with one id share the largest number of copies among them; rows without
     an id are kept once. Without labels every rate is 1.
     """
-    rates = mix(docs, domain_labels(spark, sf_dir), MIX_WEIGHTS, MIX_KEEP).groupBy("doc_id").agg(F.max("copies").alias("_copies"))
-    rows = docs.join(rates, "doc_id", "left").withColumn("_copies", F.coalesce("_copies", F.lit(1))).filter("_copies > 0")
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    rates = mix(docs.select("doc_id", "text"), domain_labels(spark, sf_dir), MIX_WEIGHTS, MIX_KEEP).groupBy("doc_id").agg(F.max("copies").alias("copies"))
+    rows = _private(docs).join(rates, "doc_id", "left").withColumn("copies", F.coalesce("copies", F.lit(1))).filter("copies > 0")
+    return _public(rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))), docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
