@@ -34,25 +34,6 @@ def lint(q: Column) -> dict[str, Column]:
     return {"balanced": without("(") == without(")"), "even_quotes": (F.length(q) - without('"')) % 2 == 0}
 
 
-#: Families of questions that are not answered, in order of precedence; the last needs three of its words.
-SAFETY = {
-    "emergency": ("severe bleeding", "faint", "can't breathe", "chest pain", "emergency"),
-    "medication_change": ("stop taking", "stop my", "change my dose", "skip my", "switch my"),
-    "dosing": ("how much should i take", "what dose", "dosage", "how many mg"),
-    "diagnosis": ("do i have", "diagnose", "is it cancer"),
-    "treatment_choice": ("should i take", "which drug", "best treatment"),
-}
-SYMPTOMS = ("pain", "blood", "fever", "weight loss", "diarrhoea", "diarrhea", "urgency", "vomiting")
-
-
-def safety_family(t: Column) -> Column:
-    """Of a lower-case question: the first family with one of its phrases, ``symptom_list`` for three or more symptoms, else ``none``."""
-    out = F.when(F.size(F.filter(F.array(*[F.lit(w) for w in SYMPTOMS]), lambda w: F.contains(t, w))) >= 3, "symptom_list").otherwise("none")
-    for name, words in reversed(SAFETY.items()):
-        out = F.when(contains_any(t, words), name).otherwise(out)
-    return out
-
-
 def lint_faults(q: Column, forbidden: tuple[str, ...] = ("[ti]", "[au]", "[mesh:noexp]"), range_tag: str = "[edat]") -> Column:
     """Faults of a search term: brackets, quotes, tags that are not allowed, a date range without both ends, an empty clause."""
     low, flat = F.lower(q), lint(q)

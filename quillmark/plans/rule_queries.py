@@ -1,14 +1,16 @@
 """Rule tables, texts of claims, revisions and validators over the check tables.
 
-The corpus has none of the field's words, so each document is led by a phrase that
-its number picks; the rest of the text is its own first line.
+The corpus has none of the field's words, so each document's whole text is led by a
+phrase that its number picks.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import field
 from ..functions import text as X
+from ..operators import aggregates, nested
 from ..operators import rules as R
 from ..operators import screening as S
 from .catalog import query, table
@@ -16,17 +18,17 @@ from .text_queries import COLLAPSE, STRIP, TITLE
 
 PHRASES = (
     "A randomised trial of remission induction in adults with ulcerative colitis", "Guideline on Crohn disease", "Consensus on IBD diets, a European view", "Quality of life and relapse: a systematic review", "Maintenance of remission in children",
-    "A prospective cohort of healthy persons in Canada (n = 512)", "Faecal calprotectin as a biomarker", "Conclusion: fibre can result in fewer symptoms", "Included 84 adults from the United Kingdom", "Overall, diet can influence risk of developing IBD",
-    "Adverse events and safety", "Adherence among 230 patients", "Importantly: it proved to lower inflammation", "Malnutrition in inflammatory bowel disease, multicentre", "Meta-analysis of American studies", "",
+    "A prospective cohort of healthy persons in Canada (n = 512)", "Faecal calprotectin as a biomarker", "Conclusion: fibre can result in fewer symptoms", "10 Alcohol Included 84 adults from the United Kingdom", "Overall, diet can influence risk of developing IBD",
+    "RESULTS: Adverse events and safety", "Best practice advice 4: adherence among 230 patients", "Importantly: it proved to lower inflammation", "Malnutrition in inflammatory bowel disease, multicentre", "Meta-analysis of American studies", "",
 )
 _LIST = "[" + ", ".join("'" + p.replace("'", "''") + "'" for p in PHRASES) + "]"
-CASES = f"x AS (SELECT doc_id, source, {_LIST}[doc_id % {len(PHRASES)} + 1] || ' ' || {TITLE} AS claim, {_LIST}[doc_id % {len(PHRASES)} + 1] AS title, text FROM documents), k AS (SELECT *, lower(claim) AS t, lower(title) AS ti, CASE WHEN doc_id % 9 = 0 THEN 'randomized controlled trial' WHEN doc_id % 7 = 0 THEN 'observational study' ELSE '' END AS ty FROM x)"
+CASES = f"x AS (SELECT doc_id, source, {_LIST}[doc_id % {len(PHRASES)} + 1] || ' ' || coalesce(text, '') AS claim, {_LIST}[doc_id % {len(PHRASES)} + 1] AS title, text FROM documents), k AS (SELECT *, lower(claim) AS t, lower(title) AS ti, CASE WHEN doc_id % 9 = 0 THEN 'randomized controlled trial' WHEN doc_id % 7 = 0 THEN 'observational study' ELSE '' END AS ty FROM x)"
 
 
 def cases(spark, d):
     lead = F.get(F.array(*[F.lit(p) for p in PHRASES]), (F.col("doc_id") % len(PHRASES)).cast("int"))
     types = F.when(F.col("doc_id") % 9 == 0, "randomized controlled trial").when(F.col("doc_id") % 7 == 0, "observational study").otherwise("")
-    rows = table(spark, d, "documents").select("doc_id", "source", F.concat(lead, F.lit(" "), X.title_of(F.col("text"))).alias("claim"), lead.alias("title"), types.alias("types"), "text")
+    rows = table(spark, d, "documents").select("doc_id", "source", F.concat(lead, F.lit(" "), F.coalesce("text", F.lit(""))).alias("claim"), lead.alias("title"), types.alias("types"), "text")
     return rows.withColumn("t", F.lower("claim"))
 
 
@@ -107,10 +109,12 @@ _SOFT = "p"
 for _pattern, _new in R.SOFTER.items():
     _SOFT = f"regexp_replace({_SOFT}, '{_pattern}', '{_new}', 'g')"
 _NOTES = " || ".join("CASE WHEN " + (_has(words, "lower(p)") if what == "text" else f"ot IN ({', '.join(repr(w) for w in words)})") + f" THEN '{note.replace(chr(39), chr(39) * 2)}' ELSE '' END" for what, words, note in R.NOTES)
-OPENINGS_SQL = R.OPENINGS.replace("^(?i)", "(?i)^")
+_OPEN = COLLAPSE.format("claim")
+for _pattern in field.OPENINGS:
+    _OPEN = "regexp_replace(" + _OPEN + ", '" + _pattern.replace("'", "''") + "', '')"
 
 
-@query("proposed_revision", f"""WITH {CASES}, o AS (SELECT doc_id, {STRIP.format("regexp_replace(" + COLLAPSE.format('claim') + f", '{OPENINGS_SQL}', '')")} AS p, {sql_first_label(R.OUTCOME_TYPE, 'disease_activity', text='t')} AS ot FROM k), s AS (SELECT doc_id, p, ot, {_SOFT} AS t FROM o)
+@query("proposed_revision", f"""WITH {CASES}, o AS (SELECT doc_id, {STRIP.format(_OPEN)} AS p, {sql_first_label(R.OUTCOME_TYPE, 'disease_activity', text='t')} AS ot FROM k), s AS (SELECT doc_id, p, ot, {_SOFT} AS t FROM o)
 SELECT doc_id, CASE WHEN p = '' THEN '' ELSE 'The cited source reports that ' || lower(left(t, 1)) || substr(t, 2) || {_NOTES} END AS revision FROM s""")
 def proposed_revision(spark, d):
     return cases(spark, d).select("doc_id", R.proposed_revision(F.col("claim"), R.first_label(R.OUTCOME_TYPE, "disease_activity", text=F.col("t"))).alias("revision"))
@@ -138,7 +142,10 @@ def model_validators(spark, d):
     return R.reviewed(rows).select("doc_id", "quality", "violations")
 
 
-QUESTIONS = ("Should I take this drug?", "I have pain, fever and blood", "What dose is right", "Can I stop taking it? (chest pain)", "Do I have colitis", "pain and fever only", "fibre AND (diet OR", "diet[ti] AND 2024/01/01[EDAT] : 2024/02/01[EDAT]", "diet AND ()", 'a "quoted term', "2024/01/01[EDAT] diet or", "")
+QUESTIONS = (
+    "Do I have UC?", "Will I have a flare next week?", "Should I stop taking my medication?", "Give me a diet plan", "Does my pain mean I am inflamed?", "What does the evidence say about fibre?", "Can you apply Crohn's evidence to ulcerative colitis?", "Is CRP useful?", "fibre AND (diet OR",
+    "diet[ti] AND 2024/01/01[EDAT] : 2024/02/01[EDAT]", "diet AND ()", 'a "quoted term', "2024/01/01[EDAT] diet or", "",
+)
 _ASK = "[" + ", ".join("'" + q.replace("'", "''") + "'" for q in QUESTIONS) + "]"
 ASKED = f"q AS (SELECT conv_id, turn, {_ASK}[(conv_id + turn) % {len(QUESTIONS)} + 1] || ' ' || text AS q FROM conversations), l AS (SELECT *, lower(q) AS t FROM q)"
 
@@ -148,12 +155,25 @@ def asked(spark, d):
     return table(spark, d, "conversations").select("conv_id", "turn", F.concat(lead, F.lit(" "), "text").alias("q"))
 
 
-_SYMPTOMS = " + ".join(f"contains(t, '{w}')::INT" for w in S.SYMPTOMS)
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _any(patterns, column: str) -> str:
+    return "(" + " OR ".join(f"regexp_matches({column}, {_quoted(p)})" for p in patterns) + ")"
+
+
+def _kinds(groups, column: str) -> str:
+    return "list_filter([" + ", ".join(f"CASE WHEN {_any(p, column)} THEN '{k}' END" for k, p in groups.items()) + "], lambda v: v IS NOT NULL)"
 
 
-@query("safety_families", f"WITH {ASKED} SELECT conv_id, turn, CASE " + " ".join(f"WHEN {_has([w.replace(chr(39), chr(39) * 2) for w in words], 't')} THEN '{name}'" for name, words in S.SAFETY.items()) + f" WHEN {_SYMPTOMS} >= 3 THEN 'symptom_list' ELSE 'none' END AS family FROM l")
+_FAMILY = f"CASE WHEN {' AND '.join(_any([p], 't') for p in field.MISAPPLIED)} THEN 'crohns_to_uc_misapplication' " + " ".join(f"WHEN {_any(p, 't')} THEN '{k}'" for k, p in field.BOUNDARIES.items()) + " ELSE 'none' END"
+_INTENT = "CASE family " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in field.INTENTS.items()) + " END"
+
+
+@query("safety_families", f"WITH {ASKED}, f AS (SELECT conv_id, turn, {_FAMILY} AS family, {_has(field.UNSUPPORTED, 't')} AS unsupported FROM l) SELECT *, {_INTENT} AS intent FROM f")
 def safety_families(spark, d):
-    return asked(spark, d).select("conv_id", "turn", S.safety_family(F.lower("q")).alias("family"))
+    return asked(spark, d).select("conv_id", "turn", field.boundary(F.col("q")).alias("family"), field.unsupported(F.col("q")).alias("unsupported")).withColumn("intent", field.intent(F.col("family")))
 
 
 @query("query_faults", rf"""WITH {ASKED} SELECT conv_id, turn, concat_ws('; ', CASE WHEN length(replace(q, '(', '')) <> length(replace(q, ')', '')) THEN 'unbalanced brackets' END, CASE WHEN (length(q) - length(replace(q, '"', ''))) % 2 <> 0 THEN 'odd quotes' END, CASE WHEN contains(t, '[ti]') OR contains(t, '[au]') OR contains(t, '[mesh:noexp]') THEN 'forbidden tag' END,
@@ -175,12 +195,28 @@ def sanitised_titles(spark, d):
     return table(spark, d, "documents").select("doc_id", X.sanitise(F.concat(X.title_of(F.col("text")), F.lit("::x"))).alias("title"), X.render_cell(F.array("lang", "source")).alias("cell"))
 
 
-TOPIC_WORDS = ("diet", "fibre", "nutrition")
+_TOPIC_WORDS = tuple(w for words in field.TOPICS.values() for w in words)
+_SCORE = f"CASE WHEN {_has(field.RESULTS, 'lower(x)')} THEN 5 ELSE 0 END + CASE WHEN {_has(_TOPIC_WORDS, 'lower(x)')} THEN 3 ELSE 0 END - CASE WHEN {_has(field.METHODS, 'lower(x)')} THEN 5 ELSE 0 END - CASE WHEN {_any([field.AIMS], 'lower(x)')} THEN 3 ELSE 0 END"
+_LABEL = r"'^[A-Z][A-Z /&-]{2,}:\s*'"
 
 
-@query("sentence_scores", f"WITH {CASES} SELECT doc_id, CASE WHEN {_has(R.RESULTS, 't')} THEN 5 ELSE 0 END + CASE WHEN {_has(TOPIC_WORDS, 't')} THEN 3 ELSE 0 END - CASE WHEN {_has(R.METHODS, 't')} THEN 5 ELSE 0 END - CASE WHEN {_has(R.AIMS, 't')} THEN 3 ELSE 0 END AS score FROM k")
+@query("sentence_scores", rf"""WITH {CASES}, b AS (SELECT doc_id, string_split(regexp_replace({COLLAPSE.format(f"regexp_replace(claim, {_LABEL}, '')")}, '([.!?])\s+([A-Z0-9])', '\1' || chr(1) || '\2', 'g'), chr(1)) AS l FROM k),
+s AS (SELECT doc_id, list_transform(list_filter(l, lambda x: length(x) BETWEEN 20 AND 700), lambda x: {_SCORE}) AS s FROM b) SELECT doc_id, len(s) AS n, coalesce(list_sum(s), 0)::BIGINT AS total, list_max(s) AS best FROM s""")
 def sentence_scores(spark, d):
-    return cases(spark, d).select("doc_id", R.score(F.col("claim"), TOPIC_WORDS).alias("score"))
+    rows = cases(spark, d).select("doc_id", F.transform(R.labelled_sentences(F.col("claim")), field.sentence_score).alias("s"))
+    return rows.select("doc_id", F.size("s").cast("long").alias("n"), F.aggregate("s", F.lit(0).cast("long"), lambda a, x: a + x).alias("total"), F.array_max("s").alias("best"))
+
+
+_REASON = "CASE " + " ".join(f"WHEN {_has(words, 't') if what == 'text' else 'ot IN (' + ', '.join(map(repr, words)) + ')' if what == 'outcome' else 'source = ' + repr(words[0])} THEN {_quoted(reason)}" for what, words, reason in field.REASONS[:-1]) + f" ELSE {_quoted(field.REASONS[-1][2])} END"
+
+
+@query("field_labels", f"""WITH {CASES}, o AS (SELECT *, {sql_first_label(R.OUTCOME_TYPE, 'disease_activity', text='t')} AS ot FROM k), z AS (SELECT doc_id, list_filter([{", ".join(f"CASE WHEN {_has(w, 't')} THEN '{k}' END" for k, w in field.TOPICS.items())}], lambda v: v IS NOT NULL)[1:{field.MOST_TOPICS}] AS tp, {_kinds(field.CONTEXTS, 't')} AS cx,
+CASE {" ".join(f"WHEN {_any([p], 't')} THEN {i}" for i, p in enumerate(field.EXCLUDED, 1))} ELSE 0 END AS excluded_by, md5({_REASON}) AS reason FROM o)
+SELECT doc_id, coalesce(nullif(array_to_string(tp, ','), ''), '{field.NO_TOPIC}') AS topics, coalesce(nullif(array_to_string(cx, ','), ''), '{field.NO_CONTEXT}') AS contexts, excluded_by, reason FROM z""")
+def field_labels(spark, d):
+    rows = cases(spark, d).withColumn("ot", R.first_label(R.OUTCOME_TYPE, "disease_activity", text=F.col("t")))
+    reason = field.revision_reason(F.col("claim"), F.col("ot"), F.col("source"))
+    return rows.select("doc_id", F.array_join(field.topics(F.col("claim")), ",").alias("topics"), F.array_join(field.contexts(F.col("claim")), ",").alias("contexts"), field.excluded_by(F.col("claim")).alias("excluded_by"), F.md5(reason.cast("binary")).alias("reason"))
 
 
 @query("labelled_sentences", rf"""WITH a AS (SELECT doc_id, regexp_replace(CASE WHEN doc_id % 2 = 0 THEN 'RESULTS: ' ELSE '' END || text, '^[A-Z][A-Z /&-]{{2,}}:\s*', '') AS text FROM documents), b AS (SELECT doc_id, string_split(regexp_replace({COLLAPSE.format('text')}, '([.!?])\s+([A-Z0-9])', '\1' || chr(1) || '\2', 'g'), chr(1)) AS l FROM a)
@@ -197,12 +233,30 @@ def publication_types(spark, d):
     return table(spark, d, "documents").select("doc_id", R.publication_class(F.array(F.lit("Journal Article"), kinds)).alias("kind"))
 
 
-_DENIED = "|".join(f"(?:{p})" for p in R.DENIED).replace("'", "''")
+_SET = lambda groups, default: f"coalesce(nullif(array_to_string({_kinds(groups, 't')}, ','), ''), '{default}')"
+
+
+@query("set_conflicts", f"""WITH {CASES}, l(study, level, "group") AS (VALUES {_LEVELS}), s AS (SELECT k.*, {sql_first_label(R.STUDY, R.STUDY_DEFAULT, title='ti', types='ty')} AS study, list_filter([{", ".join(f"CASE WHEN {_has(w, 't')} THEN '{k}' END" for k, w in field.TOPICS.items())}], lambda v: v IS NOT NULL)[1] AS tp FROM k),
+c AS (SELECT doc_id AS id, coalesce(tp, '{field.NO_TOPIC}') AS topic, {sql_all_labels(R.CONDITION, 'unclear', 't')} AS cond, {_SET(field.CONTEXTS, field.NO_CONTEXT)} AS ctx, {sql_first_label(R.OUTCOME_TYPE, 'disease_activity', text='t')} AS o, level FROM s JOIN l USING (study)),
+p AS (SELECT a.id, b.id AS other, a.cond <> b.cond AS dc, a.ctx <> b.ctx AS dx, (a.o = 'symptoms' AND b.o = 'inflammation') OR (a.o = 'inflammation' AND b.o = 'symptoms') AS op, a.level <> b.level AS dl FROM c a JOIN c b ON a.topic = b.topic AND a.id <> b.id)
+SELECT c.id, c.topic, count(*) FILTER (dc OR dx OR op) AS n_conflicts, count(*) FILTER (dc) AS n_condition, count(*) FILTER (dx) AS n_context, count(*) FILTER (op) AS n_opposed, count(*) FILTER (dl AND (dc OR dx OR op)) AS n_level, min(other) FILTER (dc OR dx OR op) AS partner FROM c LEFT JOIN p USING (id) GROUP BY c.id, c.topic""")
+def set_conflicts(spark, d):
+    rows = cases(spark, d).select(
+        F.col("doc_id").alias("id"), F.get(field.topics(F.col("claim")), F.lit(0)).alias("topic"), R.all_labels(R.CONDITION, "unclear", F.col("t")).alias("conditions"), field.contexts(F.col("claim")).alias("contexts"),
+        R.first_label(R.OUTCOME_TYPE, "disease_activity", text=F.col("t")).alias("outcome"), R.study(F.lower("title"), F.col("types"))["level"].alias("level"),
+    )
+    return aggregates.set_conflicts(rows)
+
 
+NOTES = ("fine", "You have UC", "we talked about sleep", "You will flare soon; this is proven to cure", "guaranteed to work")
+_NOTE = "[" + ", ".join(map(_quoted, NOTES)) + "]"
 
-@query("nested_denylist", f"SELECT doc_id, regexp_matches(lower(text), '{_DENIED}') OR doc_id % 9 = 0 OR doc_id % 10 = 0 AS denied FROM documents")
+
+@query("nested_denylist", f"""WITH x AS (SELECT doc_id, {_NOTE}[doc_id % {len(NOTES)} + 1] AS note, coalesce(text, '') AS body FROM documents), y AS (SELECT doc_id, '$.outer.items[0].note' AS path, lower(note) AS t FROM x UNION ALL SELECT doc_id, '$.outer.body', lower(body || ' ' || note) FROM x UNION ALL SELECT doc_id, '$.keys.' || note || '~', lower(note) FROM x),
+z AS (SELECT doc_id, path, {_kinds(field.DENIED, 't')} AS k FROM y) SELECT doc_id, path, array_to_string(k, ',') AS kinds FROM z WHERE len(k) > 0""")
 def nested_denylist(spark, d):
-    n = F.col("doc_id")
-    inner = F.struct(F.array(F.struct(F.when(n % 9 == 0, "my name is ann").otherwise("fine").alias("note"))).alias("items"), F.regexp_replace("text", r'["\\]', " ").alias("body"))
-    key = F.map_from_arrays(F.array(F.when(n % 10 == 0, "password: x").otherwise("k")), F.array(F.lit(1)))
-    return table(spark, d, "documents").select("doc_id", R.denied(F.to_json(F.struct(inner.alias("outer"), key.alias("keys")))).alias("denied"))
+    note = F.get(F.array(*[F.lit(x) for x in NOTES]), (F.col("doc_id") % len(NOTES)).cast("int"))
+    rows = table(spark, d, "documents").select("doc_id", note.alias("note"), F.concat(F.coalesce("text", F.lit("")), F.lit(" "), note).alias("body"))
+    outer = F.struct(F.array(F.struct("note", F.lit(1).alias("n"))).alias("items"), "body")
+    made = rows.select(F.col("doc_id").alias("id"), F.to_json(F.struct(outer.alias("outer"), F.map_from_arrays(F.array("note"), F.array(F.lit(1))).alias("keys"))).alias("json"))
+    return nested.denied(made).select(F.col("id").alias("doc_id"), "path", F.array_join("kinds", ",").alias("kinds"))
