@@ -55,15 +55,18 @@ STRICT = {
 }
 #: What a text must hold for a strict form to be worth a search.
 SEEN = {"email": "@", "ip": r"[0-9]\.[0-9]+\.[0-9]+\.[0-9]", "card": r"(?:[0-9][\x20-]?){11}[0-9]", "phone": r"\+[0-9]"}
-_AT, _DOT = r"(?: ?[\[({](?:at|AT|@)[\])}] ?| (?:at|AT) )", r"(?: ?[\[({](?:dot|DOT|\.)[\])}] ?| (?:dot|DOT) |\.)"
-#: Loose forms.
+#: Usual domain ends.
+ENDS = "com|org|net|edu|gov|io|info|biz|dev|app|co|de|fr|es|it|nl|eu|uk|us|ca|ch|at|be|pl|se|br|mx|jp|cn|in|au"
+_USER, _HOST = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{2,64}+", "[A-Za-z0-9-]{2,63}+"
+_AT, _DOT = r" ?[\[({](?:at|AT|@)[\])}] ?", r" ?[\[({](?:dot|DOT|\.)[\])}] ?"
+#: Loose forms. "at" as a plain word is prose nearly always: it counts before bracketed dots, and before spelt ones if a usual end closes the phrase; never before a full stop.
 LOOSE = {
-    "email": rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{2,64}}+{_AT}[A-Za-z0-9-]{{2,63}}+(?:{_DOT}[A-Za-z0-9-]{{2,63}}+){{1,4}}+",
+    "email": rf"{_USER}(?:{_AT}{_HOST}(?:(?:{_DOT}| (?:dot|DOT) |\.){_HOST}){{1,4}}+| (?:at|AT) {_HOST}(?:{_DOT}{_HOST}){{1,4}}+| (?:at|AT) {_HOST}(?: (?:dot|DOT) {_HOST}){{1,4}}+(?<= (?:{ENDS}))(?=\s*(?:$|[.,;:!?)\]>\"'])))",
     "ip": r"(?<![0-9.])[0-9]{1,3}+(?: ?[\[(](?:\.|dot)[\])] ?[0-9]{1,3}+){3}(?![0-9])",
     "card": r"(?<![0-9])[0-9]{4}(?:[./_\u2013\u00b7][0-9]{4}){3}(?![0-9])",
-    "phone": r"(?<![0-9+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9.-]*[0-9])",
+    "phone": r"(?<![0-9+.-])(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9.-]*[0-9])",
 }
-#: Words just before a span that speak for its kind, words that speak against any, and usual domain ends.
+#: Words just before a span that speak for its kind, and words that speak against any.
 CUES = {
     "email": "mail|e-mail|contact|write|reach|address|reply",
     "ip": "ip|host|server|address|ping|connect|dns|gateway",
@@ -71,7 +74,6 @@ CUES = {
     "phone": "call|phone|tel|fax|mobile|cell|dial|contact|text|reach",
 }
 AGAINST = "version|isbn|order|invoice|part|model|serial|sku|page|section|chapter|figure|item|ref|number|ticket|lot"
-ENDS = "com|org|net|edu|gov|io|info|biz|dev|app|co|de|fr|es|it|nl|eu|uk|us|ca|ch|at|be|pl|se|br|mx|jp|cn|in|au"
 FEATURES = ("strict", "checksum", "octets", "digits_fit", "one_separator", "clear_left", "clear_right", "cue", "against", "domain", "marked", "plain_digits")
 
 

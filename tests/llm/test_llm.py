@@ -234,6 +234,33 @@ def test_precision_and_recall_of_added_spans(spark, pii_model):
     assert hits >= 0.95 * sum(truth.values()) and hits >= 0.95 * sum(got.values())
 
 
+PROSE = [
+    "we met at home dot com and left", "he is at work.it was late", "she was at school.in the end", "they arrive at noon.at last", "stay at home.be safe", "ratio 100-200-3000 ok", "look at page dot here", "we looked at it. Then dot the i", "at 10.30 at the station.de rest",
+    "sections 1.2.3 and 4.5", "sat at table dot net worth rose", "scores 123-456-7890 and 100 200 3000", "born at sea.co workers came", "one at a time.us too",
+]
+
+
+def test_prose_is_left_alone(spark, pii_model):
+    got = personal_data.find(frame(spark, list(enumerate(PROSE))), pii_model).collect()
+    assert {PROSE[r["doc_id"]]: r["spans"] for r in got} == dict.fromkeys(PROSE, "")
+
+
+def test_precision_and_recall_on_forms_of_other_spellings(spark, pii_model):
+    """Spellings that no training example has, among prose that resembles them."""
+    rng = random.Random(3)
+    card = lambda: next(c for base in [f"5{rng.randrange(10**14):014d}"] for c in (f"{base}{d}" for d in range(10)) if luhn(c))
+    rows, truth = [], {}
+    for i in range(400):
+        c = card()
+        made = [f"u{i} {{AT}} host{i}.org", f"u{i}(@)h-{i} (DOT) co (DOT) uk", f"{i % 256}(dot){i * 7 % 256}(dot)3(dot)4", "\u00b7".join(c[k : k + 4] for k in range(0, 16, 4)), "\u2013".join(c[k : k + 4] for k in range(0, 16, 4)), f"({200 + i}){300 + i}.{1000 + i}"][i % 6]
+        true = i % 2 == 0 or i % 5 == 0
+        rows.append((i, f"and so {made} was there" if true else f"and {rng.choice(PROSE)} was there"))
+        truth[i] = true
+    got = {r["doc_id"]: r["n_added"] > 0 for r in personal_data.find(frame(spark, rows), pii_model).collect()}
+    hits = sum(got[i] and truth[i] for i in got)
+    assert hits >= 0.95 * sum(truth.values()) and hits >= 0.97 * sum(got.values()), (hits, sum(truth.values()), sum(got.values()))
+
+
 def test_many_matches_in_one_text(spark, pii_model):
     n = 1500
     text = " ".join(f"u{i}@h{i}.org" if i % 2 else f"u{i} [at] h{i} [dot] org" for i in range(n))
