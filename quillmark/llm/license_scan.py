@@ -1,17 +1,21 @@
 """Licence scan: a trained paragraph classifier with template comparison.
 
 A paragraph is a run of lines without an empty one. Sums of weights over a text's
-word n-grams, kept as running totals, score every line and every run of 2, 4 and 8
-lines of a paragraph, so that wrapped notices are seen whole:
+word n-grams, kept as running totals, score every line, every run of up to ``RUNS``
+lines of a paragraph and every whole paragraph of more, so that wrapped notices are
+seen whole whatever their length:
 
 1. A sparse logistic regression on hashed word n-grams tells notices from other
    text. Every line and run is scored; those above the threshold go on.
 2. A second one names the family. The notice counts as that family if its
    probability passes a threshold, enough of the n-grams of one of the family's
-   templates, or of the notice, agree, and those that no other family has are among
-   them in proportion. Otherwise it is ``unknown``.
+   templates, or of the notice, agree, those that no other family has are among
+   them in proportion (all of them, for a template that is there nearly whole), and the agreement has two words in a row at least (or all of a
+   template of one word). Otherwise it is ``unknown``, if it has ``WORDS`` words.
 3. Of overlapping runs confirmed ones come first, then shorter ones, then earlier
-   ones; neighbours of one family are joined to one notice.
+   ones. A confirmed run that meets its own family only then adds those of its lines
+   whose n-grams are mostly the family's. Neighbours of one family are joined to one
+   notice.
 
 Training rows are varied copies and fragments of the templates, and a random line of
 each of about ``SAMPLE`` documents (expected, by a hash) that agrees with no
@@ -40,18 +44,46 @@ from pyspark.sql import functions as F
 from .linear import fit_softmax, row_sums, softmax
 from .textblocks import CHAIN, blocks, lower_ascii, mix, prefix_hash, span_hash, utf8, words
 
-WIDTH, ORDERS, RUNS, SAMPLE, COPIES = 1 << 16, (1, 2, 3), (1, 2, 4, 8), 4000, 40
+WIDTH, ORDERS, RUNS, SAMPLE, COPIES = 1 << 16, (1, 2, 3), 8, 4000, 40
 #: ``MARGIN``: log odds above the first threshold that a notice needs where no template confirms it.
-FALSE_SHARE, LOST_SHARE, AGREE, MARGIN = 0.001, 0.02, 0.5, 1.0
+FALSE_SHARE, LOST_SHARE, AGREE, MARGIN = 0.001, 0.02, 0.5, 2.0
+#: Share of a template from which on every word of its own must be there, and n-grams of a short one, where that always holds.
+WHOLE, SHORT = 0.6, 12
+#: Words that a notice needs where no template confirms it.
+WORDS = 4
 
 #: Usual notices of public licences, by family.
 TEMPLATES = {
-    "apache": ["Licensed under the Apache License, Version 2.0.", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.", "SPDX-License-Identifier: Apache-2.0"],
-    "mit": ["Released under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", "Licensed under the MIT License.", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software", "SPDX-License-Identifier: MIT"],
-    "gpl": ["This work is licensed under the GNU General Public License, version 3.", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation", "SPDX-License-Identifier: GPL-3.0-only"],
+    "apache": [
+        "Licensed under the Apache License, Version 2.0.", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.", "SPDX-License-Identifier: Apache-2.0", "License: Apache 2.0", "License: Apache-2.0",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+    ],
+    "mit": [
+        "Released under the MIT License.", "Licensed under the MIT License.", "License: MIT", "SPDX-License-Identifier: MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software",
+        "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+        "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ],
+    "isc": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "Licensed under the ISC License.", "License: ISC", "SPDX-License-Identifier: ISC",
+    ],
+    "gpl": [
+        "This work is licensed under the GNU General Public License, version 3.", "SPDX-License-Identifier: GPL-3.0-only", "License: GPLv3", "GPLv3", "License: GPL-3.0", "Licensed under the GNU GPL version 2.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "You should have received a copy of the GNU General Public License along with this program.",
+    ],
     "lgpl": ["Licensed under the GNU Lesser General Public License, version 2.1.", "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License", "SPDX-License-Identifier: LGPL-2.1-or-later"],
-    "bsd": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", "Distributed under the BSD 3-Clause License.", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer", "SPDX-License-Identifier: BSD-3-Clause"],
-    "mpl": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "SPDX-License-Identifier: MPL-2.0"],
+    "agpl": ["GNU Affero General Public License v3", "Licensed under the GNU Affero General Public License, version 3.", "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License", "SPDX-License-Identifier: AGPL-3.0-only"],
+    "bsd": [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", "Distributed under the BSD 3-Clause License.", "Licensed under the BSD 2-Clause License.", "BSD 2-Clause License", "SPDX-License-Identifier: BSD-3-Clause",
+        "SPDX-License-Identifier: BSD-2-Clause", "License: BSD", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    ],
+    "mpl": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Mozilla Public License 2.0", "Licensed under the Mozilla Public License, version 2.0.", "SPDX-License-Identifier: MPL-2.0"],
+    "unlicense": ["This is free and unencumbered software released into the public domain.", "SPDX-License-Identifier: Unlicense"],
     "cc-by": ["This work is licensed under a Creative Commons Attribution 4.0 International License.", "Licensed under CC BY 4.0.", "SPDX-License-Identifier: CC-BY-4.0"],
     "cc-by-sa": ["This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "Licensed under CC BY-SA 4.0."],
     "cc-by-nc": ["This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "Licensed under CC BY-NC 4.0."],
@@ -103,6 +135,11 @@ def _grams(text: str) -> np.ndarray:
     return lines.grams(0, int(lines.first[-1]))
 
 
+def _singles(text: str) -> np.ndarray:
+    raw = np.frombuffer(text.encode(), np.uint8)
+    return read_lines(raw, np.array([0, len(raw)])).codes[0]
+
+
 def _fit(rows: list[np.ndarray], y: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
     ends = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
     w, b = fit_softmax(np.concatenate([r % np.uint64(WIDTH) for r in rows]).astype(np.int64), ends, y, classes, WIDTH, steps=60)
@@ -117,6 +154,10 @@ class Scanner:
     family: np.ndarray
     family_bias: np.ndarray
     templates: list[list[np.ndarray]]
+    #: Codes of two words in a row or more in any template, and of templates of one word.
+    chains: np.ndarray
+    #: For each template, its words without digits that no other family has.
+    marks: list[list[np.ndarray]]
     least_notice: float = 0.0
     least_family: float = 0.0
 
@@ -139,23 +180,32 @@ class Scanner:
         """Whether a template of the family confirms the notice, and what only this family has is there in proportion."""
         own = np.unique(row)
         others = np.concatenate([np.zeros(0, np.uint64), *(t for k, v in enumerate(self.templates) if k != family for t in v)])
-        for t in self.templates[family]:
+        for t, marks in zip(self.templates[family], self.marks[family], strict=True):
             both = np.intersect1d(own, t, assume_unique=True)
+            if (len(both) >= WHOLE * len(t) or len(t) <= SHORT) and len(np.setdiff1d(marks, own)):
+                continue  # all of it but what tells it apart: another licence in the same words
             if len(both) >= AGREE * min(len(own), len(t)):
                 alone = np.setdiff1d(t, others)
-                if len(np.intersect1d(both, alone)) * len(t) >= AGREE * len(both) * len(alone):
+                if len(np.intersect1d(both, alone)) * len(t) >= AGREE * len(both) * len(alone) and len(np.intersect1d(both, self.chains)):
                     return True
         return False
 
+    def mostly(self, row: np.ndarray, name: str) -> bool:
+        """Whether at least ``AGREE`` of a line's n-grams are in templates of the family."""
+        return len(row) > 0 and bool(np.isin(row, np.concatenate(self.templates[self.names.index(name)])).mean() >= AGREE)
+
     def classify(self, lines: Lines) -> list[tuple[int, int, int, str]]:
         """Text number, first and last line, and family of each notice."""
         start, stop = [], []
-        for n in RUNS:
-            i = np.arange(len(lines.paragraph) - n + 1)
+        for n in range(1, RUNS + 1):
+            i = np.arange(max(0, len(lines.paragraph) - n + 1))
             i = i[(lines.paragraph[i] == lines.paragraph[i + n - 1]) & (lines.first[i + n] > lines.first[i])]
             start.append(i)
             stop.append(i + n)
-        start, stop = np.concatenate(start), np.concatenate(stop)
+        top = np.flatnonzero(np.diff(lines.paragraph, prepend=-1))
+        end = np.append(top[1:], len(lines.paragraph))
+        long = end - top > RUNS
+        start, stop = np.concatenate([*start, top[long]]), np.concatenate([*stop, end[long]])
         odds = self.notices(lines, lines.first[start], lines.first[stop])
         good = np.flatnonzero(odds >= self.least_notice)
         found = []
@@ -165,12 +215,15 @@ class Scanner:
             for i, row, p in zip(part, rows, self.families(rows), strict=True):
                 best = int(p.argmax())
                 sure = p[best] >= self.least_family and self.agrees(row, best)
-                if sure or odds[i] >= self.least_notice + MARGIN:
+                if sure or (odds[i] >= self.least_notice + MARGIN and lines.first[stop[i]] - lines.first[start[i]] >= WORDS):
                     found.append((not sure, int(stop[i] - start[i]), int(start[i]), self.names[best] if sure else "unknown"))
         taken: dict[int, str] = {}
         for _, n, i, name in sorted(found):
             if not any(j in taken for j in range(i, i + n)):
                 taken |= dict.fromkeys(range(i, i + n), name)
+        for unsure, n, i, name in sorted(found):
+            if not unsure and {taken[j] for j in range(i, i + n) if j in taken} == {name}:
+                taken |= {j: name for j in range(i, i + n) if j not in taken and self.mostly(lines.grams(int(lines.first[j]), int(lines.first[j + 1])), name)}
         out: list[tuple[int, int, int, str]] = []
         for j, name in sorted(taken.items()):
             d, at = int(lines.doc[j]), int(lines.number[j])
@@ -210,7 +263,10 @@ def train_scanner(docs: DataFrame, sample: int = SAMPLE, known: dict[str, list[s
     y = np.array(y)
     w, b = _fit([*pick(rows, ~held), *foreign, *pick(others, ~apart)], np.array([1] * (int((~held).sum()) + len(foreign)) + [0] * int((~apart).sum())), 2)
     v, c = _fit(pick(rows, ~held), y[~held], len(known))
-    model = Scanner(list(known), w[:, 1] - w[:, 0], float(b[1] - b[0]), v, c, templates)
+    chains = [np.setdiff1d(_grams(x), _singles(x)) if len(x.split()) > 1 else _grams(x) for v in known.values() for x in v]
+    singles = [[np.unique(_singles(" ".join(w for w in x.split() if not any(c.isdigit() for c in w)) or x)) for x in v] for v in known.values()]
+    marks = [[np.setdiff1d(t, np.concatenate([u for j, other in enumerate(singles) if j != k for u in other])) for t in v] for k, v in enumerate(singles)]
+    model = Scanner(list(known), w[:, 1] - w[:, 0], float(b[1] - b[0]), v, c, templates, np.unique(np.concatenate(chains)), marks)
     odds = lambda xs: np.array([(model.notice[(x % np.uint64(WIDTH)).astype(np.int64)].sum() / np.sqrt(max(1, len(x))) + model.notice_bias) for x in xs])
     model.least_notice = max(0.0, float(np.quantile(odds(pick(others, apart)), 1 - FALSE_SHARE)))
     p = model.families(pick(rows, held))

@@ -1,6 +1,7 @@
 """The training-data operators against brute force, libraries and round trips, with edge cases."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -109,6 +110,24 @@ def test_language_held_out(spark):
     assert right > 0.97 and got.count() == docs.count()
 
 
+def test_language_decoding_by_hand(docs):
+    """Features, losses and the nearest codeword, one text and one bit at a time."""
+    model = language_id.train(docs)
+    rows = [r["text"] for r in docs.filter("text is not null").orderBy("doc_id").limit(40).collect()]
+    x = np.concatenate(list(language_id.features(pa.array([t.lower() for t in rows]))))
+    best, score, lead = model.decode(x)
+    for i in range(len(rows)):
+        one = np.concatenate(list(language_id.features(pa.array([rows[i].lower()]))))[0]
+        assert np.array_equal(one, x[i])
+        losses = []
+        for k in range(len(model.langs)):
+            margins = [model.words[k][j] * (float(one @ model.weights[:, j]) + float(model.bias[j])) for j in range(model.words.shape[1])]
+            losses.append(sum(model.trust[k][j] * math.log1p(math.exp(-m)) for j, m in enumerate(margins)) / sum(model.trust[k]))
+        order = sorted(losses)
+        assert best[i] == losses.index(order[0]) and lead[i] == pytest.approx(order[1] - order[0], abs=1e-4)
+        assert score[i] == pytest.approx(1 / sum(math.exp(-4 * (v - order[0])) for v in losses), abs=1e-3)
+
+
 def test_language_edges(spark, edge, empty):
     assert language_id.train(empty) is None
     got = language_id.identify(edge, language_id.train(edge), carry=["doc_id", "score", "lang"]).collect()
@@ -496,6 +515,64 @@ def test_unseen_licences_are_unknown(spark, docs, scanner):
     assert {r["families"] for r in got} == {"unknown"}
 
 
+NOTICES = {
+    "Licensed under the BSD 2-Clause License.": "bsd", "SPDX-License-Identifier: BSD-2-Clause": "bsd", "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.": "isc",
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,\nFITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.': "mit",
+    "This is free and unencumbered software released into the public domain.": "unlicense", "GNU Affero General Public License v3": "agpl", "Licensed under the Eclipse Public License 2.0": "unknown", "Mozilla Public License 2.0": "mpl", "License: Apache 2.0": "apache", "GPLv3": "gpl",
+    "Permission is hereby granted,\nfree of charge,\nto any person obtaining\na copy of this software\nand associated\ndocumentation files\n(the Software), to deal\nin the Software\nwithout restriction,\nincluding without limitation\nthe rights to use, copy,\nmodify, merge, publish": "mit",
+}
+PLAIN = ["mit", "mit\nder", "erst\nmit\nund", "er ging mit der Frau und mit\nmit dem Kind", "Apache", "the license of the hall", "all rights", "a copy of the text of this work is there", "License"]
+
+
+def test_notices_of_many_forms_and_lines_that_are_none(spark, scanner):
+    got = {r["doc_id"]: r["families"] for r in license_scan.scan(frame(spark, list(enumerate(NOTICES))), scanner).collect()}
+    assert {x: got[i] for i, x in enumerate(NOTICES)} == NOTICES
+    assert {r["families"] for r in license_scan.scan(frame(spark, list(enumerate(PLAIN))), scanner).collect()} == {""}
+    whole = license_scan.scan(frame(spark, [(1, list(NOTICES)[-1])]), scanner).first()
+    assert (whole["n_licenses"], whole["lines"]) == (1, "0-11:mit")
+
+
+def test_license_scores_by_hand(scanner, texts):
+    """Running totals and the choice of runs against sums over each run on its own."""
+    from quillmark.llm.linear import softmax
+
+    some = sorted(texts)[:60]
+    body = ["\n".join([texts[i] or "", *list(NOTICES)[i % 11].split("\n"), "", "the end"]) for i in some]
+    for text in body:
+        raw = np.frombuffer(text.encode(), np.uint8)
+        rows = [x.encode() for x in text.split("\n")]
+        found = []
+        for a in range(len(rows)):
+            for b in range(a + 1, len(rows) + 1):
+                if any(not r.split() for r in rows[a:b]):
+                    break
+                whole = (a == 0 or not rows[a - 1].split()) and (b == len(rows) or not rows[b].split())
+                if b - a > license_scan.RUNS and not whole:
+                    continue
+                g = license_scan._grams(b"\n".join(rows[a:b]).decode())
+                slots = (g % np.uint64(license_scan.WIDTH)).astype(int)
+                odds = sum(float(scanner.notice[k]) for k in slots) / np.sqrt(max(1, len(g))) + scanner.notice_bias
+                if odds < scanner.least_notice:
+                    continue
+                p = softmax((sum(scanner.family[k].astype(float) for k in slots) / np.sqrt(max(1, len(g))) + scanner.family_bias)[None])[0]
+                sure = p.max() >= scanner.least_family and scanner.agrees(g, int(p.argmax()))
+                if sure or (odds >= scanner.least_notice + license_scan.MARGIN and len(b" ".join(rows[a:b]).split()) >= license_scan.WORDS):
+                    found.append((not sure, b - a, a, scanner.names[int(p.argmax())] if sure else "unknown"))
+        taken = {}
+        for _, n, i, name in sorted(found):
+            if not any(j in taken for j in range(i, i + n)):
+                taken |= dict.fromkeys(range(i, i + n), name)
+        for unsure, n, i, name in sorted(found):
+            if not unsure and {taken[j] for j in range(i, i + n) if j in taken} == {name}:
+                held = {int(c) for t in scanner.templates[scanner.names.index(name)] for c in t}
+                for j in range(i, i + n):
+                    g = [int(c) in held for c in license_scan._grams(rows[j].decode())]
+                    if j not in taken and g and sum(g) >= license_scan.AGREE * len(g):
+                        taken[j] = name
+        got = {j: f for _, a, b, f in scanner.classify(license_scan.read_lines(raw, np.array([0, len(raw)]))) for j in range(a, b + 1)}
+        assert got == taken
+
+
 def test_long_text_of_licences(spark, scanner):
     text = "\n".join(["some words of the body here"] * 40 + ["Released under the MIT License."]) + "\n"
     r = license_scan.scan(frame(spark, [(1, text * 300)], 1), scanner).first()
