@@ -167,11 +167,12 @@ def _kinds(groups, column: str) -> str:
     return "list_filter([" + ", ".join(f"CASE WHEN {_any(p, column)} THEN '{k}' END" for k, p in groups.items()) + "], lambda v: v IS NOT NULL)"
 
 
-_FAMILY = f"CASE WHEN {' AND '.join(_any([p], 't') for p in field.MISAPPLIED)} THEN 'crohns_to_uc_misapplication' " + " ".join(f"WHEN {_any(p, 't')} THEN '{k}'" for k, p in field.BOUNDARIES.items()) + " ELSE 'none' END"
+FAMILY = f"CASE WHEN {' AND '.join(_any([p], 't') for p in field.MISAPPLIED)} THEN 'crohns_to_uc_misapplication' " + " ".join(f"WHEN {_any(p, 't')} THEN '{k}'" for k, p in field.BOUNDARIES.items()) + " ELSE 'none' END"
+UNSUPPORTED = _has(field.UNSUPPORTED, "t")
 _INTENT = "CASE family " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in field.INTENTS.items()) + " END"
 
 
-@query("safety_families", f"WITH {ASKED}, f AS (SELECT conv_id, turn, {_FAMILY} AS family, {_has(field.UNSUPPORTED, 't')} AS unsupported FROM l) SELECT *, {_INTENT} AS intent FROM f")
+@query("safety_families", f"WITH {ASKED}, f AS (SELECT conv_id, turn, {FAMILY} AS family, {UNSUPPORTED} AS unsupported FROM l) SELECT *, {_INTENT} AS intent FROM f")
 def safety_families(spark, d):
     return asked(spark, d).select("conv_id", "turn", field.boundary(F.col("q")).alias("family"), field.unsupported(F.col("q")).alias("unsupported")).withColumn("intent", field.intent(F.col("family")))
 

@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.lexicon import CORPUS
+from ..operators import agent as A
 from ..operators import quality as Q
 from ..operators import screening as S
 from ..operators import workflow as G
 from .catalog import query, table
+from .rule_queries import ASKED, FAMILY, UNSUPPORTED, asked
 from .text_queries import APPLICABILITY_SQL, COLLAPSE, sql_all, sql_any, sql_first
 
 # claims: labelled documents; topic = source; verified if of good quality; excerpt = first 80 characters
@@ -159,3 +161,28 @@ def answer_graph(spark, d):
     c = claims(spark, d)
     both = [G.graph(q, c, CORPUS, template=t).withColumn("template", F.lit(t)).select("conv_id", "turn", "template", "status", "route", "sufficient", "resolution") for t in (True, False)]
     return both[0].unionByName(both[1])
+
+
+def _sql_kinds(groups, column: str) -> str:
+    return " OR ".join(f"regexp_matches({column}, '{p.replace(chr(39), chr(39) * 2)}')" for ps in groups.values() for p in ps)
+
+
+def _reviewer(row: dict) -> dict:
+    """Stands for a model: fails on questions of a length, passes drafts of an even number of claims."""
+    if len(row["question"]) % 7 == 0:
+        raise TimeoutError
+    return {"passed": len(row["verified"]) % 2 == 0}
+
+
+@query("agent_routes", f"""WITH {CLAIMS}, {ASKED}, n AS (SELECT topic, list({{'id': id, 'text': text, 'excerpt': excerpt}} ORDER BY id) AS v FROM b WHERE ok GROUP BY topic),
+g AS (SELECT l.conv_id, l.turn, q, {FAMILY} AS family, {UNSUPPORTED} AS unsupported, coalesce(v, []) AS v FROM l LEFT JOIN n ON n.topic = 'src' || (l.conv_id % 25)::VARCHAR),
+h AS (SELECT *, 'Evidence found:' || chr(10) || chr(10) || array_to_string(list_transform(v, lambda c, i: '[' || i || '] ' || c.text), chr(10) || chr(10)) AS draft FROM g),
+k AS (SELECT *, {_sql_kinds(A.UNSAFE, 'lower(draft)')} AS unsafe, len(list_filter(v, lambda c: NOT contains(c.text, c.excerpt))) > 0 AS unsound, len(q) % 7 <> 0 AND len(v) % 2 <> 0 AS refused FROM h),
+s AS (SELECT *, CASE WHEN family <> 'none' THEN 'refused' WHEN unsupported OR len(v) = 0 THEN 'fallback' WHEN unsafe OR unsound OR refused THEN 'refused' ELSE 'answered' END AS status, CASE WHEN unsafe THEN 'evidence_synthesizer>safety_critic' WHEN unsound THEN 'evidence_synthesizer>safety_critic>citation_verifier' ELSE 'evidence_synthesizer>safety_critic>citation_verifier>citation_reviewer' END AS step FROM k)
+SELECT conv_id, turn, status, CASE WHEN family <> 'none' OR status = 'fallback' THEN 0 WHEN status = 'answered' THEN 1 ELSE 2 END AS attempts, CASE WHEN status = 'answered' THEN len(v) ELSE 0 END AS n_citations,
+CASE WHEN family <> 'none' THEN 'receive_query>check_safety_boundaries>refuse' ELSE '{">".join([*A.NODES[:2], *A.BEFORE])}>' || CASE status WHEN 'fallback' THEN 'fallback_if_unsupported' WHEN 'answered' THEN step || '>qa_agent>attach_citations_final' ELSE step || '>' || step || '>refuse' END END AS route FROM s""")
+def agent_routes(spark, d):
+    """Templates as drafts, and a reviewer that fails for some rows."""
+    q = asked(spark, d).select("conv_id", "turn", F.col("q").alias("question"), F.concat(F.lit("src"), (F.col("conv_id") % 25).cast("string")).alias("topic"))
+    out = A.run(G.retrieve(q, claims(spark, d), 3).drop("topic"), {"citation_reviewer": _reviewer}, template=True)
+    return out.select("conv_id", "turn", "status", "attempts", F.coalesce(F.size("citations"), F.lit(0)).cast("long").alias("n_citations"), F.array_join("route", ">").alias("route"))
