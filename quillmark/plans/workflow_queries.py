@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions.lexicon import CORPUS
 from ..operators import agent as A
+from ..operators import json_schema
 from ..operators import quality as Q
 from ..operators import screening as S
 from ..operators import workflow as G
@@ -186,3 +187,20 @@ def agent_routes(spark, d):
     q = asked(spark, d).select("conv_id", "turn", F.col("q").alias("question"), F.concat(F.lit("src"), (F.col("conv_id") % 25).cast("string")).alias("topic"))
     out = A.run(G.retrieve(q, claims(spark, d), 3).drop("topic"), {"citation_reviewer": _reviewer}, template=True)
     return out.select("conv_id", "turn", "status", "attempts", F.coalesce(F.size("citations"), F.lit(0)).cast("long").alias("n_citations"), F.array_join("route", ">").alias("route"))
+
+
+RECORD = {
+    "type": "object", "required": ["id", "lang"], "additionalProperties": False,
+    "properties": {
+        "id": {"type": "integer", "minimum": 3}, "lang": {"enum": ["en", "fr", "de"]}, "source": {"type": "string", "pattern": "^src[0-9]$"}, "size": {"type": ["integer", "null"], "maximum": 5000},
+        "lines": {"type": "array", "minItems": 2, "items": {"type": "string", "minLength": 4}},
+    },
+}
+
+
+@query("schema_errors", """WITH x AS (SELECT *, CASE WHEN text IS NULL THEN NULL ELSE string_split(text, chr(10)) END AS l FROM documents), y AS (SELECT doc_id, list_concat([CASE WHEN doc_id < 3 THEN 'id: is beyond its minimum' END, CASE WHEN lang IS NULL THEN '<root>: lacks lang' WHEN lang NOT IN ('en', 'fr', 'de') THEN 'lang: is none of the values' END, CASE WHEN NOT regexp_matches(source, '^src[0-9]$') THEN 'source: does not match' END,
+CASE WHEN n_chars > 5000 THEN 'size: is beyond its maximum' END, CASE WHEN len(l) < 2 THEN 'lines: has too few items' END, CASE WHEN doc_id % 2 = 1 THEN '<root>: has also odd' END], coalesce(list_transform(l, lambda v, i: CASE WHEN length(v) < 4 THEN 'lines/' || (i - 1) || ': is too short' END), [])) AS e FROM x)
+SELECT doc_id, coalesce(array_to_string(list_sort(list_filter(e, lambda v: v IS NOT NULL)), '; '), '') AS errors FROM y""")
+def schema_errors(spark, d):
+    made = F.to_json(F.struct(F.col("doc_id").alias("id"), "lang", "source", F.col("n_chars").alias("size"), F.split("text", "\n", -1).alias("lines"), F.when(F.col("doc_id") % 2 == 1, True).alias("odd")))
+    return table(spark, d, "documents").select("doc_id", F.array_join(json_schema.validate(made, RECORD), "; ").alias("errors"))
