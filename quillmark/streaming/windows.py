@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,46 +44,81 @@ def first_seen(events: DataFrame, keys: list[str], late: str) -> DataFrame:
     return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(keys)
 
 
-def daily_run(spark: SparkSession, stream: DataFrame, table: str, key: str) -> None:
-    """Each micro-batch adds only rows whose key the table at ``table`` lacks; the batch number names its folder, so that a retry overwrites itself."""
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """State in RocksDB for queries that start inside: looked up by key on local disk behind Bloom filters, changes saved to the checkpoint."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, ROCKS)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def daily_run(spark: SparkSession, stream: DataFrame, table: str, key: str, ttl: tuple[str, str] | None = None) -> None:
+    """Adds rows whose key has not come in any run before, and ends when the input is read up.
+
+    Keys are state: a micro-batch looks up its own keys in its partitions of the state store
+    and reads nothing of the table. The batch number names the output folder, so that a
+    retried batch overwrites itself. ``ttl`` (event-time column, how long) lets keys go:
+    what comes later than that is dropped, and so never taken for new. A null key is a key.
+    """
+    rows = stream.withWatermark(*ttl).dropDuplicatesWithinWatermark([key]) if ttl else stream.dropDuplicates([key])
 
     def add(batch: DataFrame, number: int) -> None:
-        rows = batch.dropDuplicates([key])
-        try:
-            old = spark.read.parquet(f"{table}/batch=*").select(key)
-            rows = rows.join(old, key, "left_anti")
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-        rows.write.mode("overwrite").parquet(f"{table}/batch={number}")
+        batch.write.mode("overwrite").parquet(f"{table}/batch={number}")
+
+    with keyed_state(spark):
+        rows.writeStream.foreachBatch(add).option("checkpointLocation", f"{table}-state").trigger(availableNow=True).start().awaitTermination()
 
-    stream.writeStream.foreachBatch(add).option("checkpointLocation", f"{table}-state").trigger(availableNow=True).start().awaitTermination()
 
+def limited(events: DataFrame, most: int, seconds: float, late: str = "1 minute") -> DataFrame:
+    """``user_id, event_id, allowed``: at most ``most`` requests of a user within ``seconds``, as a stateful stream.
 
-def limited(events: DataFrame, most: int, seconds: float) -> DataFrame:
-    """Rate limit as a stateful stream: refused requests leave no trace in the state."""
+    Requests of a user in a batch are held together and come by time, then number; refused ones leave no trace. A
+    user's state holds at most ``most`` times and is let go by an event-time timer once the
+    watermark has passed the last of them by ``seconds``; requests later than the watermark
+    are dropped. Start the query inside ``keyed_state``.
+    """
     import pandas as pd
     from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
     class Limit(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
-            self.times = handle.getListState("times", "at double")
+            self.handle = handle
+            self.times = handle.getValueState("times", "at array<double>")
+
+        def _held(self) -> list[float]:
+            return list(self.times.get()[0]) if self.times.exists() else []
 
         def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
-            times = [t[0] for t in self.times.get()] if self.times.exists() else []
-            for pdf in rows:
-                out = []
-                for r in pdf.sort_values(["at", "event_id"]).itertuples():
-                    times = [t for t in times if t > r.at - seconds]
-                    ok = len(times) < most
-                    if ok:
-                        times.append(r.at)
-                    out.append((key[0], r.event_id, ok))
-                yield pd.DataFrame(out, columns=["user_id", "event_id", "allowed"])
-            self.times.put([(t,) for t in times])
+            times = self._held()
+            came = pd.concat(list(rows)).sort_values(["at", "event_id"])
+            out = []
+            for r in came.itertuples():
+                times = [t for t in times if t > r.at - seconds]
+                ok = len(times) < most
+                if ok:
+                    times.append(r.at)
+                out.append((key[0], r.event_id, ok))
+            self.times.update((times,))
+            if times:
+                self.handle.registerTimer(int((max(times) + seconds) * 1000) + 1)
+            yield pd.DataFrame(out, columns=["user_id", "event_id", "allowed"])
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
+            # a timer of an older request finds younger ones, whose own timers follow
+            now = expiredTimerInfo.getExpiryTimeInMs() / 1000
+            times = [t for t in self._held() if t > now - seconds]
+            self.times.update((times,)) if times else self.times.clear()
+            yield pd.DataFrame({"user_id": pd.Series(dtype="int64"), "event_id": pd.Series(dtype="int64"), "allowed": pd.Series(dtype="bool")})
 
         def close(self) -> None:
             pass
 
-    rows = events.select("user_id", "event_id", F.col("ts").cast("double").alias("at"))
-    return rows.groupBy("user_id").transformWithStateInPandas(Limit(), "user_id long, event_id long, allowed boolean", "Append", "None")
+    rows = events.withWatermark("ts", late).select("user_id", "event_id", "ts", F.col("ts").cast("double").alias("at"))
+    return rows.groupBy("user_id").transformWithStateInPandas(Limit(), "user_id long, event_id long, allowed boolean", "Append", "EventTime")
