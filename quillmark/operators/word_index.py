@@ -1,9 +1,11 @@
 """A stored BM25 index: postings by term in blocks of document numbers, appended batch by batch.
 
 A block holds the postings of one term (and filter value) for ``RANGE`` neighbouring
-document numbers, with its highest count and shortest length. Blocks lie in
-``BUCKETS`` folders by term, so a search reads the folders of its terms only, and a
-common term is many blocks. An append writes the blocks of new documents, and a new
+document numbers, with its highest count and shortest length; the blocks of the empty
+term list all documents. Blocks lie in ``BUCKETS`` folders by term, so a search reads the
+folders of its terms only, and a common term is many blocks. Words are counted inside
+their text, so an append shuffles its postings once and no text. It writes the blocks of
+new documents, and a new
 vocabulary (document counts by term and filter value), a histogram of these counts
 and totals; the number of the append is then noted as good. What a crash leaves
 behind is not noted, and the next append overwrites it.
@@ -23,7 +25,10 @@ again in a batch, is left out.
 from __future__ import annotations
 
 import uuid
+from collections import Counter
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,8 +40,8 @@ RANGE, BUCKETS = 1024, 16
 DIGITS = 6
 #: Columns of the tables in the folder; an append without a word has no file to tell them.
 TABLES = {
-    "postings": "grp string, term string, rng bigint, max_tf bigint, min_dl int, docs array<struct<doc_id:bigint,tf:bigint,dl:int>>, bucket int",
-    "lengths": "grp string, doc_id bigint, dl int", "vocabulary": "grp string, term string, df bigint", "totals": "grp string, n bigint, words bigint", "histogram": "grp string, df bigint, terms bigint",
+    "postings": "grp string, term string, rng bigint, max_tf bigint, min_dl bigint, places array<bigint>, lengths array<bigint>, bucket int",
+    "vocabulary": "grp string, term string, df bigint", "totals": "grp string, n bigint, words bigint", "histogram": "grp string, df bigint, terms bigint",
 }
 
 
@@ -63,21 +68,23 @@ class WordIndex:
         good = self._good()
         version = max(good, default=0) + 1
         grp = F.coalesce(F.col(by).cast("string"), F.lit("")) if by else F.lit("")
-        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), grp.alias("grp"), F.coalesce("text", F.lit("")).alias("text")).filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), grp.alias("grp"), F.coalesce("text", F.lit("")).alias("text")).filter("doc_id IS NOT NULL")
+        many, ids = rows.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
+        rows = rows if many == ids else rows.dropDuplicates(["doc_id"])
         if good:
-            rows = rows.join(self._read("lengths", good).select("doc_id"), "doc_id", "left_anti")
-        words = rows.select("grp", "doc_id", tokens(F.col("text")).alias("w")).select("grp", "doc_id", F.size("w").alias("dl"), F.explode_outer("w").alias("term"))
-        counted = save(words.groupBy("grp", "doc_id", "dl", "term").agg(F.count(F.lit(1)).alias("tf")), "counted")
-        put = lambda df, part: df.write.mode("overwrite").parquet(f"{self.folder}/{part}/version={version}")
-        put(counted.select("grp", "doc_id", "dl").distinct(), "lengths")
-        found = counted.filter("term IS NOT NULL").withColumn("rng", F.floor(F.col("doc_id") / RANGE).cast("long"))
-        # at most RANGE documents a group
-        blocks = found.groupBy("grp", "term", "rng").agg(F.max("tf").alias("max_tf"), F.min("dl").alias("min_dl"), F.collect_list(F.struct("doc_id", "tf", "dl")).alias("docs"))
+            again = save(rows.select("doc_id").join(self._lengths(good).select("doc_id"), "doc_id", "left_semi"), "again")  # numbers only
+            rows = rows if again.isEmpty() else rows.join(small(again), "doc_id", "left_anti")
+        # at most RANGE documents a group; a posting is its place in the range and its count in one number, and its length
+        place = F.pmod("doc_id", F.lit(RANGE)) + F.col("tf") * RANGE
+        blocks = _counted(rows).withColumn("rng", F.floor(F.col("doc_id") / RANGE).cast("long")).groupBy("grp", "term", "rng")
+        blocks = blocks.agg(F.max("tf").alias("max_tf"), F.min("dl").alias("min_dl"), F.collect_list(place).alias("places"), F.collect_list("dl").alias("lengths"))
         ways = max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // BUCKETS)
         blocks = blocks.withColumn("bucket", _bucket(F.col("term"))).repartition("bucket", F.pmod("rng", F.lit(ways))).sortWithinPartitions("bucket", "term", "rng")
         blocks.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.folder}/postings/version={version}")
-        counts = found.groupBy("grp", "term").agg(F.count(F.lit(1)).alias("df"))
-        lengths = self._read("lengths", [version]).groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.sum("dl").alias("words"))
+        put = lambda df, part: df.write.mode("overwrite").parquet(f"{self.folder}/{part}/version={version}")
+        found = self._read("postings", [version]).filter("term <> ''")
+        counts = found.groupBy("grp", "term").agg(F.sum(F.size("places").cast("long")).alias("df"))
+        lengths = self._lengths([version]).groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.sum("dl").alias("words"))
         if good:
             counts = counts.unionByName(self._read("vocabulary", good[-1:]).select("grp", "term", "df")).groupBy("grp", "term").agg(F.sum("df").alias("df"))
             lengths = lengths.unionByName(self._read("totals", good[-1:]).select("grp", "n", "words")).groupBy("grp").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
@@ -88,6 +95,10 @@ class WordIndex:
         put(every.groupBy("grp", "df").agg(F.count(F.lit(1)).alias("terms")).unionByName(whole), "histogram")
         self.spark.range(1).select(F.lit(version).cast("long").alias("version")).coalesce(1).write.mode("append").json(f"{self.folder}/good")
 
+    def _lengths(self, versions: list[int]) -> DataFrame:
+        """``grp, doc_id, dl`` of all documents."""
+        return _opened(self._read("postings", versions).filter((F.col("bucket") == _bucket(F.lit(""))) & (F.col("term") == "")), "grp").select("grp", "doc_id", "dl")
+
     def vocabulary(self) -> DataFrame:
         """``grp, term, df``: in how many documents of each filter value a term is."""
         return self._read("vocabulary", self._good()[-1:]).select("grp", "term", "df")
@@ -109,8 +120,8 @@ class WordIndex:
         cells = save(blocks.groupBy("query", "grp", "rng").agg(F.sum(F.greatest(F.lit(0.0), gain(F.col("max_tf"), F.col("min_dl")))).alias("bound")), "cells")
 
         def scored(some: DataFrame) -> DataFrame:
-            hits = blocks.join(small(some), ["query", "grp", "rng"]).select("query", "weight", "avgdl", F.explode("docs").alias("d"))
-            return hits.groupBy("query", F.col("d.doc_id").alias("doc_id")).agg(F.round(F.sum(gain(F.col("d.tf"), F.col("d.dl"))), DIGITS).alias("score"))
+            hits = _opened(blocks.join(small(some), ["query", "grp", "rng"]), "query", "weight", "avgdl")
+            return hits.groupBy("query", "doc_id").agg(F.round(F.sum(gain(F.col("tf"), F.col("dl"))), DIGITS).alias("score"))
 
         first = save(top(cells, ["query"], [F.desc("bound"), F.col("grp"), F.col("rng")], k).select("query", "grp", "rng"), "first")
         found = save(scored(first), "scored")
@@ -145,11 +156,38 @@ class WordIndex:
         most = short.agg(F.max("met")).first()[0]
         if most is None:
             return top(scores, ["query"], [F.desc("score"), F.col("doc_id")], k).select("query", "rank", "doc_id", "score")
-        lengths = self._read("lengths", good).select((F.col("grp") if by else F.lit("")).alias("scope"), "doc_id")
+        lengths = self._lengths(good).select((F.col("grp") if by else F.lit("")).alias("scope"), "doc_id")
         early = top(lengths, ["scope"], [F.col("doc_id")], k + most).select("scope", "doc_id")
         zero = short.select("query", "scope").join(early, "scope").join(scores.select("query", "doc_id"), ["query", "doc_id"], "left_anti").select("query", "doc_id", F.lit(0.0).alias("score"))
         return top(scores.unionByName(zero), ["query"], [F.desc("score"), F.col("doc_id")], k).select("query", "rank", "doc_id", "score")
 
 
+def _counted(rows: DataFrame) -> DataFrame:
+    """``grp, doc_id, dl, term, tf`` of each distinct word of a text, and of the empty term for every text."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                terms, counts, sizes, lengths = [], [], [], []
+                for text in part.column("words").to_pylist():
+                    words = text.split(" ") if text else []
+                    seen = Counter(words)
+                    terms += ["", *seen]
+                    counts += [0, *seen.values()]
+                    sizes.append(1 + len(seen))
+                    lengths.append(len(words))
+                row = pa.array([i for i, n in enumerate(sizes) for _ in range(n)], pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column("grp").take(row), part.column("doc_id").take(row), pa.array(lengths, pa.int64()).take(row), pa.array(terms, pa.string()), pa.array(counts, pa.int64())], ["grp", "doc_id", "dl", "term", "tf"])
+
+    return rows.select("grp", "doc_id", F.array_join(tokens(F.col("text")), " ").alias("words")).mapInArrow(count, "grp string, doc_id long, dl long, term string, tf long")
+
+
+def _opened(blocks: DataFrame, *columns: str) -> DataFrame:
+    """``doc_id, tf, dl`` of each posting beside ``columns``."""
+    posting = blocks.select(*columns, "rng", F.explode(F.arrays_zip("places", "lengths")).alias("p"))
+    return posting.select(*columns, (F.col("rng") * RANGE + F.pmod("p.places", F.lit(RANGE))).alias("doc_id"), F.floor(F.col("p.places") / RANGE).cast("long").alias("tf"), F.col("p.lengths").alias("dl"))
+
+
 def _bucket(term):
     return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
