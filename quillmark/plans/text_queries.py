@@ -48,14 +48,19 @@ def canonical_url(spark, d):
 IDENTIFIERS = ("https://doi.org/10.1000/AbC", " doi: 10.5/X ", "http://dx.doi.org/10.2/y", "PMID: 123456", "pmc998877", "trial nct01234567 x", "", "no id")
 
 
-@query("norm_identifiers", "WITH r(raw) AS (VALUES " + ", ".join(f"('{x}')" for x in IDENTIFIERS) + r""")
-SELECT raw, regexp_replace(regexp_replace(regexp_replace(lower(trim(raw)), '^https?://(dx\.)?doi\.org/', ''), '^doi:\s*', ''), '^\s+|\s+$', '', 'g') AS doi,
+_RAW = "[" + ", ".join(f"'{x}'" for x in IDENTIFIERS) + f"][doc_id % {len(IDENTIFIERS)} + 1] || doc_id"
+
+
+@query("norm_identifiers", rf"""WITH r AS (SELECT doc_id, {_RAW} AS raw FROM documents)
+SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(lower(trim(raw)), '^https?://(dx\.)?doi\.org/', ''), '^doi:\s*', ''), '^\s+|\s+$', '', 'g') AS doi,
   regexp_extract(raw, '[0-9]+') AS pmid,
   CASE WHEN regexp_extract(upper(raw), '(?:PMC)?([0-9]+)', 1) <> '' THEN 'PMC' || regexp_extract(upper(raw), '(?:PMC)?([0-9]+)', 1) ELSE '' END AS pmcid,
-  regexp_extract(upper(raw), 'NCT[0-9]{8}') AS trial FROM r""")
+  regexp_extract(upper(raw), 'NCT[0-9]{{8}}') AS trial FROM r""")
 def norm_identifiers(spark, d):
-    raw = spark.sql("SELECT explode(array(" + ", ".join(f"'{x}'" for x in IDENTIFIERS) + ")) AS raw")
-    return raw.select("raw", X.norm_doi(F.col("raw")).alias("doi"), X.norm_pmid(F.col("raw")).alias("pmid"), X.norm_pmcid(F.col("raw")).alias("pmcid"), X.norm_trial_id(F.col("raw")).alias("trial"))
+    """Every document's number behind one of the forms in which identifiers come."""
+    form = F.get(F.array(*[F.lit(x) for x in IDENTIFIERS]), (F.col("doc_id") % len(IDENTIFIERS)).cast("int"))
+    raw = table(spark, d, "documents").select("doc_id", F.concat(form, F.col("doc_id").cast("string")).alias("raw"))
+    return raw.select("doc_id", X.norm_doi(F.col("raw")).alias("doi"), X.norm_pmid(F.col("raw")).alias("pmid"), X.norm_pmcid(F.col("raw")).alias("pmcid"), X.norm_trial_id(F.col("raw")).alias("trial"))
 
 
 @query("content_hash", f"SELECT doc_id, sha256(lower({STRIP.format(TITLE)}) || chr(31) || lower({STRIP.format('text')}) || chr(31)) AS sha FROM documents")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.lexicon import CORPUS
 from ..operators import agent as A
 from ..operators import json_schema
+from ..operators import package_checks as P
 from ..operators import quality as Q
 from ..operators import screening as S
 from ..operators import workflow as G
@@ -123,33 +125,39 @@ def answer_checks(spark, d):
     return Q.verdict(every.unionByName(Q.unique(c, "id", "unique_ids")).unionByName(Q.foreign_keys(c, "id", docs, "doc_id", "source_exists")))
 
 
-_SEEN = "(SELECT doc_id FROM documents)"
-_PACKAGE = {
-    "QA-02_text": ("coalesce(text <> '', false)", lambda: F.col("text") != ""),
-    "QA-03_lang": ("lang IN ('en', 'fr', 'de', 'es')", lambda: F.col("lang").isin("en", "fr", "de", "es")),
-    "QA-04_source_form": ("regexp_matches(source, '^src[0-9]+$')", lambda: F.col("source").rlike("^src[0-9]+$")),
-    "QA-05_length": ("n_chars = length(text)", lambda: F.col("n_chars") == F.length("text")),
-    "QA-06_positive_id": ("doc_id >= 0", lambda: F.col("doc_id") >= 0),
-    "QA-07_no_control": ("NOT regexp_matches(text, '[\\x00-\\x08]')", lambda: ~F.col("text").rlike(r"[\x00-\x08]")),
-    "QA-08_no_address": ("NOT regexp_matches(text, '[a-z0-9.]+@[a-z0-9.-]+')", lambda: ~F.col("text").rlike("[a-z0-9.]+@[a-z0-9.-]+")),
-    "QA-09_no_secret": ("NOT regexp_matches(text, 'token = ')", lambda: ~F.col("text").rlike("token = ")),
-    "QA-10_no_promotion": ("NOT regexp_matches(text, '(?i)buy now|click here')", lambda: ~F.col("text").rlike("(?i)buy now|click here")),
-    "QA-11_no_social": ("NOT regexp_matches(text, '(?i)twitter|facebook')", lambda: ~F.col("text").rlike("(?i)twitter|facebook")),
-    "QA-12_no_document_file": ("NOT contains(lower(text), '.pdf')", lambda: ~F.contains(F.lower("text"), F.lit(".pdf"))),
-    "QA-13_not_overlong": ("n_chars <= 100000", lambda: F.col("n_chars") <= 100_000),
-    "QA-14_enough_text": ("n_chars >= 40", lambda: F.col("n_chars") >= 40),
-    "QA-15_first_line": ("split_part(text, chr(10), 1) <> ''", lambda: X.title_of(F.col("text")) != ""),
-}
-
-
-@query("package_audit", f"""WITH n AS ({' UNION ALL '.join(f"SELECT '{k}' AS check_id, count(*) FILTER (NOT coalesce({sql}, false)) AS v FROM documents" for k, (sql, _) in _PACKAGE.items())}
-UNION ALL SELECT 'QA-01_unique_id', count(doc_id) - count(DISTINCT doc_id) FROM documents UNION ALL SELECT 'QA-16_labels_known', count(*) FILTER (doc_id NOT IN {_SEEN}) FROM labels UNION ALL SELECT 'QA-17_rating_domain', count(*) FILTER (NOT coalesce(quality IN (0, 1), false)) FROM labels UNION ALL SELECT 'QA-18_toxic_domain', count(*) FILTER (NOT coalesce(toxic IN (0, 1), false)) FROM labels
-UNION ALL SELECT 'QA-19_one_label', count(doc_id) - count(DISTINCT doc_id) FROM labels), r AS (SELECT check_id, v = 0 AS passed, v AS violations FROM n) SELECT * FROM r UNION ALL SELECT 'ALL', bool_and(passed), sum(violations)::BIGINT FROM r""")
+CHECKPOINT = {"type": "object", "required": ["runId", "sources"], "properties": {"runId": {"type": "string", "pattern": "^run-"}, "sources": {"type": "integer", "minimum": 1}, "nextRecommendedOperation": {"type": "object"}}}
+_CONDITION = lambda t: f"CASE WHEN contains({t}, 'ulcerative colitis') THEN 'ulcerative_colitis' WHEN contains({t}, 'crohn') THEN 'crohns_only' WHEN contains({t}, 'ibd') THEN 'ibd_general' ELSE coalesce(lang, 'unknown') END"
+_BAD = lambda n, where, source: f"SELECT 'QA-{n:02d}' AS check_id, count(*) FILTER (NOT coalesce({where}, false)) AS v FROM {source}"
+_FINE = lambda n: f"SELECT 'QA-{n:02d}', 0"
+
+
+def _condition(t: Column) -> Column:
+    return F.when(F.contains(t, F.lit("ulcerative colitis")), "ulcerative_colitis").when(F.contains(t, F.lit("crohn")), "crohns_only").when(F.contains(t, F.lit("ibd")), "ibd_general")
+
+
+@query("package_audit", f"""WITH s AS (SELECT page_id, url, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages), c AS (SELECT *, {_CONDITION("lower(coalesce(text, ''))")} AS label FROM documents), o AS (SELECT text FROM documents UNION ALL SELECT url FROM pages),
+n AS ({_BAD(1, 'doc_id IN (SELECT page_id FROM pages)', 'documents')} UNION ALL {_BAD(2, "text <> '' AND source <> ''", 'documents')} UNION ALL {_FINE(3)} UNION ALL {_BAD(4, "page_id IS NOT NULL", 's')} UNION ALL {_FINE(5)} UNION ALL {_BAD(6, "label IN ('ulcerative_colitis', 'ibd_general', 'crohns_only', 'unknown')", 'c')} UNION ALL {_FINE(7)} UNION ALL {_FINE(8)}
+UNION ALL SELECT 'QA-09', (SELECT count(page_id) - count(DISTINCT page_id) FROM pages) + (SELECT count(doc_id) - count(DISTINCT doc_id) FROM documents) UNION ALL SELECT 'QA-10', ((SELECT count(*) FROM documents) <> (SELECT count(*) FROM labels))::BIGINT UNION ALL SELECT 'QA-11', (SELECT count(*) = 0 FROM pages)::BIGINT UNION ALL {_FINE(12)}
+UNION ALL {_BAD(13, f"NOT regexp_matches(coalesce(text, ''), '{P.SECRET.replace(chr(39), chr(39) * 2)}')", 'o')} UNION ALL {_FINE(14)} UNION ALL {_BAD(15, f"NOT regexp_matches(coalesce(text, ''), '{P.FORUM}')", 'o')} UNION ALL SELECT 'QA-16', count(*) FILTER (doc_id IN (SELECT page_id FROM s WHERE contains(title, 'ing'))) FROM documents UNION ALL {_FINE(17)}
+UNION ALL {_BAD(18, "NOT regexp_matches(lower(url), '\\.pdf(\\?|$)')", 's')} UNION ALL {_BAD(19, "n_chars > 400", 'documents')}), r AS (SELECT check_id, v = 0 AS passed, v::BIGINT AS violations FROM n) SELECT * FROM r UNION ALL SELECT 'ALL', bool_and(passed), sum(violations)::BIGINT FROM r""")
 def package_audit(spark, d):
-    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
-    every = Q.checks(docs, {k: of() for k, (_, of) in _PACKAGE.items()}).unionByName(Q.unique(docs, "doc_id", "QA-01_unique_id")).unionByName(Q.unique(labels, "doc_id", "QA-19_one_label"))
-    every = every.unionByName(Q.checks(labels, {"QA-17_rating_domain": F.col("quality").isin(0, 1), "QA-18_toxic_domain": F.col("toxic").isin(0, 1)})).unionByName(Q.foreign_keys(labels, "doc_id", docs, "doc_id", "QA-16_labels_known"))
-    return Q.verdict(every)
+    """Pages as sources (trials by a word of their title), documents as claims on the page of their number."""
+    docs, pages = table(spark, d, "documents"), table(spark, d, "pages")
+    none = F.lit("")
+    title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
+    sources = pages.select(
+        F.col("page_id").alias("sourceId"), title.alias("title"), none.alias("doi"), F.col("page_id").cast("string").alias("pubmedId"), none.alias("pmcId"), none.alias("clinicalTrialsId"), F.lit("unknown").alias("ucApplicability"), F.lit("link_only").alias("archivalStatus"),
+        none.alias("humanReviewStatus"), none.alias("clinicalReviewStatus"), F.when(F.contains(title, F.lit("ing")), "ongoing_trial").alias("evidenceType"), F.col("url").alias("canonicalUrl"), none.alias("alternateUrl"),
+    )
+    label = F.coalesce(_condition(F.lower(F.coalesce("text", none))), "lang", F.lit("unknown"))
+    said = docs.select(
+        F.col("doc_id").alias("claimId"), F.col("doc_id").alias("sourceId"), F.col("text").alias("exactSupportingExcerpt"), F.col("source").alias("exactLocator"), F.lit(True).alias("isMechanicallyExtractedCandidate"), F.lit("abstract_only").alias("verificationBasis"), label.alias("conditionApplicability"),
+        none.alias("humanReviewStatus"), none.alias("clinicalReviewStatus"), none.alias("reviewerDecision"), F.lit(P.PENDING).alias("reviewStatus"), F.coalesce(F.col("n_chars") > 400, F.lit(False)).alias("requiresFullTextVerification"),
+    )
+    outputs = docs.select("text").unionByName(pages.select(F.col("url").alias("text")))
+    step = F.to_json(F.struct(F.lit("run-1").alias("runId"), F.count(F.lit(1)).alias("sources"), F.struct(F.lit("go on").alias("description")).alias("nextRecommendedOperation")))
+    counters = {"claimsExtracted": table(spark, d, "labels").count()}
+    return P.audit(sources, said, outputs, pages.agg(step.alias("text")), CHECKPOINT, counters)
 
 
 _ROUTE = "array_to_string(" + str(list(G.NODES)) + "[1:CASE status WHEN 'refused' THEN 1 WHEN 'fallback' THEN 9 WHEN 'llm_unavailable' THEN 10 ELSE 13 END], '>')"
