@@ -93,6 +93,7 @@ def fuse_candidates(ranked: DataFrame, by: list[str], strict: bool = False) -> D
 
     ``strict``: a vector list alone gives nothing.
     """
+    ranked = save(ranked, "ranked")  # read twice, and its partitioning is not taken for granted
     lists = ranked.groupBy(*by).agg(F.count_distinct("list").alias("_n"), F.max("list").alias("_only"))
     rows = ranked.join(lists, by)
     if strict:

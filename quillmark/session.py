@@ -1,4 +1,4 @@
-"""Makes the package importable for Python workers."""
+"""Makes the package importable for Python workers, and settles what queries need of a session."""
 
 from __future__ import annotations
 
@@ -13,7 +13,12 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send the package to the executors once a context, unless their PYTHONPATH has it already."""
+    """Send the package to the executors once a context, unless their PYTHONPATH has it already.
+
+    Unions do not keep the partitioning of their inputs: Spark 4.1 may plan a grouping
+    without a shuffle on it and then, with inputs coalesced apart, count groups twice.
+    """
+    spark.conf.set("spark.sql.unionOutputPartitioning", "false")
     package = Path(__file__).resolve().parent
     app = spark.sparkContext.applicationId
     if app in _shipped:
