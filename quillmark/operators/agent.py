@@ -37,9 +37,12 @@ ASKED = {
 Hook = Callable[[dict], dict]
 #: What a draft must not say, by kind.
 UNSAFE = {
-    "diagnosis_language": (r"\byou have (uc|ulcerative colitis|ibd|crohn'?s)\b", r"\byou are (having|in) a flare\b"),
-    "flare_prediction": (r"\byou will (have|get) a flare\b", r"\byou will flare\b"),
-    "treatment_directive": (r"\byou should (start|stop|take|increase|decrease|reduce)\b",),
+    "diagnosis_language": (r"\byou have (uc|ulcerative colitis)\b", r"\byou are diagnosed\b"),
+    "flare_prediction": (r"\byou will flare\b", r"\byou('re| are) (going|about) to flare\b"),
+    "medication_change_language": (r"\bshould (start|stop|take|increase|decrease)\b.*(medication|dose|drug)\b", r"\bstop taking\b"),
+    "individualized_diet_prescription": (r"\byour (personal|individualized|specific) diet plan\b", r"\byou must eat\b"),
+    "causal_overstatement": ("causes", "cause of", "proven to cause", "results in", "leads to"),
+    "symptom_inflammation_confusion": (r"\bno symptoms means no inflammation\b", r"\bsymptoms prove (active )?inflammation\b", r"\bsymptoms confirm inflammation\b"),
 }
 
 
@@ -88,7 +91,7 @@ def ask(rows: DataFrame, node: str, hook: Hook | None, fields: str, inputs: list
 
 def unsafe_kinds(text: Column) -> Column:
     t = F.lower(F.coalesce(text, F.lit("")))
-    return F.array_compact(F.array(*[F.when(t.rlike("|".join(f"(?:{p})" for p in ps)), k) for k, ps in UNSAFE.items()]))
+    return F.array_compact(F.array(*[F.when(t.rlike("(?d)" + "|".join(f"(?:{p})" for p in ps)), k) for k, ps in UNSAFE.items()]))
 
 
 def _template(claims: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -32,6 +33,12 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop the shuffle files of plans that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def small(df: DataFrame, most: int = FEW) -> DataFrame:
     """Marked for broadcast if it has no more than ``most`` rows, else as it is."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df

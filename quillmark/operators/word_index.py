@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .retrieval import EPSILON, K1, B, tokens, top
-from .storage import save, shared_folder, small
+from .storage import free, save, shared_folder, small
 
 RANGE, BUCKETS = 1024, 16
 DIGITS = 6
@@ -78,9 +78,11 @@ class WordIndex:
         place = F.pmod("doc_id", F.lit(RANGE)) + F.col("tf") * RANGE
         blocks = _counted(rows).withColumn("rng", F.floor(F.col("doc_id") / RANGE).cast("long")).groupBy("grp", "term", "rng")
         blocks = blocks.agg(F.max("tf").alias("max_tf"), F.min("dl").alias("min_dl"), F.collect_list(place).alias("places"), F.collect_list("dl").alias("lengths"))
-        ways = max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // BUCKETS)
-        blocks = blocks.withColumn("bucket", _bucket(F.col("term"))).repartition("bucket", F.pmod("rng", F.lit(ways))).sortWithinPartitions("bucket", "term", "rng")
-        blocks.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.folder}/postings/version={version}")
+        # each task writes its blocks to the folders of their terms: the grouping's shuffle is the only one
+        blocks = blocks.withColumn("bucket", _bucket(F.col("term"))).sortWithinPartitions("bucket", "term", "rng")
+        blocks.write.mode("overwrite").partitionBy("bucket").option("compression", "zstd").parquet(f"{self.folder}/postings/version={version}")
+        del blocks
+        free(self.spark)
         put = lambda df, part: df.write.mode("overwrite").parquet(f"{self.folder}/{part}/version={version}")
         found = self._read("postings", [version]).filter("term <> ''")
         counts = found.groupBy("grp", "term").agg(F.sum(F.size("places").cast("long")).alias("df"))

@@ -75,3 +75,14 @@ def test_second_drafts_are_asked_for_rows_that_need_one(spark, questions):
     with pytest.raises(ValueError):
         A.run(questions, {"refuse": write})
     assert A.ask(questions, "n", None, "a int", ["id"]).select(F.col("n.status")).distinct().count() == 1
+
+
+DRAFTS = {
+    "You have ulcerative colitis based on this evidence.": ["diagnosis_language"], "You will flare within the next two weeks.": ["flare_prediction"], "You should stop taking your medication now.": ["medication_change_language"], "Here is your personal diet plan for this week.": ["individualized_diet_prescription"],
+    "This food causes ulcerative colitis flares.": ["causal_overstatement"], "Symptoms prove active inflammation is present.": ["symptom_inflammation_confusion"], "Based on the reviewed evidence, fibre intake was associated with symptom scores.": [],
+}
+
+
+def test_drafts_by_kind(spark):
+    rows = spark.createDataFrame(list(enumerate(DRAFTS)), "i int, t string").select("i", A.unsafe_kinds(F.col("t")).alias("k")).collect()
+    assert [r["k"] for r in sorted(rows)] == list(DRAFTS.values())
