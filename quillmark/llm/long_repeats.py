@@ -10,7 +10,9 @@ equal offsets, so they meet in one group.
 
 1. One pass finds the minimisers ("anchors") of all whole texts, each with the run
    of windows that it owns; k-grams that occur once are dropped.
-2. The bytes around the remaining anchors are grouped by k-gram. Of each group a
+2. The bytes around the remaining anchors ("members") are cut out of the texts and
+   written, text by text: neighbours overlap, so that the table is small, and the
+   shuffle of the texts is over before members are grouped by k-gram. Of each group a
    task builds the suffix order, the common prefixes of neighbours, and from the
    previous and next smaller positions in that order each suffix's longest previous
    factor (``previous_factors``). A window whose factor has ``length`` bytes is a
@@ -51,7 +53,7 @@ LENGTH, GRAM = 200, 32
 GROUP, HELD, MEMBERS = 1024, 1 << 20, 1 << 13
 OUT = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
-_ITEM = "g long, key long, lo int, off int, gram int, bytes binary"
+_ITEM = "g long, key long, lo int, off int, gram int, bytes binary, large boolean"
 _SPANS = "key long, a int, b int"
 
 
@@ -138,7 +140,7 @@ def _binary(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
 
 
 def _members(length: int, gram: int):
-    """Of each text, the bytes around its open anchors."""
+    """Of each text, the bytes around its open anchors, from its start to its end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -146,15 +148,17 @@ def _members(length: int, gram: int):
             keys = np.asarray(batch.column("key").to_numpy(zero_copy_only=False), np.int64)
             lists = batch.column("open")
             flat = lists.flatten()
-            h, at = (flat.field(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+            h, at, large = (flat.field(c).to_numpy(zero_copy_only=False) for c in range(3))
             owner = np.repeat(np.arange(batch.num_rows), np.asarray(lists.value_lengths()))
+            order = np.lexsort((at, owner))  # ``at`` begins with the first window
+            h, at, large, owner = h[order], at[order], large[order], owner[order]
             for k in range(0, len(h), MEMBERS):
                 own, x = owner[k : k + MEMBERS], at[k : k + MEMBERS]
                 lo, size = x >> 32, (x & 0xFFFF) + length
                 bytes_ = _binary(data[expand(offsets[own] + lo, size)], size)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[k : k + MEMBERS]), pa.array(keys[own]), pa.array(lo.astype(np.int32)), pa.array((x >> 16 & 0xFFFF).astype(np.int32)), pa.array(np.full(len(x), gram, np.int32)), bytes_],
-                    ["g", "key", "lo", "off", "gram", "bytes"],
+                    [pa.array(h[k : k + MEMBERS]), pa.array(keys[own]), pa.array(lo.astype(np.int32)), pa.array((x >> 16 & 0xFFFF).astype(np.int32)), pa.array(np.full(len(x), gram, np.int32)), bytes_, pa.array(large[k : k + MEMBERS])],
+                    ["g", "key", "lo", "off", "gram", "bytes", "large"],
                 )
 
     return run
@@ -322,10 +326,9 @@ def _sorted_spans(items: DataFrame, length: int, keep: str) -> DataFrame:
 
 
 def _large_spans(items: DataFrame, length: int, keep: str, group: int) -> list[DataFrame]:
-    """Spans from the members of large groups."""
+    """Spans from the (written) members of large groups."""
     out = []
     while True:
-        items = materialise(items, "members")
         same = ["g", "off", "gram", "bytes"]
         kinds = materialise(items.groupBy(*same).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "lo")).alias("one")), "kinds")
         copies = items.join(kinds.filter("n > 1"), same)
@@ -337,7 +340,7 @@ def _large_spans(items: DataFrame, length: int, keep: str, group: int) -> list[D
         out.append(_sorted_spans(left.filter(F.col("m") <= group), length, keep))
         if many.filter(F.col("m") > group).isEmpty():
             return out
-        items = _halves(left.filter(F.col("m") > group), length)
+        items = materialise(_halves(left.filter(F.col("m") > group), length), "halves")
 
 
 def repeated_spans(rows: DataFrame, length: int = LENGTH, keep: str = "none", gram: int = GRAM, group: int = GROUP) -> DataFrame:
@@ -347,14 +350,12 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, keep: str = "none", gr
     found = materialise(long_.select("key", "text").mapInArrow(_anchor_rows(length, gram), "h long, key long, at long"), "anchors")
     grams = materialise(found.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "grams")
     shared = materialise(found.join(grams.select("h", (F.col("c") > group).alias("large")), "h"), "shared")
-
-    def members(of: DataFrame) -> DataFrame:
-        open_ = of.groupBy("key").agg(F.collect_list(F.struct("h", "at")).alias("open"))  # no more than the text has anchors
-        return long_.join(open_, "key").select("key", "text", "open").mapInArrow(_members(length, gram), _ITEM)
-
-    spans = [_sorted_spans(members(shared.filter("not large")), length, keep)]
+    open_ = shared.groupBy("key").agg(F.collect_list(F.struct("h", "at", "large")).alias("open"))  # no more than the text has anchors
+    # written once for small and large groups, so that no shuffle of texts lies on disk while members are dealt out
+    members = materialise(long_.join(open_, "key").select("key", "text", "open").mapInArrow(_members(length, gram), _ITEM), "members", compression="zstd")
+    spans = [_sorted_spans(members.filter("not large"), length, keep)]
     if not grams.filter(F.col("c") > group).isEmpty():
-        spans += _large_spans(members(shared.filter("large")), length, keep, group)
+        spans += _large_spans(members.filter("large"), length, keep, group)
     return reduce(DataFrame.unionByName, spans)
 
 

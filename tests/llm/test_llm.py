@@ -365,6 +365,20 @@ def test_long_texts_are_read_in_pieces(spark, monkeypatch):
     assert got == cut_by_hand(rows, 60)
 
 
+def test_long_repeats_shuffle_texts_apart_from_members(spark, tmp_path):
+    rng = random.Random(5)
+    often, twice = ("".join(rng.choices("abcdef", k=150)) for _ in range(2))
+    rows = [(i, "".join(rng.choices("ghij", k=80)) + often + (twice if i < 2 else "")) for i in range(6)]
+    frame(spark, rows).write.parquet(str(tmp_path / "texts"))
+    docs = spark.read.parquet(str(tmp_path / "texts"))
+    spans = long_repeats.repeated_spans(long_repeats.keyed(docs), 60, gram=16, group=2)  # ``often`` makes large groups, ``twice`` small ones
+    assert {r["key"] for r in spans.collect()} == set(range(6))
+    # the job that deals members out reads written tables only: no text is read, and none shuffled, beside it
+    assert spans.inputFiles() and not [f for f in spans.inputFiles() if str(tmp_path) in f]
+    got = {r["doc_id"]: tuple(r)[1:] for r in long_repeats.remove_repeats(docs, 60, gram=16, group=2).collect()}
+    assert got == cut_by_hand(rows, 60)
+
+
 def test_previous_factors():
     rng = random.Random(2)
     for text in ("abababab" * 4, "aaaaaaaaaaaaaaaaaaaaaaaa", "".join(rng.choices("ab", k=200)), "".join(rng.choices("abc\0", k=120))):
