@@ -18,8 +18,8 @@
    ``BLOCK`` members: a task takes the signatures of two blocks and returns the
    members that have candidates; only the texts of these are then sent, and a task
    confirms them, skipping pairs that its own links connect already.
-5. Links are confirmed on the full shingle sets and components follow by
-   alternating large-star and small-star steps on the links.
+5. Links are confirmed on the full shingle sets. Components follow by contraction of
+   the links; those of each step are taken between the components so far.
 
 Nothing is capped: a list of any length is covered by steps 3 and 4.
 
@@ -36,7 +36,6 @@ columns are ignored, whatever their names; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +53,8 @@ THRESHOLD = 75
 STAR_ROUNDS = 3
 #: Members of a posting list up to which its pairs meet in a join; members of a block of longer lists.
 SMALL, BLOCK = 48, 256
+#: Links, or rows of a written table, up to which a join with them is a broadcast; beyond it the same join shuffles.
+FEW = 100_000
 OUT = ("n_shingles", "component_id", "kept")
 
 _rng = np.random.default_rng(20_240_611)
@@ -145,34 +146,57 @@ def confirm_links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """``id, component`` (the smallest id reachable) of all ends of ``links`` (``a, b``).
 
-    Large-star and small-star steps in turn until they change nothing; a hub only
-    ever meets its own minimum, so no neighbour list is gathered.
+    Contraction: a node takes the smallest name within two steps of it, and links go on
+    between these names, until none is left. No neighbour list is gathered. Names are
+    hashed in each round (``xxhash64`` maps single longs one to one), so that stars and
+    chains shrink by a factor whatever their ids are.
     """
-    now = materialise(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "links")
-    mark = lambda e: e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    seen = mark(now)
-    while True:
-        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").unionByName(least.select("a", F.col("m").alias("b"))).distinct()
-        new = materialise(small, "links")
-        # settled once every end points straight at a root and nothing else is left to hook
-        now, found = new, mark(new)
-        if found == seen:
-            return now.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("component"))
-        seen = found
-
-
-def _labels(links: list[DataFrame]) -> DataFrame | None:
-    return materialise(components(reduce(DataFrame.unionByName, links)), "labels") if links else None
+    now = materialise(links.select("a", "b").filter("a <> b"), "links")
+    named = None
+    while rows := now.count():
+        side = lambda t, c: (F.broadcast(t) if rows <= FEW else t).withColumnsRenamed({"a": c, "m": f"m{c}"})  # noqa: B023, E731
+        least = _ends(now, "b", "a").groupBy("a").agg(F.least(F.col("a"), F.min("x")).alias("m"))
+        near = now.join(side(least, "a"), "a").join(side(least, "b"), "b")
+        # a node's own least is no smaller than the least of its neighbours' leasts
+        new = materialise(_ends(near, "mb", "ma").groupBy("a").agg(F.xxhash64(F.min("x")).alias("m")), "names")
+        now = materialise(now.join(side(new, "a"), "a").join(side(new, "b"), "b").select(F.col("ma").alias("a"), F.col("mb").alias("b")).filter("a <> b"), "links")
+        if named is None:
+            named = new.select(F.col("a").alias("id"), F.col("m").alias("name"))
+        else:
+            named = named.join(side(new, "name"), "name", "left").select("id", F.coalesce("mname", F.xxhash64("name")).alias("name"))
+    if named is None:
+        return now.select(F.col("a").alias("id"), F.col("b").alias("component"))
+    named = materialise(named, "named")
+    return named.join(_small(named.groupBy("name").agg(F.min("id").alias("component")), named), "name").select("id", "component")
+
+
+def _ends(links: DataFrame, of_a: str, of_b: str) -> DataFrame:
+    """``a, x``: either end of each link with a value for it."""
+    end = lambda c, x: F.struct(F.col(c).alias("a"), F.col(x).alias("x"))
+    return links.select(F.inline(F.array(end("a", of_a), end("b", of_b))))
+
+
+def _small(df: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+    """Marked for broadcast if the written table ``counted`` (itself, if not given) has no more than ``FEW`` rows."""
+    return F.broadcast(df) if (df if counted is None else counted).count() <= FEW else df
+
+
+def _labels(links: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``labels`` (``id, component``) after further ``links``: these are taken between the components so far."""
+    if labels is None:
+        return materialise(components(links), "labels")
+    at = _small(labels)
+    for c in ("a", "b"):
+        links = links.join(at.select(F.col("id").alias(c), F.col("component").alias(f"c{c}")), c, "left")
+    new = materialise(components(links.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))), "joined")
+    moved = labels.join(_small(new).select(F.col("id").alias("component"), F.col("component").alias("to")), "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+    return materialise(moved.unionByName(new.join(at, "id", "left_anti")), "labels")
 
 
 def _labelled(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return postings.withColumn("comp", F.col("id"))
-    return postings.join(labels.withColumnRenamed("component", "_c"), "id", "left").withColumn("comp", F.coalesce("_c", "id")).drop("_c")
+    return postings.join(_small(labels).withColumnRenamed("component", "_c"), "id", "left").withColumn("comp", F.coalesce("_c", "id")).drop("_c")
 
 
 def blocked_links(member: DataFrame, texts: DataFrame) -> DataFrame:
@@ -295,7 +319,6 @@ def near_classes(rows: DataFrame) -> DataFrame:
     postings = materialise(known.withColumn("rank", rank).filter(F.col("rank") <= PREFIX).select("key", "id", "n"), "postings")
     texts = materialise(rows.select(F.col("key").alias("id"), "text").join(postings.select("id").distinct(), "id", "left_semi"), "texts")
 
-    links: list[DataFrame] = []
     labels = None
     for turn in range(STAR_ROUNDS):
         now = _labelled(postings, labels)
@@ -306,8 +329,7 @@ def near_classes(rows: DataFrame) -> DataFrame:
         found = materialise(confirm_links(best, texts), "stars")
         if found.isEmpty():
             break
-        links.append(found)
-        labels = _labels(links)
+        labels = _labels(found, labels)
 
     now = _labelled(postings, labels)
     size = now.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
@@ -323,11 +345,10 @@ def near_classes(rows: DataFrame) -> DataFrame:
     on = (F.col("key_a") == F.col("key")) & (F.col("comp_a") != F.col("comp_b")) & ((F.col("comp_b") == F.col("main")) | (F.col("id_a") < F.col("id_b")))
     on = on & (100 * F.least("n_a", "n_b") >= THRESHOLD * F.greatest("n_a", "n_b")) & (hits >= MATCHES) & once
     rest = a.join(b, on).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
-    links.append(materialise(blocked_links(member.filter(F.col("total") > SMALL), texts), "blocks"))
-    links.append(materialise(confirm_links(rest, texts), "rest"))
-    labels = _labels(links)
+    blocked = materialise(blocked_links(member.filter(F.col("total") > SMALL), texts), "blocks")
+    labels = _labels(blocked.unionByName(materialise(confirm_links(rest, texts), "rest")), labels)
 
-    named = klass.join(labels, "id", "left").select("hi", "lo", "least", F.coalesce("component", "id").alias("component"))
+    named = klass.join(_small(labels), "id", "left").select("hi", "lo", "least", F.coalesce("component", "id").alias("component"))
     heads = named.groupBy("component").agg(F.min("least").alias("head"))
     named = materialise(named.join(heads, "component").select("hi", "lo", "head"), "heads")
     out = profile.select("key", "doc_id", "n_shingles", "hi", "lo").join(named, ["hi", "lo"], "left")
