@@ -301,3 +301,34 @@ def test_graph_hooks_and_their_fallbacks(spark):
     assert run(hooks={"analyse": invented})[1]["status"] == "fallback"
     assert run(template=False)[1]["answer"] == G.UNAVAILABLE
     assert run(template=False, hooks={"synthesise": lambda rows: rows.withColumn("answer", F.lit("m"))})[1]["answer"] == "m"
+
+
+def test_similar_sets_leave_a_task_only_if_they_may_be_similar(spark):
+    import random
+
+    import numpy as np
+
+    from quillmark.operators import overlap
+
+    rng = random.Random(4)
+    # every two sets share a word, and most three of them, but only those of one family are similar
+    sets = [(i, sorted({"all", *rng.sample([f"c{k}" for k in range(12)], 6), *(f"f{i % 40}-{k}" for k in range(12) if rng.random() > 0.15), *(f"o{i}-{k}" for k in range(4))})) for i in range(240)]
+    frame = spark.createDataFrame(sets, "id long, words array<string>")
+    want = {(i, j) for i, x in sets for j, y in sets if i < j and 2 * len({*x} & {*y}) >= len({*x} | {*y})}
+    met = overlap.candidates(frame.select("id", F.transform("words", lambda w: F.xxhash64(w)).alias("h")), np.unique, 5000, 1 / 3, 0.5).collect()
+    assert want <= {(r["a"], r["b"]) for r in met} and len(met) < 3 * len(want)
+    got = resolution.similar_sets(frame, 0.5).collect()
+    assert {(r["a"], r["b"]) for r in got} == want and len(got) == len(want) > 100
+
+
+def test_similar_sets_of_a_large_group_are_compared_by_blocks(spark):
+    import random
+
+    rng = random.Random(6)
+    sets = [(i * 7, [f"w{k}" for k in range(30) if rng.random() > 0.12]) for i in range(300)] + [(9000, []), (9001, ["w1", "w1"]), (9002, ["w1"])]
+    frame = spark.createDataFrame(sets, "id long, words array<string>").repartition(5)
+    got = {(r["a"], r["b"]): r["jaccard"] for r in resolution.similar_sets(frame, 0.75).collect()}
+    share = lambda x, y: len({*x} & {*y}) / len({*x} | {*y})
+    want = {(i, j): round(share(x, y), 6) for i, x in sets for j, y in sets if i < j and x and y and share(x, y) >= 0.75}
+    assert got.keys() == want.keys() and len(want) > 10_000
+    assert all(abs(got[k] - v) < 2e-6 for k, v in want.items())
