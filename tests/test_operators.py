@@ -332,3 +332,25 @@ def test_similar_sets_of_a_large_group_are_compared_by_blocks(spark):
     want = {(i, j): round(share(x, y), 6) for i, x in sets for j, y in sets if i < j and x and y and share(x, y) >= 0.75}
     assert got.keys() == want.keys() and len(want) > 10_000
     assert all(abs(got[k] - v) < 2e-6 for k, v in want.items())
+
+
+def test_near_duplicates_take_every_white_space_for_one(spark, tmp_path):
+    # a ratio is one of words, whatever stands between them; candidates have to know the same words
+    words = [f"x{i}" for i in range(12)]
+    got = near_texts(spark, tmp_path, [(1, " ".join(words)), (2, " ".join(words) + " y"), (3, " ".join(words[:10])), (4, "z"), (5, None), (6, "")])
+    assert {(r["kind"], r["a"], r["b"], r["ratio"]) for r in got.collect()} == {("near", 1, 2, 0.96), ("near", 1, 3, 0.909091), ("near", 2, 3, 0.869565), ("copy", 5, 6, 1.0)}
+
+
+def test_near_duplicates_of_a_large_group(spark, tmp_path):
+    import random
+    from difflib import SequenceMatcher
+
+    rng = random.Random(8)
+    texts = [(i, " ".join(f"v{k}" if rng.random() > 0.06 else f"n{rng.randrange(9)}" for k in range(25))) for i in rng.sample(range(10_000), 140)]
+    first = {}
+    for i, t in sorted(texts):
+        first.setdefault(t, i)
+    ratio = lambda a, b: SequenceMatcher(None, a.split(), b.split(), autojunk=False).ratio()
+    want = {(i, j) for a, i in first.items() for b, j in first.items() if i < j and ratio(a, b) >= 0.82}
+    got = near_texts(spark, tmp_path, texts)
+    assert {(r["a"], r["b"]) for r in got.filter("kind = 'near'").collect()} == want and len(want) > 1000
