@@ -354,3 +354,22 @@ def test_near_duplicates_of_a_large_group(spark, tmp_path):
     want = {(i, j) for a, i in first.items() for b, j in first.items() if i < j and ratio(a, b) >= 0.82}
     got = near_texts(spark, tmp_path, texts)
     assert {(r["a"], r["b"]) for r in got.filter("kind = 'near'").collect()} == want and len(want) > 1000
+
+
+def test_near_texts_keep_their_shingles_in_packed_rows(spark, tmp_path):
+    import os
+
+    from quillmark.plans.registry import QUERIES
+
+    body = lambda c, n: " ".join(f"{c}{i}" for i in range(n))
+    texts = [(i, body(f"t{i}-", 400) + " the same last line of every text") for i in range(200)]
+    texts += [(1000 + i, body("t7-", 400 - i)) for i in (0, 40, 90, 150)] + [(2000, "t1 t2"), (2001, "T1  t2"), (2002, "t1 t2 t3"), (2003, "")]
+    spark.createDataFrame(texts, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    got = {(r["kind"], r["a"], r["b"], r["jaccard"]) for r in QUERIES["near_texts_jaccard"](spark, str(tmp_path)).collect()}
+    runs = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, t in texts if (w := t.split())}
+    want = {("near", a, b, round(j, 6)) for a in runs for b in runs if a < b < 2000 and (j := len(runs[a] & runs[b]) / len(runs[a] | runs[b])) >= 0.75}
+    assert got == want | {("copy", 2000, 2001, 1.0)} and len(want) > 5
+    written = [x for x in set(os.listdir(shared)) - before]
+    assert written and not any(k.startswith("classes") for k in written)  # no text is written
