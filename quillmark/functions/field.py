@@ -197,12 +197,17 @@ def excluded_by(text: Column) -> Column:
     return _lexicon({str(i): (p,) for i, p in enumerate(EXCLUDED, 1)}, "0").first(_plain(text)).cast("int")
 
 
+def _once(text: Column, of) -> Column:
+    """``of`` the lower-case text, which is made once and not again for each term."""
+    return F.transform(F.array(_plain(text)), of)[0]
+
+
 def topics(text: Column) -> Column:
-    return Lexicon(TOPICS, NO_TOPIC).all(_plain(text), MOST_TOPICS)
+    return _once(text, lambda t: Lexicon(TOPICS, NO_TOPIC).all(t, MOST_TOPICS))
 
 
 def contexts(text: Column) -> Column:
-    return _lexicon(CONTEXTS, NO_CONTEXT).all(_plain(text))
+    return _once(text, lambda t: _lexicon(CONTEXTS, NO_CONTEXT).all(t))
 
 
 def sentence_score(sentence: Column) -> Column:

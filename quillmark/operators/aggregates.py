@@ -64,7 +64,8 @@ def set_conflicts(claims: DataFrame) -> DataFrame:
     joined = lambda c: F.to_json(F.coalesce(F.array_sort(F.array_distinct(c)), F.array().cast("array<string>")))
     key = ["topic", "conditions", "contexts", "outcome", "level"]
     plain = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("topic", "outcome", "level")]
-    rows = claims.select("id", *plain, joined("conditions").alias("conditions"), joined("contexts").alias("contexts"))
+    # written: what makes claims of texts would run again for the last join
+    rows = save(claims.select("id", *plain, joined("conditions").alias("conditions"), joined("contexts").alias("contexts")), "claims")
     # dealt by topic once: every window below has the topic among its keys
     kinds = save(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")), "kinds").repartition("topic")
     a, b = (F.col("outcome") == x for x in OPPOSED)

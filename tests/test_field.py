@@ -80,3 +80,22 @@ def test_set_conflicts_equal_all_pairs(spark, seed):
     frame = spark.createDataFrame(claims, "id long, topic string, conditions array<string>, contexts array<string>, outcome string, level string")
     got = sorted((tuple(r) for r in aggregates.set_conflicts(frame).collect()), key=str)
     assert got == brute_conflicts(claims)
+
+
+def test_set_conflicts_read_their_claims_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    kinds = "id long, topic string, conditions array<string>, contexts array<string>, outcome string, level string"
+    claims = spark.createDataFrame([(i, "a", ["x"], ["p"], "symptoms" if i % 2 else "inflammation", "low") for i in range(40)], kinds).mapInArrow(count, kinds)
+    assert {r["n_conflicts"] for r in aggregates.set_conflicts(claims).collect()} == {20} and read.value == 40
+
+
+def test_topics_lower_a_text_once(spark):
+    frame = spark.createDataFrame([(1, "MILK and Red Meat in active disease"), (2, None)], "id long, text string").select("id", field.topics(F.col("text")).alias("t"), field.contexts(F.col("text")).alias("c"))
+    assert frame._jdf.queryExecution().executedPlan().toString().count("lower(") == 2  # one for each column
+    assert [(r["t"], r["c"]) for r in frame.orderBy("id").collect()] == [(["dairy_lactose", "red_processed_meat"], ["active_disease"]), ([field.NO_TOPIC], [field.NO_CONTEXT])]
