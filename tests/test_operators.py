@@ -315,7 +315,7 @@ def test_similar_sets_leave_a_task_only_if_they_may_be_similar(spark):
     sets = [(i, sorted({"all", *rng.sample([f"c{k}" for k in range(12)], 6), *(f"f{i % 40}-{k}" for k in range(12) if rng.random() > 0.15), *(f"o{i}-{k}" for k in range(4))})) for i in range(240)]
     frame = spark.createDataFrame(sets, "id long, words array<string>")
     want = {(i, j) for i, x in sets for j, y in sets if i < j and 2 * len({*x} & {*y}) >= len({*x} | {*y})}
-    met = overlap.candidates(frame.select("id", F.transform("words", lambda w: F.xxhash64(w)).alias("h")), np.unique, 5000, 1 / 3, 0.5).collect()
+    met = overlap.candidates(frame.select("id", F.transform("words", lambda w: F.xxhash64(w)).alias("h")), np.unique, 5000, 1 / 3, 0.5, bits=512).collect()
     assert want <= {(r["a"], r["b"]) for r in met} and len(met) < 3 * len(want)
     got = resolution.similar_sets(frame, 0.5).collect()
     assert {(r["a"], r["b"]) for r in got} == want and len(got) == len(want) > 100
